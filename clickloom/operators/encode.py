@@ -111,23 +111,22 @@ def indexer_from_counts(
     label: str | None = None, label_order: str = "frequencyDesc", max_labels: int = MAX_LABELS,
     total: int | None = None,
 ) -> PipelineModel:
-    """An index model per column from written value counts; refuses vocabularies the driver should not hold."""
+    """An index model per column from written value counts.
+
+    Refuses vocabularies the driver should not hold; ``total`` is their size if known.
+    """
     known = counts.where(F.col("name").isin(list(cols)) & F.col("value").isNotNull())
     if total is None:
         total = known.count()
     if total > max_labels:
         raise ValueError(f"{total} index labels exceed {max_labels}; index these columns by join")
-    labels: dict[str, list[str]] = {c: [] for c in cols}
-    is_label = F.col("name") == F.lit(label)
-    by_value = is_label & F.lit(label_order == "alphabetAsc")
-    ordered = known.orderBy(
-        "name", F.when(F.coalesce(by_value, F.lit(False)), 0).otherwise(-F.col("n")), "value"
-    )
-    for name, value in ordered.select("name", "value").collect():
-        labels[name].append(value)
+    found: dict[str, list[tuple[int, str]]] = {c: [] for c in cols}
+    for name, value, n in known.select("name", "value", "n").collect():
+        frequency = 0 if name == label and label_order == "alphabetAsc" else -n
+        found[name].append((frequency, value))
     return PipelineModel(
         [
-            StringIndexerModel.from_labels(labels[c], c, out, on_invalid)
+            StringIndexerModel.from_labels([v for _, v in sorted(found[c])], c, out, on_invalid)
             for c, out in zip(cols, outputs)
         ]
     )
@@ -236,21 +235,26 @@ class Encoding:
         )
 
 
+def count_sizes(counts: DataFrame) -> dict[str, tuple[int, bool]]:
+    """(distinct values, has NULL) by column, from value counts."""
+    rows = counts.groupBy("name").agg(
+        F.count("value").alias("ndv"), F.max(F.col("value").isNull()).alias("has_null")
+    )
+    return {r["name"]: (r["ndv"], r["has_null"]) for r in rows.collect()}
+
+
 def fit_encoding(
     counts: DataFrame, wide: Sequence[str], deep: Sequence[tuple[str, int]], label: str = "click",
     on_invalid: str = "error", label_order: str = "frequencyDesc", max_labels: int = MAX_LABELS,
+    sizes: dict[str, tuple[int, bool]] | None = None,
 ) -> Encoding:
     """Fit from written value counts of all wide and deep columns and the label.
 
     ``deep`` holds (name, dim). Deep columns are given to the indexer while the labels
     together stay within ``max_labels``; larger ones are indexed by join.
     """
-    sizes = {
-        r["name"]: (r["ndv"], r["nulls"])
-        for r in counts.groupBy("name")
-        .agg(F.count("value").alias("ndv"), F.sum(F.col("value").isNull().cast("int")).alias("nulls"))
-        .collect()
-    }
+    if sizes is None:
+        sizes = count_sizes(counts)
     names = [n for n, _ in deep]
     budget = max_labels - sum(sizes[c][0] for c in (*wide, label))
     held = []

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clickloom.session import col
 
+PROFILE_SCHEMA = "pos int, name string, type string, ndv bigint, has_null boolean"
 # Only these two types are candidates; wider numbers (ids) are not.
 CANDIDATE_TYPES = ("string", "int")
 # Registers of a distinct-count sketch, as a power of two: about 1.6% standard error.

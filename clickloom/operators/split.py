@@ -13,7 +13,11 @@ from clickloom.session import col
 def random_split(
     df: DataFrame, weights: Sequence[float] = (0.7, 0.3), seed: int = 42
 ) -> list[DataFrame]:
-    """Bernoulli split; disjoint and complete, but another partitioning gives another split."""
+    """Bernoulli split; disjoint and complete, but another partitioning gives another split.
+
+    Every part evaluates ``df`` again, so ``df`` should be read from files: ``freeze`` a table
+    that comes out of a shuffle.
+    """
     return df.randomSplit(list(weights), seed)
 
 

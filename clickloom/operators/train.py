@@ -8,21 +8,24 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.ml.classification import GBTClassifier
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.operators.encode import Deep
 from clickloom.operators.evaluate import log_loss
+from clickloom.operators.lookup import HOT_ROWS
 from clickloom.operators.network import (
-    BROADCAST_BYTES, HIDDEN, Params, collect_parameters, embedding, embedding_bytes, gather,
-    init_parameters, layers, list_array, matrix, parameter_table, score_table, slot_lists, tower,
+    BROADCAST_BYTES, HIDDEN, Params, collect_parameters, embedding, embedding_bytes,
+    embedding_lookup, gather, init_parameters, layers, list_array, matrix, parameter_table,
+    score_table, slot_lists, tower,
 )
-from clickloom.session import scratch_dir
+from clickloom.session import freeze, scratch_dir
 from clickloom.sources.features_io import save_parameters
 
 log = logging.getLogger(__name__)
@@ -148,7 +151,8 @@ def _inputs(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 
 
 def batch_gradient(
-    df: DataFrame, params: DataFrame, spec: Sequence[Deep], tasks: int = 1000
+    df: DataFrame, params: DataFrame, spec: Sequence[Deep], tasks: int = 1000,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(tensor, row, values): gradient of the loss, summed over all rows.
 
@@ -156,10 +160,13 @@ def batch_gradient(
     Each task adds up its own rows and returns only the embedding rows it touched. At most
     ``tasks`` tasks do, so the parts do not grow with the number of input splits.
     """
-    if embedding_bytes(spec) > BROADCAST_BYTES:
-        raise ValueError("embeddings exceed the broadcast bound; use distributed_gradient")
+    if embedding_bytes(spec) > max_bytes:
+        dense = collect_parameters(params.where(~F.col("tensor").startswith("emb:")))
+        return distributed_gradient(df, dense, params, spec, tasks=tasks, max_bytes=max_bytes)
     names = [d.name for d in spec]
-    shared = df.sparkSession.sparkContext.broadcast(collect_parameters(params, 2 * BROADCAST_BYTES))
+    shared = df.sparkSession.sparkContext.broadcast(
+        collect_parameters(params, max_bytes + BROADCAST_BYTES)
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = shared.value
@@ -297,11 +304,12 @@ def _averaged(
     parts: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     names = summed.column("tensor").to_numpy()
     index = summed.column("row").to_numpy()
-    total, loss, taken = 0, 0.0, 0.0
     new = {t: v.copy() for t, v in (params | moments).items()}
     for name in np.unique(names):
         at = np.flatnonzero(names == name)
         parts[name] = (at, matrix(summed.column("values").take(at).combine_chunks()))
+    if TOTAL not in parts:
+        return params, moments, steps, 0.0, 0
     at, value = parts.pop(TOTAL)
     total, loss = float(summed.column("n")[int(at[0])].as_py()), float(value[0, 0])
     _, value = parts.pop(STEPS)
@@ -379,40 +387,204 @@ def fit(
     df: DataFrame, spec: Sequence[Deep], wide_dim: int, validation: DataFrame | None = None,
     hidden: Sequence[int] = HIDDEN, epochs: int = 5, batch_size: int = 2048, lr: float = 1e-3,
     dropout: float = 0.7, workers: int = 2, rounds: int = 1, seed: int = 42,
-    path: str | None = None,
+    path: str | None = None, max_bytes: int = BROADCAST_BYTES,
 ) -> Fitted:
     """Train on rows (slots, deep, label); keep the parameters of the best validation loss.
 
     Each epoch is ``rounds`` rounds; in each, ``workers`` tasks step through their rows in
     batches and their parameters are averaged. Without ``validation`` the training loss
     decides. With ``path`` the best parameters are saved there.
+
+    Embeddings that with their moments exceed ``max_bytes`` are not sent to the workers: they
+    stay a distributed table, and each round is one Adam step over all of its rows.
     """
-    spark = df.sparkSession
-    if 3 * embedding_bytes(spec) > BROADCAST_BYTES:
-        raise ValueError("embeddings and moments exceed the broadcast bound; use fit_distributed")
     rows = stage(df, workers, rounds)
-    params = init_parameters(spec, wide_dim, hidden, seed)
-    moments, steps = _moments(params), 0
-    best, lowest, history = params, float("inf"), []
+    if 3 * embedding_bytes(spec) > max_bytes:
+        log.warning("embeddings exceed %d bytes: they are joined, one step per round", max_bytes)
+        model = _DistributedModel(df.sparkSession, spec, wide_dim, hidden, seed, workers, max_bytes)
+    else:
+        model = _BroadcastModel(spec, wide_dim, hidden, seed, workers, batch_size)
+    best, lowest, history = None, float("inf"), []
     for epoch in range(epochs):
         rate = learning_rate(lr, epoch)
         order = np.random.default_rng([seed, epoch]).permutation(rounds)
         total_loss, total = 0.0, 0
-        for r in order:
-            params, moments, steps, loss, n = train_round(
-                rows.where(F.col("round") == int(r)), params, moments, steps, spec, rate,
-                batch_size, dropout, workers, [seed, epoch, int(r)],
+        for r in order.tolist():
+            loss, n = model.round(
+                rows.where(F.col("round") == r), rate, dropout, [seed, epoch, r]
             )
             total_loss, total = total_loss + loss, total + n
+        if not total:
+            raise ValueError("no training rows")
         train_loss = total_loss / total
-        val_loss = (
-            validate(validation, params, spec).first()[0] if validation is not None else train_loss
-        )
+        val_loss = train_loss
+        if validation is not None:
+            scored = score_table(validation, model.params(), spec, ["label"], max_bytes)
+            val_loss = log_loss(scored).first()[0]
         history.append((epoch + 1, rate, train_loss, float(val_loss)))
         log.info("epoch %d: train %.5f validation %.5f", epoch + 1, train_loss, val_loss)
-        if val_loss < lowest:
-            best, lowest = params, val_loss
-    return _fitted(spark, parameter_table(spark, best), history, path)
+        if best is None or val_loss < lowest:
+            best, lowest = model.params(), val_loss
+    if isinstance(best, dict):
+        best = parameter_table(df.sparkSession, best)
+    return _fitted(df.sparkSession, best, history, path)
+
+
+class _BroadcastModel:
+    """All parameters and moments on the driver, sent to the workers each round."""
+
+    def __init__(self, spec, wide_dim, hidden, seed, workers, batch_size):
+        self.spec, self.workers, self.batch_size = spec, workers, batch_size
+        self.values = init_parameters(spec, wide_dim, hidden, seed)
+        self.moments, self.steps = _moments(self.values), 0
+
+    def round(self, rows: DataFrame, lr: float, dropout: float, seed: list[int]):
+        self.values, self.moments, self.steps, loss, n = train_round(
+            rows, self.values, self.moments, self.steps, self.spec, lr, self.batch_size,
+            dropout, self.workers, seed,
+        )
+        return loss, n
+
+    def params(self) -> Params:
+        return self.values
+
+
+class _DistributedModel:
+    """Dense tensors on the driver; embeddings with moments as a written table."""
+
+    def __init__(self, spark, spec, wide_dim, hidden, seed, workers, max_bytes):
+        self.spark, self.spec, self.workers, self.max_bytes = spark, spec, workers, max_bytes
+        self.dense = init_parameters(spec, wide_dim, hidden, seed, embeddings=False)
+        self.moments, self.steps = _moments(self.dense), 0
+        self.table = freeze(init_embeddings(spark, spec, seed))
+
+    def round(self, rows: DataFrame, lr: float, dropout: float, seed: list[int]):
+        sums = freeze(
+            distributed_gradient(
+                rows, self.dense, self.table, self.spec, dropout, seed, self.workers, self.max_bytes
+            )
+        )
+        is_embedding = F.col("tensor").startswith("emb:")
+        found = collect_parameters(sums.where(~is_embedding))
+        if not found:
+            return 0.0, 0
+        loss, n = map(float, found.pop(TOTAL)[0])
+        adam = Adam(self.dense, self.moments, self.steps, lr)
+        adam.step(Gradient(found, {}, loss, n))
+        self.steps = adam.steps
+        self.table = freeze(
+            adam_table(self.table, sums.where(is_embedding), n, lr, self.steps)
+        )
+        return loss, int(n)
+
+    def params(self) -> DataFrame:
+        dense = parameter_table(self.spark, self.dense)
+        return self.table.select("tensor", "row", "values").unionByName(dense)
+
+
+def init_embeddings(spark, spec: Sequence[Deep], seed: int = 42) -> DataFrame:
+    """(tensor, row, values, m, v): normal embeddings and zero moments, made where they lie."""
+
+    def uniform(tensor: str, k: int, j) -> Column:
+        bits = F.xxhash64(F.lit(seed), F.lit(tensor), F.lit(k), F.col("id"), j)
+        return (F.pmod(bits, F.lit(1 << 53)) + 1).cast("double") / F.lit(float((1 << 53) + 1))
+
+    tables = []
+    for d in spec:
+        t = embedding(d.name)
+        normal = lambda j, t=t: F.sqrt(-2 * F.log(uniform(t, 0, j))) * F.cos(
+            2 * np.pi * uniform(t, 1, j)
+        )
+        zeros = F.array_repeat(F.lit(0.0).cast("float"), d.dim)
+        values = F.transform(F.sequence(F.lit(0), F.lit(d.dim - 1)), normal)
+        tables.append(
+            spark.range(d.vocab).select(
+                F.lit(t).alias("tensor"), F.col("id").cast("int").alias("row"),
+                values.cast("array<float>").alias("values"), zeros.alias("m"), zeros.alias("v"),
+            )
+        )
+    return reduce(DataFrame.unionByName, tables)
+
+
+def distributed_gradient(
+    df: DataFrame, dense: Params, table: DataFrame, spec: Sequence[Deep], dropout: float = 0.0,
+    seed: Sequence[int] = (0,), tasks: int = 1000, max_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """``batch_gradient`` with joined embeddings.
+
+    A task adds up the gradients of the most frequent rows of each embedding and sends them
+    once; the others go out added up by batch of rows.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(dense)
+    rows_in = df.select("slots", "deep", F.col("label").cast("double").alias("label"))
+    embedded = embedding_lookup(rows_in, table, spec, max_bytes)
+    tensors = [(embedding(d.name), min(d.vocab, HOT_ROWS), d.dim) for d in spec]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p = shared.value
+        rng = np.random.default_rng([*seed, TaskContext.get().partitionId()])
+        hot = {t: np.zeros((size, dim)) for t, size, dim in tensors}
+        touched = {t: np.zeros(size, dtype=bool) for t, size, _ in tensors}
+        sums: Params = {}
+        n, loss = 0, 0.0
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            deep, rows, slots, label = _inputs(batch)
+            if dropout:
+                kept = rng.random(len(slots)) >= dropout
+                rows, slots = rows[kept], slots[kept]
+            grads, back, batch_loss = backward(
+                p, matrix(batch.column("embedded")), rows, slots, 1 / (1 - dropout), label
+            )
+            for t, v in grads.items():
+                sums[t] = sums.get(t, 0) + v.astype(np.float64)
+            start = 0
+            for i, (t, size, dim) in enumerate(tensors):
+                index, values = _add_at(deep[:, i], back[:, start : start + dim])
+                start += dim
+                frequent = index < size
+                hot[t][index[frequent]] += values[frequent]
+                touched[t][index[frequent]] = True
+                if not frequent.all():
+                    yield _part(t, index[~frequent], 0, values[~frequent])
+            n, loss = n + len(label), loss + batch_loss
+        if n:
+            for t, v in sums.items():
+                yield _part(t, np.arange(len(v)), 0, v)
+            for t, v in hot.items():
+                index = np.flatnonzero(touched[t])
+                yield _part(t, index, 0, v[index])
+            yield _part(TOTAL, np.array([0]), 0, np.array([[loss, n]]))
+
+    parts = embedded.coalesce(tasks).mapInArrow(run, PART_SCHEMA)
+    return sum_parts(parts).select("tensor", "row", "values")
+
+
+def adam_table(table: DataFrame, sums: DataFrame, n: float, lr: float, steps: int) -> DataFrame:
+    """One Adam step on (tensor, row, values, m, v), given summed gradients of ``n`` rows."""
+    rate = lr / (1 - BETA1**steps)
+    root = (1 - BETA2**steps) ** 0.5
+    joined = table.join(
+        sums.select("tensor", "row", F.col("values").alias("g")), ["tensor", "row"], "left"
+    ).withColumn("g", F.coalesce("g", F.transform("values", lambda x: F.lit(0.0).cast("float"))))
+    moved = joined.select(
+        "tensor", "row", "values",
+        F.zip_with("m", "g", lambda m, g: BETA1 * m + (1 - BETA1) * g / n).alias("m"),
+        F.zip_with("v", "g", lambda v, g: BETA2 * v + (1 - BETA2) * (g / n) * (g / n)).alias("v"),
+    )
+    change = F.zip_with("m", "v", lambda m, v: rate * m / (F.sqrt(v) / root + EPSILON))
+    return moved.select(
+        "tensor", "row",
+        *[
+            c.cast("array<float>").alias(name)
+            for name, c in (
+                ("values", F.zip_with("values", change, lambda x, c: x - c)),
+                ("m", F.col("m")),
+                ("v", F.col("v")),
+            )
+        ],
+    )
 
 
 def _fitted(spark, params: DataFrame, history: list, path: str | None) -> Fitted:

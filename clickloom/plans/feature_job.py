@@ -7,10 +7,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from clickloom.operators import profile as pf
-from clickloom.operators.encode import MAX_LABELS, Encoding, fit_encoding
+from clickloom.operators.encode import MAX_LABELS, Encoding, count_sizes, fit_encoding
 from clickloom.session import freeze
 
 log = logging.getLogger(__name__)
@@ -31,17 +30,14 @@ class Features:
     rows: DataFrame
 
 
-def count_candidates(df: DataFrame, also: Sequence[str], max_bins: int) -> tuple[DataFrame, DataFrame]:
-    """Written value counts and profile of the columns that may become wide, and of ``also``.
+def count_candidates(df: DataFrame, also: Sequence[str], max_bins: int) -> tuple[DataFrame, list[str]]:
+    """Written value counts of the columns that may become wide and of ``also``; the former.
 
     A sketch of every column comes first, so columns of very many values are never grouped.
     """
-    names = pf.candidates(df)
-    kept = pf.screen(df, names, max_bins)
+    kept = pf.screen(df, pf.candidates(df), max_bins)
     cols = [n for n in df.columns if n in kept or n in also]
-    counts = freeze(pf.value_counts(df, cols))
-    columns = pf.columns_by_type(df).where(F.col("name").isin(kept))
-    return counts, pf.summarize(counts, columns)
+    return freeze(pf.value_counts(df, cols)), kept
 
 
 def featurize(
@@ -51,13 +47,18 @@ def featurize(
 ) -> Features:
     """Choose wide columns, fit the encoders on ``fit_on`` (default: all rows), encode ``df``."""
     source = df if fit_on is None else fit_on
-    counts, profile = count_candidates(source, [n for n, _ in deep] + [label], max_bins)
-    # One row per column of the table.
-    profile = df.sparkSession.createDataFrame(profile.collect(), profile.schema)
+    counts, kept = count_candidates(source, [n for n, _ in deep] + [label], max_bins)
+    sizes = count_sizes(counts)
+    rows = [
+        (i, n, t, *sizes.get(n, (0, False))) for i, (n, t) in enumerate(source.dtypes) if n in kept
+    ]
+    profile = df.sparkSession.createDataFrame(rows, pf.PROFILE_SCHEMA)
     selected = pf.select_wide(profile, max_bins, label)
     wide = [r["name"] for r in selected.orderBy("rank").collect()]
-    dropped = [r["name"] for r in pf.constant_columns(profile).collect()]
+    dropped = [n for _, n, _, ndv, _ in rows if ndv < 2]
     if dropped:
         log.warning("columns with a single value left out: %s", dropped)
-    encoding = fit_encoding(counts, wide, deep, label, on_invalid, label_order, max_labels)
+    encoding = fit_encoding(
+        counts, wide, deep, label, on_invalid, label_order, max_labels, sizes
+    )
     return Features(selected, encoding, encoding.transform(df))

@@ -239,6 +239,10 @@ FROM g, (SELECT unnest(range(1, 4)) AS epoch)""",
         FROM width, im LEFT JOIN slots ON slots.id = im.id GROUP BY im.id, w""",
     "feature_spec": f"""WITH {LONG} SELECT CAST(d.pos AS INT) AS pos, name, CAST(p.ndv AS INT) AS vocab,
         CAST(dim AS INT) AS dim FROM dims d JOIN prof p USING (name)""",
+    "random_split": f"""WITH {IM} SELECT count(*) AS rows, count(DISTINCT id) AS ids,
+        true AS near_share FROM im""",
+    "file_batches": f"""WITH {IM} SELECT CAST(5 AS BIGINT) AS batches, CAST(0 AS BIGINT) AS first,
+        CAST(4 AS BIGINT) AS last, count(*) AS rows, CAST(sum(id) AS BIGINT) AS ids FROM im""",
     "hash_split": f"WITH {IM} SELECT id, {SPLIT} AS split FROM im",
     "repartition_files": f"""WITH {IM} SELECT CAST(5 AS BIGINT) AS files, count(*) AS rows,
         CAST(sum(id) AS BIGINT) AS ids FROM im""",

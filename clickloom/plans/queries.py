@@ -21,7 +21,7 @@ from clickloom.operators import train as tr
 from clickloom.operators.ordering import with_row_index
 from clickloom.plans.feature_job import Features, featurize
 from clickloom.plans.impression_view import enriched, impressions
-from clickloom.session import col, scratch_dir
+from clickloom.session import col, freeze, scratch_dir
 from clickloom.sources import features_io as io
 from clickloom.sources import impressions as src
 
@@ -393,9 +393,16 @@ def feature_spec(spark, folder):
 
 @query
 def random_split(spark, folder):
-    parts = sp.random_split(impressions(spark, folder).select("id"))
+    """Row totals of both parts together: no row lost, none in both, shares as asked for."""
+    parts = sp.random_split(freeze(impressions(spark, folder).select("id")))
     named = [p.select("id", F.lit(n).alias("split")) for p, n in zip(parts, ("train", "validation"))]
-    return named[0].unionByName(named[1])
+    share = F.avg((F.col("split") == "train").cast("double"))
+    per_id = named[0].unionByName(named[1])
+    return per_id.agg(
+        F.count("*").alias("rows"),
+        F.countDistinct("id").alias("ids"),
+        (F.abs(share - 0.7) < 0.03).alias("near_share"),
+    )
 
 
 @query
@@ -431,7 +438,13 @@ def file_batches(spark, folder):
     path = scratch_dir(spark)
     io.write_features(impressions(spark, folder).select("id", "click", "hour"), path, n_files=5)
     read = bt.file_batches(io.read_features(spark, path, ["id", "click", "hour"]))
-    return read.groupBy("batch").agg(F.count("*").alias("rows"))
+    batches = read.groupBy("batch").agg(
+        F.count("*").alias("rows"), F.sum("id").cast("bigint").alias("ids")
+    )
+    return batches.agg(
+        F.count("*").alias("batches"), F.min("batch").alias("first"), F.max("batch").alias("last"),
+        F.sum("rows").alias("rows"), F.sum("ids").alias("ids"),
+    )
 
 
 # --- model -------------------------------------------------------------------------------
