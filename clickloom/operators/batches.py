@@ -11,13 +11,15 @@ from clickloom.operators.ordering import with_rank, with_row_index
 def shard_rows(df: DataFrame, workers: int, index: str = "row_index") -> DataFrame:
     """Add ``worker`` and ``worker_row`` to rows numbered by ``with_row_index``.
 
-    Worker w gets rows [w*p, min((w+1)*p, N)) with p = ceil(N / workers).
+    Worker w gets rows [w*p, min((w+1)*p, N)) with p = ceil(N / workers). N is read from the
+    index column of the written table.
     """
-    share = df.agg(F.greatest(F.ceil((F.max(index) + 1) / workers), F.lit(1)).alias("__share"))
-    return df.crossJoin(F.broadcast(share)).select(
+    last = df.agg(F.max(index)).first()[0]
+    share = 1 if last is None else -(-(last + 1) // workers)
+    return df.select(
         *df.columns,
-        F.expr(f"int({index} div __share)").alias("worker"),
-        (F.col(index) % F.col("__share")).alias("worker_row"),
+        F.expr(f"int(`{index}` div {share})").alias("worker"),
+        (F.col(index) % F.lit(share)).alias("worker_row"),
     )
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
@@ -18,14 +17,15 @@ from clickloom.operators.ordering import with_rank
 from clickloom.operators.profile import value_counts
 from clickloom.session import col, freeze
 
-log = logging.getLogger(__name__)
-
 SEP = "SEP"
-# Index labels that the driver may hold for all columns together; larger vocabularies stay
-# distributed tables.
-MAX_LABELS = 1_000_000
+# Index labels that the driver may hold for all columns of a pipeline together.
+MAX_LABELS = 200_000
+# The same for an encoding, whose larger deep vocabularies stay tables and are joined.
+MAX_INDEXER_LABELS = 1000
+# Vocabulary rows that may be broadcast for one column.
+BROADCAST_ROWS = 1_000_000
 # Values of one column that may be ranked in one task.
-MAX_RANKED_IN_TASK = 5_000_000
+MAX_RANKED_IN_TASK = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -58,15 +58,18 @@ def feature_spec(names: DataFrame) -> DataFrame:
     )
 
 
-def index_values(counts: DataFrame, order: str = "frequencyDesc") -> DataFrame:
+def index_values(
+    counts: DataFrame, order: str = "frequencyDesc", largest: int | None = None
+) -> DataFrame:
     """Value counts without NULL plus ``idx`` from 0: frequent first, ties alphabetical.
 
     ``order`` may also be ``alphabetAsc``. Columns with very many values are ranked over
-    ranges instead of one task per column.
+    ranges instead of one task per column; ``largest`` is the largest vocabulary if known.
     """
     known = counts.where(F.col("value").isNotNull())
     keys = [F.desc("n"), F.col("value")] if order == "frequencyDesc" else [F.col("value")]
-    largest = known.groupBy("name").count().agg(F.max("count")).first()[0] or 0
+    if largest is None:
+        largest = known.groupBy("name").count().agg(F.max("count")).first()[0] or 0
     if largest > MAX_RANKED_IN_TASK:
         return with_rank(known, ["name"], keys, "idx")
     window = Window.partitionBy("name").orderBy(*keys)
@@ -187,6 +190,7 @@ class Encoding:
     on_invalid: str
     joined: DataFrame | None
     joined_sizes: dict[str, int]
+    broadcast_rows: int = BROADCAST_ROWS
 
     @property
     def wide_dim(self) -> int:
@@ -209,8 +213,8 @@ class Encoding:
         for name, size in self.joined_sizes.items():
             table = self.joined.where(F.col("name") == name)
             indexed = rank_lookup(
-                indexed, col(name).cast("string"), table, "value", "idx", "idx", size, 0,
-                f"{name}__deep",
+                indexed, col(name).cast("string"), table, "value", "idx", "idx", size,
+                self.broadcast_rows, f"{name}__deep",
             )
             found = col(f"{name}__deep")
             if self.on_invalid == "skip":
@@ -245,13 +249,16 @@ def count_sizes(counts: DataFrame) -> dict[str, tuple[int, bool]]:
 
 def fit_encoding(
     counts: DataFrame, wide: Sequence[str], deep: Sequence[tuple[str, int]], label: str = "click",
-    on_invalid: str = "error", label_order: str = "frequencyDesc", max_labels: int = MAX_LABELS,
-    sizes: dict[str, tuple[int, bool]] | None = None,
+    on_invalid: str = "error", label_order: str = "frequencyDesc",
+    max_labels: int = MAX_INDEXER_LABELS, sizes: dict[str, tuple[int, bool]] | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> Encoding:
     """Fit from written value counts of all wide and deep columns and the label.
 
     ``deep`` holds (name, dim). Deep columns are given to the indexer while the labels
-    together stay within ``max_labels``; larger ones are indexed by join.
+    together stay within ``max_labels``. Larger ones are indexed by join to their vocabulary,
+    which is broadcast up to ``broadcast_rows``. Wide columns and the label, bounded by the
+    choice of columns, always go to the indexer.
     """
     if sizes is None:
         sizes = count_sizes(counts)
@@ -267,7 +274,7 @@ def fit_encoding(
     indexer = indexer_from_counts(
         counts, [*wide, *held, label],
         [*[f"{c}__wide" for c in wide], *[f"{n}__deep" for n in held], "label"],
-        on_invalid, label, label_order, max_labels,
+        on_invalid, label, label_order, MAX_LABELS,
         total=sum(sizes[c][0] for c in {*wide, *held, label}),
     )
     extra = 1 if on_invalid == "keep" else 0
@@ -277,11 +284,12 @@ def fit_encoding(
         raise ValueError(f"columns with a single value cannot be one-hot encoded: {one}")
     joined = None
     if large:
-        log.warning("vocabularies indexed by join: %s", large)
-        joined = freeze(index_values(counts.where(F.col("name").isin(large))))
+        largest = max(sizes[n][0] for n in large)
+        joined = freeze(index_values(counts.where(F.col("name").isin(large)), largest=largest))
     return Encoding(
         list(wide), widths, [Deep(n, sum(sizes[n]), d) for n, d in deep], indexer,
         {n: sizes[n][0] for n in names}, on_invalid, joined, {n: sizes[n][0] for n in large},
+        broadcast_rows,
     )
 
 

@@ -7,13 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.session import col
+from clickloom.session import col, local_table
 
 PROFILE_SCHEMA = "pos int, name string, type string, ndv bigint, has_null boolean"
 # Only these two types are candidates; wider numbers (ids) are not.
 CANDIDATE_TYPES = ("string", "int")
-# Registers of a distinct-count sketch, as a power of two: about 1.6% standard error.
-SKETCH_LG_K = 12
+# Rows in which a column of too many values is looked for first.
+SCREEN_ROWS = 10_000
 
 
 def candidates(df: DataFrame) -> list[str]:
@@ -24,7 +24,7 @@ def candidates(df: DataFrame) -> list[str]:
 def columns_by_type(df: DataFrame) -> DataFrame:
     """(pos, name, type) of every string and int column."""
     rows = [(i, n, t) for i, (n, t) in enumerate(df.dtypes) if t in CANDIDATE_TYPES]
-    return df.sparkSession.createDataFrame(rows, "pos int, name string, type string")
+    return local_table(df.sparkSession, rows, "pos int, name string, type string")
 
 
 def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -33,9 +33,17 @@ def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     Values are compared as text. Frequent values are added up before the shuffle, so a value
     that holds a third of the rows costs one row per task.
     """
-    texts = df.select(*[col(c).cast("string").alias(c) for c in cols])
-    long = texts.unpivot([], [col(c) for c in cols], "name", "value")
-    return long.groupBy("name", "value").agg(F.count("*").alias("n"))
+    if not cols:
+        return local_table(df.sparkSession, [], "name string, value string, n bigint")
+    # Columns go by their number until they are counted: shorter keys to hash and compare.
+    texts = df.select(*[col(c).cast("string").alias(str(i)) for i, c in enumerate(cols)])
+    long = texts.unpivot([], [str(i) for i in range(len(cols))], "number", "value")
+    names = F.array(*[F.lit(c) for c in cols])
+    return (
+        long.groupBy("number", "value")
+        .agg(F.count("*").alias("n"))
+        .select(names[F.col("number").cast("int")].alias("name"), "value", "n")
+    )
 
 
 def summarize(counts: DataFrame, columns: DataFrame) -> DataFrame:
@@ -55,7 +63,8 @@ def summarize(counts: DataFrame, columns: DataFrame) -> DataFrame:
 def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """(pos, name, type, ndv, has_null): exact distinct counts, NULL not counted."""
     cols = list(cols) if cols is not None else candidates(df)
-    columns = df.sparkSession.createDataFrame(
+    columns = local_table(
+        df.sparkSession,
         [(i, n, t) for i, (n, t) in enumerate(df.dtypes) if n in cols],
         "pos int, name string, type string",
     )
@@ -73,21 +82,16 @@ def vocab_sizes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def screen(df: DataFrame, cols: Sequence[str], max_bins: int) -> list[str]:
-    """Columns that may have at most ``max_bins`` values, by a sketch of every column.
+    """Columns that may have at most ``max_bins`` values.
 
-    One scan, and a few KB per column and task to merge. Only columns estimated at more than
-    twice the bound are left out, thirty standard errors away; the rest is to be counted
-    exactly.
+    A column with more values than that among SCREEN_ROWS rows is proven to have too many, so
+    its values need not be grouped. The others are to be counted over the whole table.
     """
     if not cols:
         return []
-    row = df.agg(
-        *[
-            F.hll_sketch_estimate(F.hll_sketch_agg(col(c), SKETCH_LG_K)).alias(str(i))
-            for i, c in enumerate(cols)
-        ]
-    ).first()
-    return [c for i, c in enumerate(cols) if (row[i] or 0) <= 2 * max_bins]
+    some = value_counts(df.limit(SCREEN_ROWS), cols).groupBy("name").agg(F.count("value").alias("ndv"))
+    above = {r["name"] for r in some.where(F.col("ndv") > max_bins).collect()}
+    return [c for c in cols if c not in above]
 
 
 def rank_columns(profile: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from clickloom.operators.network import (
     embedding_lookup, gather, init_parameters, layers, list_array, matrix, parameter_table,
     score_table, slot_lists, tower,
 )
-from clickloom.session import freeze, scratch_dir
+from clickloom.session import freeze, local_table, scratch_dir
 from clickloom.sources.features_io import save_parameters
 
 log = logging.getLogger(__name__)
@@ -33,8 +33,8 @@ log = logging.getLogger(__name__)
 # Adam's decay rates and divisor guard.
 BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-8
 
-# Rows of one tensor that are added up in one group.
-BLOCK_ROWS = 256
+# Values of one tensor that are added up in one group.
+BLOCK_VALUES = 1 << 18
 PART_SCHEMA = "tensor string, block int, row int, n double, values array<float>"
 # Parts that are no tensors: the summed loss with the row count, and the steps taken.
 TOTAL, STEPS = "total", "steps"
@@ -104,12 +104,16 @@ def gradient(
     return Gradient(grads, sparse, loss, len(label))
 
 
+def _block_rows(width: int) -> int:
+    return max(1, BLOCK_VALUES // width)
+
+
 def _part(tensor: str, index: np.ndarray, n: float, values: np.ndarray) -> pa.RecordBatch:
     size = len(index)
     return pa.RecordBatch.from_arrays(
         [
             pa.array([tensor] * size, pa.string()),
-            pa.array((index // BLOCK_ROWS).astype(np.int32)),
+            pa.array((index // _block_rows(values.shape[1])).astype(np.int32)),
             pa.array(index.astype(np.int32)),
             pa.array(np.full(size, float(n))),
             list_array(values),
@@ -120,22 +124,23 @@ def _part(tensor: str, index: np.ndarray, n: float, values: np.ndarray) -> pa.Re
 
 def _sum_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Add the values of equal rows of one block; holds one block, however many parts come."""
-    tensor, block, total, count, seen = None, 0, None, None, None
+    tensor, block, size, total, count, seen = None, 0, 0, None, None, None
     for batch in batches:
         if batch.num_rows == 0:
             continue
         values = matrix(batch.column("values"))
         if total is None:
             tensor, block = batch.column("tensor")[0].as_py(), batch.column("block")[0].as_py()
-            total = np.zeros((BLOCK_ROWS, values.shape[1]))
-            count, seen = np.zeros(BLOCK_ROWS), np.zeros(BLOCK_ROWS, dtype=bool)
-        index = batch.column("row").to_numpy() - block * BLOCK_ROWS
+            size = _block_rows(values.shape[1])
+            total = np.zeros((size, values.shape[1]))
+            count, seen = np.zeros(size), np.zeros(size, dtype=bool)
+        index = batch.column("row").to_numpy() - block * size
         np.add.at(total, index, values)
         np.add.at(count, index, batch.column("n").to_numpy())
         seen[index] = True
     if total is not None:
         kept = np.flatnonzero(seen)
-        out = _part(tensor, kept + block * BLOCK_ROWS, 0.0, total[kept])
+        out = _part(tensor, kept + block * size, 0.0, total[kept])
         yield out.set_column(3, "n", pa.array(count[kept]))
 
 
@@ -590,8 +595,8 @@ def adam_table(table: DataFrame, sums: DataFrame, n: float, lr: float, steps: in
 def _fitted(spark, params: DataFrame, history: list, path: str | None) -> Fitted:
     if path is not None:
         save_parameters(params, path)
-    table = spark.createDataFrame(
-        history, "epoch int, lr double, train_loss double, val_loss double"
+    table = local_table(
+        spark, history, "epoch int, lr double, train_loss double, val_loss double"
     )
     return Fitted(params, mark_best(table))
 

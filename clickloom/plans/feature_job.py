@@ -1,4 +1,4 @@
-"""The feature job: raw impressions to encoded rows in two narrow scans and one projection."""
+"""The feature job: raw impressions to encoded rows in one counting scan and one projection."""
 
 from __future__ import annotations
 
@@ -9,8 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from clickloom.operators import profile as pf
-from clickloom.operators.encode import MAX_LABELS, Encoding, count_sizes, fit_encoding
-from clickloom.session import freeze
+from clickloom.operators.encode import BROADCAST_ROWS, MAX_INDEXER_LABELS, Encoding, count_sizes, fit_encoding
+from clickloom.session import freeze, local_table
 
 log = logging.getLogger(__name__)
 
@@ -33,7 +33,7 @@ class Features:
 def count_candidates(df: DataFrame, also: Sequence[str], max_bins: int) -> tuple[DataFrame, list[str]]:
     """Written value counts of the columns that may become wide and of ``also``; the former.
 
-    A sketch of every column comes first, so columns of very many values are never grouped.
+    Columns proven to have too many values by a look at some rows are never grouped.
     """
     kept = pf.screen(df, pf.candidates(df), max_bins)
     cols = [n for n in df.columns if n in kept or n in also]
@@ -43,7 +43,8 @@ def count_candidates(df: DataFrame, also: Sequence[str], max_bins: int) -> tuple
 def featurize(
     df: DataFrame, deep: Sequence[tuple[str, int]] = DEEP_DIMS, label: str = "click",
     max_bins: int = 100, on_invalid: str = "error", label_order: str = "frequencyDesc",
-    fit_on: DataFrame | None = None, max_labels: int = MAX_LABELS,
+    fit_on: DataFrame | None = None, max_labels: int = MAX_INDEXER_LABELS,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> Features:
     """Choose wide columns, fit the encoders on ``fit_on`` (default: all rows), encode ``df``."""
     source = df if fit_on is None else fit_on
@@ -52,13 +53,13 @@ def featurize(
     rows = [
         (i, n, t, *sizes.get(n, (0, False))) for i, (n, t) in enumerate(source.dtypes) if n in kept
     ]
-    profile = df.sparkSession.createDataFrame(rows, pf.PROFILE_SCHEMA)
+    profile = local_table(df.sparkSession, rows, pf.PROFILE_SCHEMA)
     selected = pf.select_wide(profile, max_bins, label)
     wide = [r["name"] for r in selected.orderBy("rank").collect()]
     dropped = [n for _, n, _, ndv, _ in rows if ndv < 2]
     if dropped:
         log.warning("columns with a single value left out: %s", dropped)
     encoding = fit_encoding(
-        counts, wide, deep, label, on_invalid, label_order, max_labels, sizes
+        counts, wide, deep, label, on_invalid, label_order, max_labels, sizes, broadcast_rows
     )
     return Features(selected, encoding, encoding.transform(df))

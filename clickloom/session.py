@@ -5,10 +5,14 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Sequence
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def col(name: str) -> Column:
@@ -16,6 +20,15 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def local_table(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:
+    """A few rows held by the driver as a DataFrame; no Python worker is needed to read them."""
+    fields = T.StructType.fromDDL(schema)
+    arrow = to_arrow_schema(fields)
+    columns = list(zip(*rows)) if rows else [[] for _ in fields]
+    arrays = [pa.array(list(c), f.type) for c, f in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), fields)
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Path of a new, not yet existing folder in the cluster's shared folder.
 

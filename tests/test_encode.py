@@ -74,14 +74,17 @@ def test_null_policies(spark, max_labels):
     assert {r.id: r.deep for r in kept.rows.collect()}[3] == [2]
 
 
+@pytest.mark.parametrize("broadcast_rows", [0, 100])
 @pytest.mark.parametrize("policy,ids", [("skip", {1, 2, 4}), ("keep", {1, 2, 3, 4})])
-def test_null_policies_of_joined_columns(spark, policy, ids):
+def test_null_policies_of_joined_columns(spark, policy, ids, broadcast_rows):
     df = spark.createDataFrame(
         [(1, "a", "p", 0), (2, "b", "q", 1), (3, "a", None, 0), (4, "b", "p", 1)],
         "id bigint, s string, d string, click int",
     )
     counts = freeze(pf.value_counts(df, ["s", "d", "click"]))
-    fitted = en.fit_encoding(counts, ["s"], [("d", 4)], on_invalid=policy, max_labels=4)
+    fitted = en.fit_encoding(
+        counts, ["s"], [("d", 4)], on_invalid=policy, max_labels=4, broadcast_rows=broadcast_rows
+    )
     assert fitted.joined_sizes == {"d": 2}
     rows = {r.id: r.deep for r in fitted.transform(df).collect()}
     assert set(rows) == ids and rows[1] == [0] and rows[2] == [1]
@@ -94,7 +97,7 @@ def test_null_policies_of_joined_columns(spark, policy, ids):
 def test_joined_index_equals_indexer(spark, table):
     counts = freeze(pf.value_counts(table, ["s", "n", "d", "click"]))
     small = en.fit_encoding(counts, ["n"], [("s", 4), ("d", 4)])
-    large = en.fit_encoding(counts, ["n"], [("s", 4), ("d", 4)], max_labels=5)
+    large = en.fit_encoding(counts, ["n"], [("s", 4), ("d", 4)], max_labels=5, broadcast_rows=3)
     assert large.joined_sizes == {"s": 6, "d": 3}
     assert small.spec == large.spec
     key = lambda e: sorted((r.id, tuple(r.slots), tuple(r.deep), r.label) for r in e.transform(table).collect())
