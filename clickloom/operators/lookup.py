@@ -37,7 +37,10 @@ def rank_lookup(
     hot = F.broadcast(
         entry.where(F.col("__rank") < HOT_ROWS).select("__k", F.col("__v").alias("__hot"))
     )
-    cold = entry.where(F.col("__rank") >= HOT_ROWS).select("__k", "__v", F.lit(0).alias("__s"))
+    # The table's salt is always 0, but computed: a literal would be folded into the condition
+    # and rows be shuffled by the key alone.
+    zero = F.pmod(F.xxhash64("__k"), F.lit(1)).cast("int")
+    cold = entry.where(F.col("__rank") >= HOT_ROWS).select("__k", "__v", zero.alias("__s"))
     # A NULL key matches nothing either, and spreads likewise.
     settled = F.col("__hot").isNotNull() | F.col("__key").isNull()
     spread = F.pmod(F.xxhash64(*kept, F.spark_partition_id()), F.lit(SPREAD)).cast("int") + 1
