@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import and_
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel
@@ -20,8 +23,9 @@ from clickloom.session import col, freeze
 SEP = "SEP"
 # Index labels that the driver may hold for all columns of a pipeline together.
 MAX_LABELS = 200_000
-# The same for an encoding, whose larger deep vocabularies stay tables and are joined.
-MAX_INDEXER_LABELS = 1000
+# Values of one column that an encoding looks up in place, frequent ones first; larger
+# vocabularies stay tables and are joined.
+MAX_INLINE_LABELS = 128
 # Vocabulary rows that may be broadcast for one column.
 BROADCAST_ROWS = 1_000_000
 # Values of one column that may be ranked in one task.
@@ -123,18 +127,28 @@ def indexer_from_counts(
         total = known.count()
     if total > max_labels:
         raise ValueError(f"{total} index labels exceed {max_labels}; index these columns by join")
-    found: dict[str, list[tuple[int, str]]] = {c: [] for c in cols}
-    for name, value, n in known.select("name", "value", "n").collect():
-        frequency = 0 if name == label and label_order == "alphabetAsc" else -n
-        found[name].append((frequency, value))
+    found = ordered_labels(known, cols, label, label_order)
     return PipelineModel(
         [
-            StringIndexerModel.from_labels([v for _, v in sorted(found[c])], c, out, on_invalid)
+            StringIndexerModel.from_labels(found[c], c, out, on_invalid)
             for c, out in zip(cols, outputs)
         ]
     )
 
 
+def ordered_labels(
+    counts: DataFrame, cols: Sequence[str], label: str | None = None,
+    label_order: str = "frequencyDesc",
+) -> dict[str, list[str]]:
+    """Labels of each column in index order, brought to the driver; their number is checked before."""
+    known = counts.where(F.col("name").isin(list(cols)) & F.col("value").isNotNull())
+    found: dict[str, list[tuple[int, str]]] = {c: [] for c in cols}
+    for name, value, n in known.select("name", "value", "n").collect():
+        frequency = 0 if name == label and label_order == "alphabetAsc" else -n
+        found[name].append((frequency, value))
+    return {c: [v for _, v in sorted(pairs)] for c, pairs in found.items()}
+
+
 def _encoder_stages(wide: Sequence[str]) -> list:
     return [
         OneHotEncoder(
@@ -180,16 +194,16 @@ def fit_transform(
 
 @dataclass(frozen=True)
 class Encoding:
-    """Fitted encoders: an indexer for columns of bounded vocabulary, tables for the rest."""
+    """Fitted encoders: short label lists looked up in place, vocabulary tables for the rest."""
 
     wide: list[str]
     widths: list[int]
     deep: list[Deep]
-    indexer: PipelineModel
+    label: str
     sizes: dict[str, int]
-    on_invalid: str
+    labels: dict[str, list[str]]
     joined: DataFrame | None
-    joined_sizes: dict[str, int]
+    on_invalid: str
     broadcast_rows: int = BROADCAST_ROWS
 
     @property
@@ -203,39 +217,48 @@ class Encoding:
         extra = 1 if self.on_invalid == "keep" else 0
         return [replace(d, vocab=max(self.sizes[d.name] + extra, d.vocab)) for d in self.deep]
 
+    @property
+    def joined_sizes(self) -> dict[str, int]:
+        return {n: size for n, size in self.sizes.items() if n not in self.labels}
+
     def transform(self, df: DataFrame) -> DataFrame:
         """Append ``slots`` (numbers of the wide slots that are 1), ``deep`` and ``label``.
 
-        A projection only, unless a deep vocabulary is too large for the indexer.
+        A projection only, unless a vocabulary is too large to be broadcast.
         """
-        names = df.columns
-        indexed = self.indexer.transform(df)
-        for name, size in self.joined_sizes.items():
-            table = self.joined.where(F.col("name") == name)
-            indexed = rank_lookup(
-                indexed, col(name).cast("string"), table, "value", "idx", "idx", size,
-                self.broadcast_rows, f"{name}__deep",
-            )
-            found = col(f"{name}__deep")
-            if self.on_invalid == "skip":
-                indexed = indexed.where(found.isNotNull())
+        indexed, found = df, {}
+        for name, size in self.sizes.items():
+            text = col(name).cast("string")
+            if name in self.labels:
+                known = F.from_json(F.lit(json.dumps(self.labels[name])), "array<string>")
+                found[name] = F.nullif(F.array_position(known, text), F.lit(0)) - 1
             else:
-                other = (
-                    F.lit(size)
-                    if self.on_invalid == "keep"
-                    else F.raise_error(F.lit(f"NULL or unseen value in {name}"))
+                table = self.joined.where(F.col("name") == name)
+                indexed = rank_lookup(
+                    indexed, text, table, "value", "idx", "idx", size, self.broadcast_rows,
+                    f"{name}__found",
                 )
-                indexed = indexed.withColumn(f"{name}__deep", F.coalesce(found, other))
+                found[name] = col(f"{name}__found")
+        if self.on_invalid == "error":
+            other = lambda n: F.raise_error(F.lit(f"NULL or unseen value in {n}"))
+        else:
+            other = lambda n: F.lit(self.sizes[n])
+        index = {n: f"{n}__idx" for n in found}
+        if self.on_invalid == "skip":
+            indexed = indexed.where(reduce(and_, [i.isNotNull() for i in found.values()]))
+        indexed = indexed.select(
+            *[col(c) for c in df.columns],
+            *[F.coalesce(i, other(n)).cast("int").alias(index[n]) for n, i in found.items()],
+        )
         slots, start = [], 0
         for c, width in zip(self.wide, self.widths):
-            idx = col(f"{c}__wide")
-            slots.append(F.when(idx < width, idx.cast("int") + start))
+            slots.append(F.when(col(index[c]) < width, col(index[c]) + start))
             start += width
         return indexed.select(
-            *[col(c) for c in names],
+            *[col(c) for c in df.columns],
             F.array_compact(F.array(*slots)).alias("slots"),
-            F.array(*[col(f"{d.name}__deep").cast("int") for d in self.deep]).alias("deep"),
-            "label",
+            F.array(*[col(index[d.name]) for d in self.deep]).alias("deep"),
+            col(index[self.label]).cast("double").alias("label"),
         )
 
 
@@ -250,45 +273,33 @@ def count_sizes(counts: DataFrame) -> dict[str, tuple[int, bool]]:
 def fit_encoding(
     counts: DataFrame, wide: Sequence[str], deep: Sequence[tuple[str, int]], label: str = "click",
     on_invalid: str = "error", label_order: str = "frequencyDesc",
-    max_labels: int = MAX_INDEXER_LABELS, sizes: dict[str, tuple[int, bool]] | None = None,
+    max_labels: int = MAX_INLINE_LABELS, sizes: dict[str, tuple[int, bool]] | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> Encoding:
     """Fit from written value counts of all wide and deep columns and the label.
 
-    ``deep`` holds (name, dim). Deep columns are given to the indexer while the labels
-    together stay within ``max_labels``. Larger ones are indexed by join to their vocabulary,
-    which is broadcast up to ``broadcast_rows``. Wide columns and the label, bounded by the
-    choice of columns, always go to the indexer.
+    ``deep`` holds (name, dim). Columns of up to ``max_labels`` values are looked up in place.
+    Larger ones are indexed by join to their vocabulary, broadcast up to ``broadcast_rows``.
+    ``on_invalid`` is as in ``build_pipeline``.
     """
     if sizes is None:
         sizes = count_sizes(counts)
-    names = [n for n, _ in deep]
-    budget = max_labels - sum(sizes[c][0] for c in (*wide, label))
-    held = []
-    for n in sorted(names, key=lambda n: sizes[n][0]):
-        if sizes[n][0] <= budget:
-            held.append(n)
-            budget -= sizes[n][0]
-    held = [n for n in names if n in held]
-    large = [n for n in names if n not in held]
-    indexer = indexer_from_counts(
-        counts, [*wide, *held, label],
-        [*[f"{c}__wide" for c in wide], *[f"{n}__deep" for n in held], "label"],
-        on_invalid, label, label_order, MAX_LABELS,
-        total=sum(sizes[c][0] for c in {*wide, *held, label}),
-    )
+    used = list(dict.fromkeys([*wide, *[n for n, _ in deep], label]))
+    number = {n: sizes.get(n, (0, False))[0] for n in used}
+    small = [n for n in used if number[n] <= max_labels or n == label]
+    large = [n for n in used if n not in small]
     extra = 1 if on_invalid == "keep" else 0
-    widths = [sizes[c][0] + extra - 1 for c in wide]
+    widths = [number[c] + extra - 1 for c in wide]
     if min(widths, default=1) < 1:
         one = [c for c, w in zip(wide, widths) if w < 1]
         raise ValueError(f"columns with a single value cannot be one-hot encoded: {one}")
     joined = None
     if large:
-        largest = max(sizes[n][0] for n in large)
+        largest = max(number[n] for n in large)
         joined = freeze(index_values(counts.where(F.col("name").isin(large)), largest=largest))
     return Encoding(
-        list(wide), widths, [Deep(n, sum(sizes[n]), d) for n, d in deep], indexer,
-        {n: sizes[n][0] for n in names}, on_invalid, joined, {n: sizes[n][0] for n in large},
+        list(wide), widths, [Deep(n, sum(sizes.get(n, (0, False))), d) for n, d in deep], label,
+        number, ordered_labels(counts, small, label, label_order), joined, on_invalid,
         broadcast_rows,
     )
 

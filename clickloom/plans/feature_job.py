@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from clickloom.operators import profile as pf
-from clickloom.operators.encode import BROADCAST_ROWS, MAX_INDEXER_LABELS, Encoding, count_sizes, fit_encoding
+from clickloom.operators.encode import BROADCAST_ROWS, MAX_INLINE_LABELS, Encoding, count_sizes, fit_encoding
 from clickloom.session import freeze, local_table
 
 log = logging.getLogger(__name__)
@@ -43,7 +43,7 @@ def count_candidates(df: DataFrame, also: Sequence[str], max_bins: int) -> tuple
 def featurize(
     df: DataFrame, deep: Sequence[tuple[str, int]] = DEEP_DIMS, label: str = "click",
     max_bins: int = 100, on_invalid: str = "error", label_order: str = "frequencyDesc",
-    fit_on: DataFrame | None = None, max_labels: int = MAX_INDEXER_LABELS,
+    fit_on: DataFrame | None = None, max_labels: int = MAX_INLINE_LABELS,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> Features:
     """Choose wide columns, fit the encoders on ``fit_on`` (default: all rows), encode ``df``."""
