@@ -3,11 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clickloom.llm import classifier, packing, rules, tokens
+from clickloom.llm import classifier, fingerprints, jaccard, mixing, packing, rules, tokens
 from clickloom.llm.text import table
 
 
+def op1_pfair_mix(spark: SparkSession, folder: str) -> DataFrame:
+    placed = mixing.schedule(table(spark, folder, "documents").select("doc_id", "source"))
+    return placed.select(
+        F.col("row.doc_id").alias("doc_id"), "source", "block", "release", "deadline", "slot", "place"
+    )
+
+
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_counts(table(spark, folder, "documents"))
 
@@ -17,10 +25,18 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.quality_rules(documents, rules.fit_rules(documents, table(spark, folder, "labels")))
 
 
+def op7_jaccard_components(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, folder, "documents"))
+
+
 def op8_bfd_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+def op9_oph_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprint_pairs(table(spark, folder, "documents"))
+
+
 def op10_subword_quality(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     model = classifier.fit_quality(documents, table(spark, folder, "labels"))
@@ -29,7 +45,10 @@ def op10_subword_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     q.__name__: q
-    for q in (op2_token_counts, op6_quality_rules, op8_bfd_packing, op10_subword_quality)
+    for q in (
+        op1_pfair_mix, op2_token_counts, op6_quality_rules, op7_jaccard_components,
+        op8_bfd_packing, op9_oph_fingerprints, op10_subword_quality,
+    )
 }
 
 ORACLE: dict[str, str] = {}

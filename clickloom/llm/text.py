@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from clickloom.session import col
+from clickloom.session import col, ship_package
 
 #: Rows that a task turns into Python objects at a time.
 SLICE = 512
@@ -29,6 +29,7 @@ def by_slice(
 ) -> DataFrame:
     """One Arrow pass over columns ``names``: ``make()`` gives, once per task, the function that
     turns a list of column value lists into a list of result columns."""
+    ship_package(df.sparkSession)
     fields = T.StructType.fromDDL(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -48,6 +49,7 @@ def by_slice(
 def filter_rows(docs: DataFrame, name: str, make: Callable[[], Callable]) -> DataFrame:
     """The rows of ``docs``, all columns, for which the function that ``make()`` gives says True
     on a list of values of column ``name``. No join and no shuffle."""
+    ship_package(docs.sparkSession)
     at = docs.columns.index(name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,6 +98,7 @@ def fit_in_one_task(sample: DataFrame, train: Callable, columns: list[str]) -> b
         lists = [rows.column(i).to_pylist() for i in range(len(columns))] if rows else [[]] * len(columns)
         yield pa.RecordBatch.from_arrays([pa.array([train(*lists)], pa.binary())], names=["model"])
 
+    ship_package(sample.sparkSession)
     picked = sample.select(*[col(c) for c in columns])
     schema = to_arrow_schema(picked.schema)
     made = picked.repartition(1).mapInArrow(run, "model binary").collect()
