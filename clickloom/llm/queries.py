@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import classifier, fingerprints, jaccard, mixing, packing, rules, tokens
+from clickloom.llm import (
+    chat, classifier, fingerprints, jaccard, licenses, lm, mixing, packing, rules, tokens,
+)
+from clickloom.llm.oracle import ORACLE  # noqa: F401
 from clickloom.llm.text import table
 
 
@@ -20,6 +23,20 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_counts(table(spark, folder, "documents"))
 
 
+def op3_chat_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.repaired(table(spark, folder, "conversations"))
+
+
+def op4_backoff_scores(spark: SparkSession, folder: str) -> DataFrame:
+    scores = lm.backoff_scores(table(spark, folder, "documents"))
+    rounded = {c: F.round(c, 4) for c in ("log_score", "mean_log_score")}  # sums of doubles
+    return scores.withColumns(rounded)
+
+
+def op5_license_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_spans(table(spark, folder, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     return rules.quality_rules(documents, rules.fit_rules(documents, table(spark, folder, "labels")))
@@ -46,9 +63,8 @@ def op10_subword_quality(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     q.__name__: q
     for q in (
-        op1_pfair_mix, op2_token_counts, op6_quality_rules, op7_jaccard_components,
-        op8_bfd_packing, op9_oph_fingerprints, op10_subword_quality,
+        op1_pfair_mix, op2_token_counts, op3_chat_repair, op4_backoff_scores, op5_license_spans,
+        op6_quality_rules, op7_jaccard_components, op8_bfd_packing, op9_oph_fingerprints,
+        op10_subword_quality,
     )
 }
-
-ORACLE: dict[str, str] = {}
