@@ -43,7 +43,7 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
         # bins in order, gaps filled with a mark
         bins: f"""concat(array_join(transform({least}, (h, i) -> concat(
             repeat('{EMPTY}', cast({number('h')} - if(i = 0, 0, {number(f'{least}[i - 1]')} + 1) as int)),
-            {digit('h')})), ''), repeat('{EMPTY}', cast({BINS - 1} - {number(f'element_at({least}, -1)')} as int)))""",
+            {digit('h')})), ''), repeat('{EMPTY}', cast({BINS - 1} - {number(f'try_element_at({least}, -1)')} as int)))""",
         name: f"""case when size({least}) = 0 or {least} is null then ''
             when instr({bins}, '{EMPTY}') = 0 then {bins}
             else array_join(transform(sequence(0, {BINS - 1}), i -> coalesce(
