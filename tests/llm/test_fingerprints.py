@@ -2,8 +2,6 @@ import hashlib
 import re
 
 import numpy as np
-from pyspark.sql import functions as F
-
 from clickloom.llm import fingerprints
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -69,4 +67,3 @@ def test_plan_has_no_python(documents):
     made = fingerprints.with_fingerprint(fingerprints.edited_and_next(documents), "text", "f")
     plan = made._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
-    assert made.where(F.length("f") == 256).count() == documents.count()
