@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.text import by_slice
-from clickloom.llm.tokens import VOCABULARY, remembered
+from clickloom.llm.tokens import VOCABULARY, packed, remembered
 
 #: Tokens of a sequence, id that ends a document, pieces that are packed together.
 LENGTH, END, GROUP = 2048, 1, 4096
@@ -79,12 +79,12 @@ def document_pieces(
     path = path or public_tokenizers.path(VOCABULARY)
 
     def make():
-        encode = remembered(path, lambda ids: np.array(ids, "<u4").tobytes())
+        encode, end = remembered(path, packed), packed([END])
 
         def run(doc_ids, texts):
             rows = []
             for doc, pieces in zip(doc_ids, encode([t or "" for t in texts])):
-                raw = b"".join(pieces) + np.array([END], "<u4").tobytes()
+                raw = b"".join(pieces) + end
                 total = len(raw) // 4
                 for start in range(0, total, length):
                     part = raw[4 * start : 4 * (start + length)]

@@ -9,6 +9,7 @@ without merging. Only the others are merged, each distinct one once per task.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -109,20 +110,32 @@ def pre_tokens(path: str, text: str) -> list[str]:
     return [p for i, part in enumerate(parts) for p in ([part] if i % 2 else divide(part))]
 
 
-def remembered(path: str, value: Callable[[list[int]], object]) -> Callable[[list[str]], list[list]]:
-    """Function from texts to the values of their pre-tokens, a list for each text."""
+def packed(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit numbers."""
+    return array("I", ids).tobytes()
+
+
+@lru_cache(2)
+def known_values(path: str, value: Callable[[list[int]], object]) -> tuple[dict, dict]:
+    """The values of all whole and special tokens, and a copy to which a worker adds what it
+    meets, in this task and the next ones."""
     whole = {s: value([i]) for s, i in whole_tokens(path).items()}
     special = special_split(path)
     if special:
         whole |= {s: value([i]) for s, i in special[1].items()}
-    known = dict(whole)
+    return whole, dict(whole)
+
+
+def remembered(path: str, value: Callable[[list[int]], object]) -> Callable[[list[str]], list[list]]:
+    """Function from texts to the values of their pre-tokens, a list for each text."""
+    whole, known = known_values(path, value)
 
     def run(texts: list[str]) -> list[list]:
         if len(known) > CACHE + len(whole):
             known.clear()
             known.update(whole)
         pieces = [pre_tokens(path, t) for t in texts]
-        new = list({p for x in pieces for p in x} - known.keys())
+        new = list(set().union(*pieces) - known.keys())
         known.update(zip(new, map(value, encode(path, new))))
         return [list(map(known.__getitem__, x)) for x in pieces]
 
