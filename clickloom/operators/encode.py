@@ -130,7 +130,9 @@ def indexer_from_counts(
     found = ordered_labels(known, cols, label, label_order)
     return PipelineModel(
         [
-            StringIndexerModel.from_labels(found[c], c, out, on_invalid)
+            StringIndexerModel.from_labels(
+                found[c], c, out, "error" if c == label and on_invalid == "keep" else on_invalid
+            )
             for c, out in zip(cols, outputs)
         ]
     )
@@ -241,8 +243,9 @@ class Encoding:
                 found[name] = col(f"{name}__found")
         if self.on_invalid == "error":
             other = lambda n: F.raise_error(F.lit(f"NULL or unseen value in {n}"))
-        else:
-            other = lambda n: F.lit(self.sizes[n])
+        else:  # a label has no further class
+            missing = F.raise_error(F.lit(f"NULL or unseen value in {self.label}"))
+            other = lambda n: missing if n == self.label else F.lit(self.sizes[n])
         index = {n: f"{n}__idx" for n in found}
         if self.on_invalid == "skip":
             indexed = indexed.where(reduce(and_, [i.isNotNull() for i in found.values()]))

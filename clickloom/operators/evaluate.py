@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.scalar import logistic_loss, sigmoid
@@ -18,9 +18,22 @@ def probability(df: DataFrame, logit: str = "logit") -> DataFrame:
     return df.withColumn("probability", sigmoid(col(logit)))
 
 
+def _checked(df: DataFrame, score: str, label: str) -> tuple[Column, Column]:
+    """Score and label as doubles; a NULL or NaN score and labels other than 0 and 1 are errors."""
+    value, truth = col(score).cast("double"), col(label).cast("double")
+    valued = F.when(value.isNotNull() & ~F.isnan(value), value)
+    labelled = F.when(truth.isin(0.0, 1.0), truth)
+    return (
+        F.coalesce(valued, F.raise_error(F.lit(f"{score} is missing in a row")).cast("double")),
+        F.coalesce(labelled, F.raise_error(F.lit(f"{label} is neither 0 nor 1 in a row")).cast("double")),
+    )
+
+
 def log_loss(df: DataFrame, logit: str = "logit", label: str = "label") -> DataFrame:
-    """(log_loss): mean binary cross-entropy."""
-    return df.agg(F.avg(logistic_loss(col(logit), col(label))).alias("log_loss"))
+    """(log_loss): mean binary cross-entropy. Every row needs a logit and a label 0 or 1."""
+    value, truth = _checked(df, logit, label)
+    rows = df.select(value.alias("logit"), truth.alias("label"))
+    return rows.agg(F.avg(logistic_loss(F.col("logit"), F.col("label"))).alias("log_loss"))
 
 
 def running_loss(
@@ -64,13 +77,15 @@ def roc_auc(df: DataFrame, score: str = "probability", label: str = "label") ->
 
     Equal scores are added up first, so a score that a third of the rows share is one row. The
     distinct scores are laid out in ranges, each range adds up its own pairs in order, and only
-    the ranges' totals, one row each, meet. NULL if one class is absent.
+    the ranges' totals, one row each, meet. NULL if one class is absent. Every row needs a score
+    and a label 0 or 1.
     """
-    positive = col(label).cast("double") == 1.0
+    value, truth = _checked(df, score, label)
+    positive = F.col("label") == 1.0
     points = (
-        df.groupBy(col(score).cast("double").alias("score"))
+        df.select(value.alias("score"), truth.alias("label"))
+        .groupBy("score")
         .agg(F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg"))
-        .where(F.col("score").isNotNull())
         .repartitionByRange("score")
         .sortWithinPartitions("score")
     )

@@ -22,8 +22,9 @@ def rank_lookup(
     ``rows`` is their number. Up to ``broadcast_rows`` the table is broadcast. Beyond, only
     its HOT_ROWS most frequent rows are, and the rest is joined by shuffle. Rows already
     answered are kept in place of a hot key by a spread one, so a key that holds a third of
-    the rows reaches no single task. The spread depends on the row and its partition only,
-    so that a repeated task sends each row to the same place again.
+    the rows reaches no single task. The spread depends on the key and the partition only,
+    so that a repeated task sends each row to the same place again. A frequent key that the
+    table does not hold is left to the adaptive split of skewed joins.
     """
     kept = [col(c) for c in df.columns]
     entry = table.select(
@@ -43,7 +44,8 @@ def rank_lookup(
     cold = entry.where(F.col("__rank") >= HOT_ROWS).select("__k", "__v", zero.alias("__s"))
     # A NULL key matches nothing either, and spreads likewise.
     settled = F.col("__hot").isNotNull() | F.col("__key").isNull()
-    spread = F.pmod(F.xxhash64(*kept, F.spark_partition_id()), F.lit(SPREAD)).cast("int") + 1
+    # The key and the partition, not the whole row: no column is read for it.
+    spread = F.pmod(F.xxhash64("__key", F.spark_partition_id()), F.lit(SPREAD)).cast("int") + 1
     marked = (
         df.withColumn("__key", key)
         .join(hot, F.col("__key") == F.col("__k"), "left")

@@ -25,7 +25,7 @@ from clickloom.operators.network import (
     embedding_lookup, gather, init_parameters, layers, list_array, matrix, parameter_table,
     score_table, slot_lists, tower,
 )
-from clickloom.session import freeze, local_table, scratch_dir
+from clickloom.session import col, freeze, local_table, scratch_dir
 from clickloom.sources.features_io import save_parameters
 
 log = logging.getLogger(__name__)
@@ -156,18 +156,16 @@ def _inputs(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 
 
 def batch_gradient(
-    df: DataFrame, params: DataFrame, spec: Sequence[Deep], tasks: int = 1000,
-    max_bytes: int = BROADCAST_BYTES,
+    df: DataFrame, params: DataFrame, spec: Sequence[Deep], max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(tensor, row, values): gradient of the loss, summed over all rows.
 
     The row ``total`` holds the summed loss and the number of rows.
-    Each task adds up its own rows and returns only the embedding rows it touched. At most
-    ``tasks`` tasks do, so the parts do not grow with the number of input splits.
+    Each task adds up its own rows and returns only the embedding rows it touched.
     """
     if embedding_bytes(spec) > max_bytes:
         dense = collect_parameters(params.where(~F.col("tensor").startswith("emb:")))
-        return distributed_gradient(df, dense, params, spec, tasks=tasks, max_bytes=max_bytes)
+        return distributed_gradient(df, dense, params, spec, max_bytes=max_bytes)
     names = [d.name for d in spec]
     shared = df.sparkSession.sparkContext.broadcast(
         collect_parameters(params, max_bytes + BROADCAST_BYTES)
@@ -199,7 +197,7 @@ def batch_gradient(
             yield _part(TOTAL, np.array([0]), n, np.array([[loss, n]]))
 
     narrow = df.select("slots", "deep", F.col("label").cast("double").alias("label"))
-    parts = narrow.coalesce(tasks).mapInArrow(run, PART_SCHEMA)
+    parts = narrow.mapInArrow(run, PART_SCHEMA)
     return sum_parts(parts).select("tensor", "row", "values")
 
 
@@ -258,9 +256,10 @@ def _moments(params: Params) -> Params:
 
 def train_round(
     df: DataFrame, params: Params, moments: Params, steps: int, spec: Sequence[Deep], lr: float,
-    batch_size: int, dropout: float, workers: int, seed: Sequence[int],
+    batch_size: int, dropout: float, seed: Sequence[int],
 ) -> tuple[Params, Params, int, float, int]:
-    """One round: every worker takes Adam steps on its own rows, then all are averaged by rows.
+    """One round: every partition of ``df`` is a worker that takes Adam steps on its own rows in
+    their order, then all are averaged by rows.
 
     Returns parameters, moments, steps taken so far, summed loss and row count. With
     one worker this is plain sequential Adam. Parameters and moments are averaged as changes,
@@ -296,7 +295,7 @@ def train_round(
         yield _part(TOTAL, np.array([0]), n, np.array([[loss]]))
         yield _part(STEPS, np.array([0]), n, np.array([[(adam.steps - steps) * n]]))
 
-    parts = df.coalesce(workers).mapInArrow(run, PART_SCHEMA)
+    parts = df.mapInArrow(run, PART_SCHEMA)
     summed = sum_parts(parts).select("tensor", "row", "n", "values").toArrow()
     shared.unpersist()
     return _averaged(summed, params, moments, steps)
@@ -342,11 +341,12 @@ def lr_schedule(
 
 
 def mark_best(history: DataFrame) -> DataFrame:
-    """Add ``is_best``: validation loss strictly below that of every epoch before."""
+    """Add ``is_best``: validation loss strictly below that of every epoch before. A loss that is
+    not a number is never best."""
     # One row per epoch.
     before = Window.orderBy("epoch").rowsBetween(Window.unboundedPreceding, -1)
-    lowest = F.min("val_loss").over(before)
-    return history.withColumn("is_best", lowest.isNull() | (F.col("val_loss") < lowest))
+    lowest = F.coalesce(F.min(F.nanvl("val_loss", F.lit(float("inf")))).over(before), F.lit(float("inf")))
+    return history.withColumn("is_best", F.coalesce(F.col("val_loss") < lowest, F.lit(False)))
 
 
 def best_epoch(history: DataFrame) -> DataFrame:
@@ -365,20 +365,33 @@ class Fitted:
     history: DataFrame
 
 
-def stage(df: DataFrame, workers: int, rounds: int) -> DataFrame:
-    """Write the training columns, spread over rounds, as a table partitioned by round."""
-    narrow = df.select("slots", "deep", F.col("label").cast("float").alias("label"))
-    # Equal rows spread too: the hash also takes the partition a row comes from.
-    spread = F.pmod(F.xxhash64("slots", "deep", "label", F.spark_partition_id()), F.lit(rounds * workers))
-    placed = narrow.withColumn("__at", spread).select(
-        "slots", "deep", "label", (F.col("__at") % rounds).cast("int").alias("round"),
-        F.expr(f"int(__at div {rounds})").alias("__worker"),
+def stage(df: DataFrame, workers: int, rounds: int, key: str | None = None) -> DataFrame:
+    """Write the training columns with the round and the worker of each row and a hash ``turn``,
+    from which every epoch derives its order; a table partitioned by round.
+
+    With ``key``, a column that tells rows apart, the rows of a worker do not depend on the
+    layout of ``df``. Without it the values and the partition a row comes from are hashed.
+    """
+    values = ["slots", "deep", "label"]
+    if key is None:
+        turn = F.xxhash64(*values, F.spark_partition_id(), F.monotonically_increasing_id())
+    else:
+        turn = F.xxhash64(col(key))
+    at = F.pmod(F.xxhash64("turn", F.lit(1)), F.lit(rounds * workers))
+    placed = df.withColumn("turn", turn).select(
+        "slots", "deep", F.col("label").cast("float").alias("label"), "turn",
+        (at % rounds).cast("int").alias("round"), F.floor(at / rounds).cast("int").alias("worker"),
     )
     path = scratch_dir(df.sparkSession)
-    laid = placed.repartition(rounds * workers, "round", "__worker").drop("__worker")
-    laid.write.partitionBy("round").parquet(path)
-    schema = narrow.schema.add("round", "integer")
-    return df.sparkSession.read.schema(schema).parquet(path)
+    placed.write.partitionBy("round").parquet(path)
+    return df.sparkSession.read.schema(placed.schema).parquet(path)
+
+
+def lay_out(rows: DataFrame, workers: int, seed: Sequence[int]) -> DataFrame:
+    """Staged rows with one partition for each worker, in an order that ``seed`` decides."""
+    order = F.xxhash64("turn", *map(F.lit, seed))
+    laid = rows.repartitionById(workers, F.col("worker")).sortWithinPartitions(order, "turn")
+    return laid.select("slots", "deep", "label")
 
 
 def validate(
@@ -391,24 +404,36 @@ def validate(
 def fit(
     df: DataFrame, spec: Sequence[Deep], wide_dim: int, validation: DataFrame | None = None,
     hidden: Sequence[int] = HIDDEN, epochs: int = 5, batch_size: int = 2048, lr: float = 1e-3,
-    dropout: float = 0.7, workers: int = 2, rounds: int = 1, seed: int = 42,
-    path: str | None = None, max_bytes: int = BROADCAST_BYTES,
+    dropout: float = 0.7, workers: int | None = None, rounds: int = 1, seed: int = 42,
+    path: str | None = None, max_bytes: int = BROADCAST_BYTES, key: str | None = None,
 ) -> Fitted:
     """Train on rows (slots, deep, label); keep the parameters of the best validation loss.
 
     Each epoch is ``rounds`` rounds; in each, ``workers`` tasks step through their rows in
-    batches and their parameters are averaged. Without ``validation`` the training loss
-    decides. With ``path`` the best parameters are saved there.
+    batches, in a new order each epoch, and their parameters are averaged. Without ``workers``
+    there is one for every four batches of a round, up to the cores of the cluster. ``key``
+    names a column that tells rows apart. Without ``validation`` the training loss decides. With
+    ``path`` the best parameters are saved there whenever they improve. A loss that is not a
+    number improves nothing.
 
     Embeddings that with their moments exceed ``max_bytes`` are not sent to the workers: they
     stay a distributed table, and each round is one Adam step over all of its rows.
     """
-    rows = stage(df, workers, rounds)
+    spark = df.sparkSession
+    if workers is None:
+        full = df.count() // (4 * batch_size * rounds)
+        workers = max(1, min(full, spark.sparkContext.defaultParallelism))
+    rows = stage(df, workers, rounds, key)
+    if validation is not None:
+        validation = freeze(validation.select("slots", "deep", "label"))
+        if validation.isEmpty():
+            raise ValueError("no validation rows")
     if 3 * embedding_bytes(spec) > max_bytes:
         log.warning("embeddings exceed %d bytes: they are joined, one step per round", max_bytes)
-        model = _DistributedModel(df.sparkSession, spec, wide_dim, hidden, seed, workers, max_bytes)
+        model = _DistributedModel(spark, spec, wide_dim, hidden, seed, max_bytes)
     else:
         model = _BroadcastModel(spec, wide_dim, hidden, seed, workers, batch_size)
+    table = lambda p: parameter_table(spark, p) if isinstance(p, dict) else p
     best, lowest, history = None, float("inf"), []
     for epoch in range(epochs):
         rate = learning_rate(lr, epoch)
@@ -428,11 +453,13 @@ def fit(
             val_loss = log_loss(scored).first()[0]
         history.append((epoch + 1, rate, train_loss, float(val_loss)))
         log.info("epoch %d: train %.5f validation %.5f", epoch + 1, train_loss, val_loss)
-        if best is None or val_loss < lowest:
+        if val_loss < lowest:
             best, lowest = model.params(), val_loss
-    if isinstance(best, dict):
-        best = parameter_table(df.sparkSession, best)
-    return _fitted(df.sparkSession, best, history, path)
+            if path is not None:
+                save_parameters(table(best), path)
+    best = table(model.params() if best is None else best)
+    told = local_table(spark, history, "epoch int, lr double, train_loss double, val_loss double")
+    return Fitted(best, mark_best(told))
 
 
 class _BroadcastModel:
@@ -445,8 +472,8 @@ class _BroadcastModel:
 
     def round(self, rows: DataFrame, lr: float, dropout: float, seed: list[int]):
         self.values, self.moments, self.steps, loss, n = train_round(
-            rows, self.values, self.moments, self.steps, self.spec, lr, self.batch_size,
-            dropout, self.workers, seed,
+            lay_out(rows, self.workers, seed), self.values, self.moments, self.steps, self.spec,
+            lr, self.batch_size, dropout, seed,
         )
         return loss, n
 
@@ -457,8 +484,8 @@ class _BroadcastModel:
 class _DistributedModel:
     """Dense tensors on the driver; embeddings with moments as a written table."""
 
-    def __init__(self, spark, spec, wide_dim, hidden, seed, workers, max_bytes):
-        self.spark, self.spec, self.workers, self.max_bytes = spark, spec, workers, max_bytes
+    def __init__(self, spark, spec, wide_dim, hidden, seed, max_bytes):
+        self.spark, self.spec, self.max_bytes = spark, spec, max_bytes
         self.dense = init_parameters(spec, wide_dim, hidden, seed, embeddings=False)
         self.moments, self.steps = _moments(self.dense), 0
         self.table = freeze(init_embeddings(spark, spec, seed))
@@ -466,7 +493,7 @@ class _DistributedModel:
     def round(self, rows: DataFrame, lr: float, dropout: float, seed: list[int]):
         sums = freeze(
             distributed_gradient(
-                rows, self.dense, self.table, self.spec, dropout, seed, self.workers, self.max_bytes
+                rows, self.dense, self.table, self.spec, dropout, seed, self.max_bytes
             )
         )
         is_embedding = F.col("tensor").startswith("emb:")
@@ -513,7 +540,7 @@ def init_embeddings(spark, spec: Sequence[Deep], seed: int = 42) -> DataFrame:
 
 def distributed_gradient(
     df: DataFrame, dense: Params, table: DataFrame, spec: Sequence[Deep], dropout: float = 0.0,
-    seed: Sequence[int] = (0,), tasks: int = 1000, max_bytes: int = BROADCAST_BYTES,
+    seed: Sequence[int] = (0,), max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``batch_gradient`` with joined embeddings.
 
@@ -562,7 +589,7 @@ def distributed_gradient(
                 yield _part(t, index, 0, v[index])
             yield _part(TOTAL, np.array([0]), 0, np.array([[loss, n]]))
 
-    parts = embedded.coalesce(tasks).mapInArrow(run, PART_SCHEMA)
+    parts = embedded.mapInArrow(run, PART_SCHEMA)
     return sum_parts(parts).select("tensor", "row", "values")
 
 
@@ -592,15 +619,6 @@ def adam_table(table: DataFrame, sums: DataFrame, n: float, lr: float, steps: in
     )
 
 
-def _fitted(spark, params: DataFrame, history: list, path: str | None) -> Fitted:
-    if path is not None:
-        save_parameters(params, path)
-    table = local_table(
-        spark, history, "epoch int, lr double, train_loss double, val_loss double"
-    )
-    return Fitted(params, mark_best(table))
-
-
 def gbt_baseline(
     df: DataFrame, features: str = "features", label: str = "label", max_bins: int = 128,
     **settings,

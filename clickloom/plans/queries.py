@@ -524,7 +524,7 @@ def _split_rows(spark, folder) -> tuple[Features, DataFrame, DataFrame]:
 def train_rounds(spark, folder):
     """The network at full widths."""
     f, train, _ = _split_rows(spark, folder)
-    fitted = tr.fit(train, f.encoding.spec, f.encoding.wide_dim, epochs=1, workers=4)
+    fitted = tr.fit(train, f.encoding.spec, f.encoding.wide_dim, epochs=1, workers=4, key="id")
     norm = F.sqrt(F.sum(F.aggregate("values", F.lit(0.0), lambda a, x: a + x * x)))
     return fitted.params.groupBy("tensor").agg(F.count("*").alias("rows"), norm.alias("norm"))
 
@@ -552,7 +552,7 @@ def loss_history(spark, folder):
     spec = [en.Deep(d.name, d.vocab, 8) for d in f.encoding.spec]
     return tr.fit(
         train, spec, f.encoding.wide_dim, validation, hidden=(32, 16, 8), epochs=3,
-        batch_size=256, workers=4,
+        batch_size=256, workers=4, key="id",
     ).history
 
 
@@ -563,7 +563,7 @@ def gbt_baseline(spark, folder):
         sp.hash_split(rows, "id")
     )
     model = tr.gbt_baseline(
-        table.where(F.col("split") == "train").select("features", "label"), maxIter=5, maxDepth=3
+        table.where(F.col("split") == "train").select("features", "label")
     )
     scored = model.transform(table.where(F.col("split") == "validation"))
     return scored.select(

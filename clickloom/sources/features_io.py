@@ -27,10 +27,12 @@ def feature_schema(names: Sequence[str]) -> T.StructType:
 def read_features(
     spark: SparkSession, path: str, schema: T.StructType | Sequence[str]
 ) -> DataFrame:
-    """Headerless CSV of every ``.csv`` file under ``path``; columns are named by position."""
+    """Headerless CSV of every ``.csv`` file under ``path``; columns are named by position. A
+    line of another width or, where it is read, a value that is no number is an error."""
     if not isinstance(schema, T.StructType):
         schema = feature_schema(schema)
-    return spark.read.schema(schema).option("pathGlobFilter", "*.csv").csv(path)
+    strict = spark.read.schema(schema).option("mode", "FAILFAST").option("columnPruning", False)
+    return strict.option("pathGlobFilter", "*.csv").csv(path)
 
 
 def save_parameters(params: DataFrame, path: str) -> None:

@@ -41,10 +41,24 @@ CROSSES = [
 def read_impressions(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """CSV with a header row. With ``schema`` the extra pass that infers types is saved."""
+    """CSV with a header row. With ``schema`` the extra pass that infers types is saved.
+
+    The columns of ``schema`` are found by name; others, such as an unnamed index column, are
+    left out. A column that is missing from a file's header, a line of another width and, where it
+    is read, a value that is not of its type are errors.
+    """
     reader = spark.read.option("header", True)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return reader.csv(path)
+    if schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    header = reader.csv(path).columns
+    if missing := [n for n in schema.names if n not in header]:
+        raise ValueError(f"columns {missing} are not in the header of {path}")
+    # a column without a name in the file is called _c and its number on reading
+    names = ["" if n == f"_c{i}" and n not in schema.names else n for i, n in enumerate(header)]
+    full = T.StructType([schema[n] if n in schema.names else T.StructField(n, T.StringType()) for n in names])
+    strict = reader.schema(full).option("mode", "FAILFAST").option("columnPruning", False)
+    # without enforcement every file's header is compared with the names
+    return strict.option("enforceSchema", False).csv(path).select(*[col(n) for n in schema.names])
 
 
 def derive_hour(df: DataFrame, hour: str = "hour") -> DataFrame:

@@ -6,17 +6,16 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-SF = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from clickloom.session import ship_package
 
     session = (
         SparkSession.builder.master("local[4]")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")

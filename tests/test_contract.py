@@ -4,9 +4,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from conftest import SF
+from clickloom.plans.oracle import ORACLE
+from clickloom.plans.queries import QUERIES
 from tools.check import rows_of
 
+SF = "/root/testdata/sf0.01"
+
 ROWS_ONLY = {"train_rounds", "loss_history", "gbt_baseline"}
 
 
@@ -19,11 +22,12 @@ def con():
 
 
 def test_every_query_has_sql_but_training():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == ROWS_ONLY
+    assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
+    assert set(QUERIES) <= set(contract.queries()) and ORACLE.items() <= contract.oracle_sql().items()
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     table = contract.queries()[name](spark, SF).toArrow()
     assert table.num_rows > 0

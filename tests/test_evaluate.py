@@ -80,3 +80,11 @@ def test_running_loss(spark):
             part = [r for r in rows if r[0] == e and r[2] <= b]
             want = sum(r[3] * r[4] for r in part) / sum(r[4] for r in part)
             assert got[e, b] == pytest.approx(want)
+
+
+@pytest.mark.parametrize("row", [(None, 1.0), (float("nan"), 1.0), (0.5, None), (0.5, 2.0)])
+def test_rows_without_score_or_label_are_refused(spark, row):
+    df = spark.createDataFrame([(0.1, 0.0), (0.9, 1.0), row], "logit double, label double")
+    for run in (ev.log_loss, lambda d: ev.roc_auc(d, "logit", "label")):
+        with pytest.raises(Exception, match="is missing|neither 0 nor 1"):
+            run(df).collect()

@@ -1,5 +1,7 @@
 from urllib.parse import urlparse
 
+import pytest
+
 from clickloom.session import freeze, scratch_dir
 from clickloom.sources import features_io as io
 
@@ -14,6 +16,19 @@ def test_only_csv_files_are_read(spark):
     assert got.columns == ["x", "y"]
 
 
+@pytest.mark.parametrize("line", ["1.0", "1.0,2.0,3.0", "1.0,text"])
+def test_lines_that_do_not_fit_are_refused(spark, line):
+    path = scratch_dir(spark)
+    spark.createDataFrame([("1.0,2.0",), (line,)], "value string").coalesce(1).write.text(path)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for f in files.listStatus(hadoop):
+        if f.getPath().getName().endswith(".txt"):
+            files.rename(f.getPath(), f.getPath().suffix(".csv"))
+    with pytest.raises(Exception, match="MALFORMED|malformed|FAILED_READ"):
+        io.read_features(spark, path, ["x", "y"]).collect()
+
+
 def test_write_replaces_and_counts_files(spark):
     path = scratch_dir(spark)
     io.write_features(spark.range(1000), path)

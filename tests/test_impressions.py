@@ -45,6 +45,32 @@ def test_explicit_schema_takes_ids_past_64_bits(spark):
     assert dict(inferred.dtypes)["id"] == "decimal(20,0)"
 
 
+def raw_file(spark, *lines):
+    path = scratch_dir(spark)
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    return path
+
+
+VALUES = "7,1,14102100,1005,0" + ",x" * 9 + ",1,0" + ",7" * 8
+NAMES = ",".join(src.IMPRESSION_SCHEMA.names)
+
+
+def test_schema_is_applied_by_name(spark):
+    row = src.read_impressions(spark, raw_file(spark, "," + NAMES, "0," + VALUES), src.IMPRESSION_SCHEMA).first()
+    assert row.asDict()["hour"] == 14102100 and row.click == 1 and int(row.id) == 7 and len(row) == 24
+    moved = raw_file(spark, ",".join(reversed(NAMES.split(","))), ",".join(reversed(VALUES.split(","))))
+    assert src.read_impressions(spark, moved, src.IMPRESSION_SCHEMA).first() == row
+    with pytest.raises(ValueError, match="click"):
+        src.read_impressions(spark, raw_file(spark, "id,hour", "1,2"), src.IMPRESSION_SCHEMA)
+
+
+@pytest.mark.parametrize("line", [VALUES + ",9", VALUES.rsplit(",", 1)[0], VALUES.replace("14102100", "noon")])
+def test_lines_that_do_not_fit_are_refused(spark, line):
+    df = src.read_impressions(spark, raw_file(spark, NAMES, VALUES, line), src.IMPRESSION_SCHEMA)
+    with pytest.raises(Exception, match="MALFORMED|malformed|FAILED_READ"):
+        df.collect()
+
+
 def test_enrich_adds_hour_and_six_crosses(spark):
     df = spark.createDataFrame(
         [(14102109, "app", "site", 1, 2)],

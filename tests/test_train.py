@@ -43,7 +43,7 @@ def test_one_worker_is_sequential_adam(spark):
     p = params
     for _ in range(2):
         p, moments, steps, loss, n = tr.train_round(
-            df.coalesce(1), p, moments, steps, SPEC, 0.01, 32, 0.0, 1, [1]
+            df.coalesce(1), p, moments, steps, SPEC, 0.01, 32, 0.0, [1]
         )
     assert (steps, n) == (10, 130)
     batches = [rows[i : i + 32] for i in range(0, 130, 32)] * 2
@@ -54,7 +54,7 @@ def test_one_worker_is_sequential_adam(spark):
 
 def test_distributed_step_is_an_adam_step(spark):
     rows, df = make_rows(spark, 90)
-    model = tr._DistributedModel(spark, SPEC, WIDE, HIDDEN, 5, 3, 10)
+    model = tr._DistributedModel(spark, SPEC, WIDE, HIDDEN, 5, 10)
     start = nw.collect_parameters(model.params())
     for _ in range(2):
         loss, n = model.round(df, 0.01, 0.0, [1])
@@ -77,12 +77,12 @@ def test_workers_are_averaged_by_rows(spark):
     _, df = make_rows(spark, 200)
     params = nw.init_parameters(SPEC, WIDE, HIDDEN, seed=5)
     zero = tr._moments(params)
-    run = lambda d, w: tr.train_round(d, params, zero, 0, SPEC, 0.01, 64, 0.0, w, [1])
+    run = lambda d: tr.train_round(d, params, zero, 0, SPEC, 0.01, 64, 0.0, [1])
     parts = df.repartition(2).withColumn("at", F.spark_partition_id())
     written = tr.freeze(parts)
-    one = run(written.where("at = 0"), 1)
-    two = run(written.where("at = 1"), 1)
-    both = run(written.repartitionByRange(2, "at").sortWithinPartitions("at"), 2)
+    one = run(written.where("at = 0").coalesce(1))
+    two = run(written.where("at = 1").coalesce(1))
+    both = run(written.repartitionByRange(2, "at").sortWithinPartitions("at"))
     assert one[4] + two[4] == both[4] == 200
     for k in params:
         want = (one[0][k] * one[4] + two[0][k] * two[4]) / 200
@@ -158,3 +158,32 @@ def test_stage_spreads_equal_rows(spark):
     rows = tr.stage(df, workers=2, rounds=2)
     assert rows.count() == 4000
     assert rows.groupBy("round").count().count() == 2
+
+
+@pytest.mark.parametrize("workers", [2, 4, 8])
+def test_workers_are_balanced_and_do_not_depend_on_splits(spark, workers):
+    df = planted(spark, 4000)
+    found = []
+    for parts in (1, 7):
+        rows = tr.stage(df.repartition(parts), workers, 1, key="id")
+        laid = rows.repartitionById(workers, F.col("worker")).withColumn("part", F.spark_partition_id())
+        sizes = {r.part: r["count"] for r in laid.groupBy("part").count().collect()}
+        assert len(sizes) == workers and min(sizes.values()) > 0.7 * 4000 / workers
+        found.append({(r.turn, r.worker) for r in rows.collect()})
+        assert tr.lay_out(rows, workers, [1]).rdd.getNumPartitions() == workers
+    assert found[0] == found[1]
+
+
+def test_order_changes_each_epoch(spark):
+    rows = tr.stage(planted(spark, 300), 1, 1, key="id")
+    orders = [[tuple(map(str, r)) for r in tr.lay_out(rows, 1, [5, e, 0]).collect()] for e in (0, 0, 1)]
+    assert orders[0] == orders[1] != orders[2] and sorted(orders[0]) == sorted(orders[2])
+
+
+def test_losses_that_are_no_numbers_are_never_best(spark):
+    nan = float("nan")
+    history = spark.createDataFrame([(1, nan), (2, 0.5), (3, nan), (4, 0.4)], "epoch int, val_loss double")
+    assert [r.is_best for r in tr.mark_best(history).orderBy("epoch").collect()] == [False, True, False, True]
+    with pytest.raises(ValueError, match="no validation rows"):
+        df = planted(spark, 50)
+        tr.fit(df, SPEC, WIDE, df.limit(0), hidden=HIDDEN, epochs=1)
