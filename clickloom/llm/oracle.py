@@ -74,16 +74,16 @@ FROM s
 
 _COMPONENTS = f"""
 WITH RECURSIVE w AS (SELECT doc_id, {_LOWER} AS ws FROM documents),
-sets AS (SELECT doc_id, list_distinct(CASE
-    WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i : i + 4], ' '))
-    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE []::VARCHAR[] END) AS s FROM w),
-flat AS (SELECT doc_id, n, hash(g) AS g FROM (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets)),
+grams AS (SELECT DISTINCT doc_id, CASE WHEN len(ws) >= 5
+    THEN hash(concat_ws(' ', ws[i], ws[i + 1], ws[i + 2], ws[i + 3], ws[i + 4])) ELSE hash(array_to_string(ws, ' ')) END AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, CASE WHEN len(ws) >= 5 THEN len(ws) - 3 WHEN len(ws) > 0 THEN 2 ELSE 1 END)) AS i FROM w)),
+flat AS (SELECT doc_id, g, count(*) OVER (PARTITION BY doc_id) AS n FROM grams),
 links AS (SELECT x.doc_id AS a, y.doc_id AS b FROM flat x JOIN flat y ON x.g = y.g AND x.doc_id <> y.doc_id
     GROUP BY x.doc_id, y.doc_id HAVING 100 * count(*) >= 80 * (any_value(x.n) + any_value(y.n) - count(*))),
 reach(doc_id, other) AS (
-    SELECT doc_id, doc_id FROM sets UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.other = links.a)
-SELECT doc_id, any_value(len(s))::BIGINT AS n_shingles, min(other) AS component_id
-FROM reach JOIN sets USING (doc_id) GROUP BY doc_id
+    SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.other = links.a)
+SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS component_id
+FROM reach LEFT JOIN (SELECT DISTINCT doc_id, n FROM flat) USING (doc_id) GROUP BY doc_id
 """
 
 ORACLE = {
