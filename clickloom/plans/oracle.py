@@ -20,6 +20,7 @@ FROM events e
 LEFT JOIN customer c ON e.user_id = c.c_custkey
 LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey)"""
 
+# The crossed pairs.
 CROSSES = [
     ("hr", "app_category"), ("hr", "site_category"), ("hr", "device_type"),
     ("banner_pos", "device_type"), ("device_type", "app_category"),
@@ -241,10 +242,10 @@ FROM g, (SELECT unnest(range(1, 4)) AS epoch)""",
         CAST(dim AS INT) AS dim FROM dims d JOIN prof p USING (name)""",
     "random_split": f"""WITH {IM} SELECT count(*) AS rows, count(DISTINCT id) AS ids,
         true AS near_share FROM im""",
-    "file_batches": f"""WITH {IM} SELECT CAST(5 AS BIGINT) AS batches, CAST(0 AS BIGINT) AS first,
-        CAST(4 AS BIGINT) AS last, count(*) AS rows, CAST(sum(id) AS BIGINT) AS ids FROM im""",
+    "file_batches": f"""WITH {IM} SELECT (count(*) + 2047) // 2048 AS batches, CAST(0 AS BIGINT) AS first,
+        (count(*) + 2047) // 2048 - 1 AS last, count(*) AS rows, CAST(sum(id) AS BIGINT) AS ids FROM im""",
     "hash_split": f"WITH {IM} SELECT id, {SPLIT} AS split FROM im",
-    "repartition_files": f"""WITH {IM} SELECT CAST(5 AS BIGINT) AS files, count(*) AS rows,
+    "repartition_files": f"""WITH {IM} SELECT (count(*) + 2047) // 2048 AS files, count(*) AS rows,
         CAST(sum(id) AS BIGINT) AS ids FROM im""",
     "shard_rows": f"WITH {IM}{SHARDS} SELECT id, row_index, worker, worker_row FROM b",
     "batch_rows": f"WITH {IM}{SHARDS} SELECT id, worker, batch FROM b",

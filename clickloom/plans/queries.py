@@ -34,6 +34,8 @@ SMALL_HIDDEN = (4, 3, 2)
 FEW_WIDE = ("site_category", "banner_pos", "device_type", "device_conn_type")
 FEW_DEEP = (("site_domain", 8), ("app_domain", 4))
 WORKERS, CHUNK = 3, 128
+# Rows of a written file; a file is one batch.
+FILE_ROWS = 2048
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -43,6 +45,10 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+def file_number(df: DataFrame) -> int:
+    return max(1, -(-df.count() // FILE_ROWS))
+
+
 def small_features(spark: SparkSession, folder: str) -> Features:
     return featurize(enriched(spark, folder), SMALL_DIMS)
 
@@ -154,7 +160,7 @@ def sink_csv_overwrite(spark, folder):
     path = scratch_dir(spark)
     df = impressions(spark, folder)
     io.write_features(df.select("hour", "hour", "hour"), path)
-    io.write_features(df.select("id", "click", "hour"), path, n_files=4)
+    io.write_features(df.select("id", "click", "hour"), path, n_files=file_number(df))
     return io.read_features(spark, path, ["id", "click", "hour"])
 
 
@@ -413,7 +419,8 @@ def hash_split(spark, folder):
 @query
 def repartition_files(spark, folder):
     path = scratch_dir(spark)
-    io.write_features(impressions(spark, folder).select("id", "click", "hour"), path, n_files=5)
+    df = impressions(spark, folder).select("id", "click", "hour")
+    io.write_features(df, path, n_files=file_number(df))
     read = io.read_features(spark, path, ["id", "click", "hour"])
     files = read.groupBy("_metadata.file_path").agg(
         F.count("*").alias("rows"), F.sum("id").cast("bigint").alias("ids")
@@ -436,7 +443,8 @@ def batch_rows(spark, folder):
 @query
 def file_batches(spark, folder):
     path = scratch_dir(spark)
-    io.write_features(impressions(spark, folder).select("id", "click", "hour"), path, n_files=5)
+    df = impressions(spark, folder).select("id", "click", "hour")
+    io.write_features(df, path, n_files=file_number(df))
     read = bt.file_batches(io.read_features(spark, path, ["id", "click", "hour"]))
     batches = read.groupBy("batch").agg(
         F.count("*").alias("rows"), F.sum("id").cast("bigint").alias("ids")
