@@ -25,7 +25,7 @@ from clickloom.operators.network import (
     embedding_lookup, gather, init_parameters, layers, list_array, matrix, parameter_table,
     score_table, slot_lists, tower,
 )
-from clickloom.session import col, freeze, local_table, scratch_dir
+from clickloom.session import col, discard, freeze, local_table, scratch_dir
 from clickloom.sources.features_io import save_parameters
 
 log = logging.getLogger(__name__)
@@ -35,6 +35,8 @@ BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-8
 
 # Values of one tensor that are added up in one group.
 BLOCK_VALUES = 1 << 18
+# Blocks over which neighbouring rows are spread.
+STRIDE = 16
 PART_SCHEMA = "tensor string, block int, row int, n double, values array<float>"
 # Parts that are no tensors: the summed loss with the row count, and the steps taken.
 TOTAL, STEPS = "total", "steps"
@@ -108,12 +110,24 @@ def _block_rows(width: int) -> int:
     return max(1, BLOCK_VALUES // width)
 
 
+def _place(index: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(block, row within it) of rows of a tensor: neighbouring rows, which are alike frequent,
+    fall to different blocks, and a block has at most ``_block_rows`` rows."""
+    over = _block_rows(width) * STRIDE
+    return index // over * STRIDE + index % STRIDE, index % over // STRIDE
+
+
+def _rows_of(block: int, inside: np.ndarray, width: int) -> np.ndarray:
+    """The inverse of ``_place``."""
+    return block // STRIDE * (_block_rows(width) * STRIDE) + inside * STRIDE + block % STRIDE
+
+
 def _part(tensor: str, index: np.ndarray, n: float, values: np.ndarray) -> pa.RecordBatch:
     size = len(index)
     return pa.RecordBatch.from_arrays(
         [
             pa.array([tensor] * size, pa.string()),
-            pa.array((index // _block_rows(values.shape[1])).astype(np.int32)),
+            pa.array(_place(index, values.shape[1])[0].astype(np.int32)),
             pa.array(index.astype(np.int32)),
             pa.array(np.full(size, float(n))),
             list_array(values),
@@ -134,13 +148,13 @@ def _sum_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size = _block_rows(values.shape[1])
             total = np.zeros((size, values.shape[1]))
             count, seen = np.zeros(size), np.zeros(size, dtype=bool)
-        index = batch.column("row").to_numpy() - block * size
+        index = _place(batch.column("row").to_numpy(), values.shape[1])[1]
         np.add.at(total, index, values)
         np.add.at(count, index, batch.column("n").to_numpy())
         seen[index] = True
     if total is not None:
         kept = np.flatnonzero(seen)
-        out = _part(tensor, kept + block * size, 0.0, total[kept])
+        out = _part(tensor, _rows_of(block, kept, total.shape[1]), 0.0, total[kept])
         yield out.set_column(3, "n", pa.array(count[kept]))
 
 
@@ -454,7 +468,7 @@ def fit(
         history.append((epoch + 1, rate, train_loss, float(val_loss)))
         log.info("epoch %d: train %.5f validation %.5f", epoch + 1, train_loss, val_loss)
         if val_loss < lowest:
-            best, lowest = model.params(), val_loss
+            best, lowest = model.keep(), val_loss
             if path is not None:
                 save_parameters(table(best), path)
     best = table(model.params() if best is None else best)
@@ -477,6 +491,9 @@ class _BroadcastModel:
         )
         return loss, n
 
+    def keep(self) -> Params:
+        return self.values
+
     def params(self) -> Params:
         return self.values
 
@@ -488,7 +505,7 @@ class _DistributedModel:
         self.spark, self.spec, self.max_bytes = spark, spec, max_bytes
         self.dense = init_parameters(spec, wide_dim, hidden, seed, embeddings=False)
         self.moments, self.steps = _moments(self.dense), 0
-        self.table = freeze(init_embeddings(spark, spec, seed))
+        self.table, self.kept = freeze(init_embeddings(spark, spec, seed)), None
 
     def round(self, rows: DataFrame, lr: float, dropout: float, seed: list[int]):
         sums = freeze(
@@ -503,12 +520,20 @@ class _DistributedModel:
         loss, n = map(float, found.pop(TOTAL)[0])
         adam = Adam(self.dense, self.moments, self.steps, lr)
         adam.step(Gradient(found, {}, loss, n))
-        self.steps = adam.steps
-        self.table = freeze(
-            adam_table(self.table, sums.where(is_embedding), n, lr, self.steps)
-        )
+        self.steps, before = adam.steps, self.table
+        self.table = freeze(adam_table(before, sums.where(is_embedding), n, lr, self.steps))
+        discard(sums)
+        if before is not self.kept:
+            discard(before)
         return loss, int(n)
 
+    def keep(self) -> DataFrame:
+        """The parameters, which stay readable until the next call."""
+        if self.kept is not None and self.kept is not self.table:
+            discard(self.kept)
+        self.kept = self.table
+        return self.params()
+
     def params(self) -> DataFrame:
         dense = parameter_table(self.spark, self.dense)
         return self.table.select("tensor", "row", "values").unionByName(dense)

@@ -55,7 +55,16 @@ def freeze(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    frozen = spark.read.schema(df.schema).parquet(path)
+    frozen.frozen_path = path
+    return frozen
+
+
+def discard(frozen: DataFrame) -> None:
+    """Delete the files of a table made by ``freeze`` that nothing will read any more."""
+    sc = frozen.sparkSession.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(frozen.frozen_path)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 _shipped: set[str] = set()

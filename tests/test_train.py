@@ -187,3 +187,25 @@ def test_losses_that_are_no_numbers_are_never_best(spark):
     with pytest.raises(ValueError, match="no validation rows"):
         df = planted(spark, 50)
         tr.fit(df, SPEC, WIDE, df.limit(0), hidden=HIDDEN, epochs=1)
+
+
+@pytest.mark.parametrize("width", [1, 7, 256, 1 << 20])
+def test_neighbouring_rows_fall_to_different_blocks(width):
+    index = np.arange(1000, 3000)
+    block, inside = tr._place(index, width)
+    assert len(set(block)) >= tr.STRIDE and max(np.bincount(block)) <= tr._block_rows(width) + 1
+    assert inside.max() < tr._block_rows(width)
+    assert all(tr._rows_of(int(b), i, width) == row for b, i, row in zip(block[:300], inside, index))
+
+
+def test_superseded_tables_are_deleted(spark):
+    _, df = make_rows(spark, 60)
+    model = tr._DistributedModel(spark, SPEC, WIDE, HIDDEN, 5, 10)
+    first = model.table
+    model.round(df, 0.01, 0.0, [1])
+    best = model.keep()
+    for k in (2, 3):
+        model.round(df, 0.01, 0.0, [k])
+    assert best.count() == model.params().count()
+    with pytest.raises(Exception, match="exist"):
+        spark.read.parquet(first.frozen_path)
