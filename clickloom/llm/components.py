@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.session import freeze
+from clickloom.session import discard, freeze
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -35,7 +35,8 @@ def components(links: DataFrame) -> DataFrame:
             .groupBy("node").agg(F.max("old").alias("old"), F.min("new").alias("new"))
         )
         up = hooked.select(F.col("node").alias("new"), F.col("new").alias("label"))
-        labels = freeze(hooked.join(up, "new").select("node", "old", "label"))
+        before, labels = labels, freeze(hooked.join(up, "new").select("node", "old", "label"))
+        discard(before)
         if labels.where("old <> label").isEmpty():
+            discard(edges)
             return labels.select("node", "label")
-        labels = labels.select("node", "label")

@@ -6,13 +6,14 @@ first opened by shingles: a text stands in the region of each shingle of its pre
 texts that link share a region (a set of n shingles cannot reach 80 % with another one unless one
 of its first n - ceil(0.8 n) + 1 in a common order is common to both). The order is arbitrary for
 the result; shingles frequent in a sample of documents come last, which keeps regions small.
+They are held as a table of bits of bounded size, in which others may count as frequent too.
 
 Regions of few texts are compared pair by pair. In larger ones pivots are drawn, all members are
 measured against them, and a member belongs to the nearest pivots. Those within 0.2 of a pivot
 are one component with it. By the triangle inequality such a member can only link to a text that
 lies within 0.2 of the member's own distance from the pivot, so it leaves the region unless a
 text of another component stands in that window; members near the boundary and far members stay,
-and the region is joined again with new pivots, twice as many each time, until one component or
+and the region is joined again with new pivots, four times as many, until one component or
 few texts are left. Equal sets are one text throughout.
 """
 
@@ -26,15 +27,15 @@ from pyspark.sql import functions as F
 
 from clickloom.llm.components import components
 from clickloom.llm.text import by_slice, mixed
-from clickloom.session import freeze, local_table
+from clickloom.session import discard, freeze, local_table
 
 WORDS = 5
 #: Regions of up to so many texts are compared pair by pair; pivots of the first round.
-SMALL, PIVOTS = 32, 8
-#: One document in so many is counted to order shingles, of which so many are put last.
-SAMPLE, FREQUENT = 16, 1 << 15
-#: Bits of the filter of documents whose sets are needed again: at least and at most.
-LEAST_BITS, MOST_BITS = 16, 27
+SMALL, PIVOTS = 128, 16
+#: One document in so many is counted to order shingles.
+SAMPLE = 16
+#: Logarithms of the least and most bits of a table of bits, and its bits for each entry.
+LEAST_BITS, MOST_BITS, SPARSE = 16, 27, 16
 #: Words remembered by a task.
 CACHE = 1 << 20
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -71,9 +72,27 @@ def digest(hashes: np.ndarray) -> tuple[int, int]:
     return tuple(np.frombuffer(raw, np.int64).tolist())
 
 
+def _bit_table(places: DataFrame, bits: int) -> np.ndarray:
+    """Table of ``bits`` bits with those at the values of column ``p`` set; at most 16 MB."""
+    words = (
+        places.groupBy(F.expr("p div 64").alias("word"))
+        .agg(F.expr("bit_or(shiftleft(1L, cast(p % 64 as int)))").alias("w")).toArrow()
+    )
+    table = np.zeros(bits // 64, np.int64)
+    table[words["word"].to_numpy()] = words["w"].to_numpy()
+    return table.view(np.uint64)
+
+
+def _table_bits(entries: int) -> int:
+    return min(MOST_BITS, max(LEAST_BITS, (entries * SPARSE).bit_length()))
+
+
+def _hit(table: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (table[places >> 6] >> (places & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
 def _frequent(docs: DataFrame) -> np.ndarray:
-    """Shingles that stand in two or more sampled documents, the most frequent ones up to
-    FREQUENT of them."""
+    """Bits of the shingles that stand in two or more sampled documents, by their low bits."""
     def make():
         words = WordHashes()
 
@@ -85,17 +104,11 @@ def _frequent(docs: DataFrame) -> np.ndarray:
 
     sampled = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0)
     counts = freeze(
-        by_slice(sampled, ["text"], make, "s bigint").groupBy("s").agg(F.count("*").alias("n")).where("n > 1")
+        by_slice(sampled, ["text"], make, "s bigint").groupBy("s").agg(F.count("*").alias("n"))
+        .where("n > 1").select("s")
     )
-    least, room = 2, FREQUENT
-    steps = sorted(counts.groupBy("n").agg(F.count("*").alias("k")).collect(), key=lambda r: -r.n)
-    for r in steps:  # one row for each count, so about the root of the sample
-        room -= r.k
-        if room < 0:
-            least = r.n + 1
-            break
-    found = counts.where(F.col("n") >= least).select("s").toArrow()["s"].to_numpy()
-    return np.sort(found.view(np.uint64))
+    bits = 1 << _table_bits(counts.count())
+    return _bit_table(counts.select(F.expr(f"s & {bits - 1}").alias("p")), bits)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -105,14 +118,13 @@ def _texts(docs: DataFrame) -> DataFrame:
 
     def make():
         words, frequent = WordHashes(), last.value
+        low = np.uint64(64 * len(frequent) - 1)
 
         def run(ids, ths, texts):
             rows = []
             for text in texts:
                 s = shingle_set(text, words)
-                at = np.searchsorted(frequent, s)
-                late = np.zeros(len(s), bool)
-                late[at < len(frequent)] = frequent[at[at < len(frequent)]] == s[at < len(frequent)]
+                late = _hit(frequent, (s & low).astype(np.int64))
                 prefix = np.concatenate([s[~late], s[late]])[: prefix_length(len(s)) if len(s) else 0]
                 cut = 0
                 if len(prefix):
@@ -136,17 +148,10 @@ def _sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
     A filter of bits of bounded size says which documents to shingle again; too many pass it
     when the bound is reached, and the join leaves them out.
     """
-    spark, count = docs.sparkSession, needed.count()
-    bits = 1 << min(MOST_BITS, max(LEAST_BITS, (count * 16).bit_length()))
+    bits = 1 << _table_bits(needed.count())
     places = [F.pmod(F.xxhash64("doc_id", F.lit(k)), F.lit(bits)).alias(f"p{k}") for k in range(3)]
-    words = (
-        needed.select(F.explode(F.array(*places)).alias("p"))
-        .groupBy(F.expr("p div 64").alias("word"))
-        .agg(F.expr("bit_or(shiftleft(1L, cast(p % 64 as int)))").alias("w")).toArrow()
-    )
-    table = np.zeros(bits // 64, np.int64)
-    table[words["word"].to_numpy()] = words["w"].to_numpy()
-    sent = spark.sparkContext.broadcast(table.view(np.uint64))
+    table = _bit_table(needed.select(F.explode(F.array(*places)).alias("p")), bits)
+    sent = docs.sparkSession.sparkContext.broadcast(table)
 
     def make():
         known, table = WordHashes(), sent.value
@@ -154,8 +159,7 @@ def _sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
         def run(texts, *places):
             hit = np.ones(len(texts), bool)
             for p in places:
-                p = np.array(p, np.int64)
-                hit &= (table[p // 64] >> (p % 64).astype(np.uint64)) & np.uint64(1) == 1
+                hit &= _hit(table, np.array(p, np.int64))
             sets = [shingle_set(texts[i], known) for i in np.flatnonzero(hit)]
             if not sets:
                 return [[]] * 4
@@ -177,7 +181,7 @@ class _Links:
     """Measured pairs and the components they make so far."""
 
     def __init__(self, spark: SparkSession, sets: DataFrame):
-        self.spark, self.sets, self.found = spark, sets, []
+        self.spark, self.sets, self.found, self.tables = spark, sets, [], []
         self.labels = local_table(spark, [], "node bigint, label bigint")
 
     def measure(self, pairs: DataFrame) -> DataFrame:
@@ -189,6 +193,7 @@ class _Links:
             .where("8 * i >= 3 * n")
         )
         near = freeze(near.select("a", "b", F.expr("1 - i / (n - i)").alias("distance"), F.expr("9 * i >= 4 * n").alias("link")))
+        self.tables.append(near)
         self.found.append(near.where("link").select("a", "b"))
         if not self.found[-1].isEmpty():
             links = self.found[0]
@@ -235,56 +240,64 @@ def _small_pairs(regions: DataFrame) -> DataFrame:
     )
 
 
-def _join_large(regions: DataFrame, links: _Links) -> None:
-    """Joins regions (s, rep, n) of more than SMALL members, round by round."""
-    round_ = 0
+def _join_large(regions: DataFrame, links: _Links) -> list[DataFrame]:
+    """Joins regions (s, rep, n) of more than SMALL members, round by round. Returns the pairs
+    that regions shrunk to few members leave to be measured."""
+    left = []
+    # regions of the same members are one
+    mark = [F.bit_xor(F.xxhash64("rep", F.lit(k))).alias(f"mark{k}") for k in (1, 2)]
+    marks = regions.groupBy("s").agg(F.count("*").alias("size"), *mark)
+    one = marks.groupBy("size", "mark1", "mark2").agg(F.min("s").alias("s")).select("s")
+    regions, round_ = freeze(regions.join(one, "s", "left_semi")), 0
     while True:
-        # ranks that choose pivots: half at random, half from the components rare in the region
+        # members outside the region's largest component are its pivots if they are few, for then
+        # nothing is left to measure; else pivots are drawn at random, the same ones in all regions
         mine, turn = Window.partitionBy("s"), F.xxhash64("rep", F.lit(round_))
-        pivots = (PIVOTS << round_) // 2
+        pivots = PIVOTS << 2 * round_
         members = freeze(
             links.labelled(regions, "rep", "c")
             .withColumn("members", F.count("*").over(mine))
-            .withColumn("lowest", F.min("c").over(mine)).withColumn("highest", F.max("c").over(mine))
-            .where("lowest <> highest")
-            .withColumn("same", F.count("*").over(Window.partitionBy("s", "c")))
-            .withColumn("pivot", (F.row_number().over(mine.orderBy(turn)) <= pivots)
-                        | (F.row_number().over(mine.orderBy("same", turn)) <= pivots))
+            .withColumn("same", F.struct(F.count("*").over(Window.partitionBy("s", "c")).alias("n"), "c"))
+            .withColumn("largest", F.max("same").over(mine))
+            .withColumn("others", F.col("members") - F.col("largest.n")).where("others > 0")
+            .withColumn("pivot", F.when(F.col("others") <= pivots, F.col("c") != F.col("largest.c"))
+                        .otherwise(F.row_number().over(mine.orderBy(turn)) <= pivots))
             .select("s", "rep", "n", "c", "members", "pivot")
         )
         if members.isEmpty():
-            return
-        few = members.where(F.col("members") <= SMALL)
-        if not few.isEmpty():
-            zero = F.lit(0)
-            small = _pairs(few.select("s", "rep", "n", zero.alias("cut"), zero.alias("big"))).select("a", "b").distinct()
-            links.measure(links.apart(small))
-        members = members.where(F.col("members") > SMALL)
+            return left
+        few, zero = members.where(F.col("members") <= SMALL), F.lit(0)
+        pairs = _pairs(few.select("s", "rep", "n", zero.alias("cut"), zero.alias("big")))
+        left.append(freeze(pairs.select("a", "b").distinct()))
+        all_members, members = members, members.where(F.col("members") > SMALL)
         if members.isEmpty():
-            return
-        chosen = members.where("pivot").select("s", F.col("rep").alias("a"), F.col("n").alias("na"))
+            return left
+        chosen = members.where("pivot").select(
+            "s", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca")
+        )
+        # pairs known to be connected need no measure
         near = links.measure(
-            members.join(chosen, "s").where("a <> rep and 5 * least(n, na) >= 3 * greatest(n, na)")
+            members.join(chosen, "s").where("c <> ca and 5 * least(n, na) >= 3 * greatest(n, na)")
             .select("a", F.col("rep").alias("b")).distinct()
         )
-        now = links.labelled(members.select("s", "rep", "n", "pivot"), "rep", "c")
-        centre = now.where("pivot").select("s", F.col("rep").alias("a"), F.col("c").alias("ca"))
-        around = freeze(
-            now.where("not pivot").withColumnRenamed("rep", "b").join(near, "b").join(centre, ["s", "a"])
-            .select("s", "a", "b", "distance", "link", (F.col("c") != F.col("ca")).alias("foreign"))
-        )
-        window = around.where("foreign").groupBy("s", "a").agg(F.min("distance").alias("nearest"))
-        done = (
-            around.where("link").join(window, ["s", "a"], "left")
+        # the nearest pivot of a member whose window holds no text of another component
+        named = links.labelled(links.labelled(near, "a", "ca"), "b", "cb")
+        window = named.where("ca <> cb").groupBy("a").agg(F.min("distance").alias("nearest"))
+        home = (
+            named.where("link").join(window, "a", "left")
             .where("nearest is null or distance < nearest - 0.2 - 1e-9")
-            .select("s", F.col("b").alias("rep")).distinct()
+            .groupBy(F.col("b").alias("rep")).agg(F.min_by("a", F.struct("distance", "a")).alias("a"))
         )
+        done = members.where("not pivot").join(home, "rep").join(chosen, ["s", "a"], "left_semi").select("s", "rep")
+        before = regions
         regions = freeze(members.where("not pivot").select("s", "rep", "n").join(done, ["s", "rep"], "left_anti"))
+        for table in (before, all_members):
+            discard(table)
         round_ += 1
 
 
 def join_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows (rid, doc_id, th, n, d1, d2) and their classes of equal sets (d1, d2, component,
+    """The rows (doc_id, n, d1, d2) and their classes of equal sets (d1, d2, component,
     first), ``first`` being the least (no doc_id, doc_id, th) of the component."""
     rows = _texts(docs)
     with_words = rows.where("n > 0")
@@ -299,19 +312,26 @@ def join_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     large = F.col("members") > SMALL
     regions = freeze(regions.withColumn("big", F.sum(large.cast("int")).over(Window.partitionBy("rep"))))
+    narrow = freeze(rows.select("doc_id", "n", "d1", "d2"))
+    discard(rows)
     small = freeze(_small_pairs(regions.where(~large)))
+    done = [regions, small]
     wanted = small.select(F.col("a").alias("rep")).union(small.select("b")).union(regions.where(large).select("rep"))
     # any document of the class will do to shingle it again
     needed = freeze(wanted.distinct().join(classes.select("rep", "first.doc_id", "d1", "d2"), "rep"))
-    links = _Links(docs.sparkSession, _sets(docs, needed))
-    _join_large(regions.where(large).select("s", "rep", "n"), links)
+    sets = _sets(docs, needed)
+    links = _Links(docs.sparkSession, sets)
+    for pairs in _join_large(regions.where(large).select("s", "rep", "n"), links):
+        small = small.union(pairs)
     # one partner each first: most other pairs are then connected already
     first = links.apart(small.groupBy("b").agg(F.min("a").alias("a")))
     links.measure(first)
     links.measure(links.apart(small))
     named = freeze(links.labelled(classes, "rep", "component"))
+    for table in (*done, needed, sets, classes, *links.tables):
+        discard(table)
     firsts = named.groupBy("component").agg(F.min("first").alias("first"))
-    return rows, named.select("d1", "d2", "component").join(firsts, "component")
+    return narrow, named.select("d1", "d2", "component").join(firsts, "component")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
