@@ -2,7 +2,7 @@
 
 Documents are dealt into batches by hash. A batch explodes its n-grams of one to three words and
 sends each distinct one once, with its count, to the bucket of its hash; packed and sorted, an
-n-gram takes five to six bytes there. A bucket adds up its part of the count table and answers
+n-gram takes about four and a half bytes there. A bucket adds up its part of the count table and answers
 every batch with the totals in the order asked. The batch joins the totals to its exploded
 n-grams, takes off the document's own counts, and sums the logarithms per document. Neither a
 batch nor a bucket grows with the table; their numbers do.
@@ -22,6 +22,8 @@ from clickloom.session import freeze, ship_package
 
 #: Longest n-gram, factor of each step back, documents of a batch, documents for each bucket.
 ORDER, ALPHA, BATCH, SHARE = 3, 0.4, 2048, 1000
+#: Bits of an n-gram's hash; each eight take a byte of every n-gram that is sent.
+BITS = 56
 FORMS = ("n_trigram", "n_bigram", "n_unigram", "n_unseen")
 
 
@@ -50,7 +52,8 @@ def batch_grams(texts: list) -> tuple[np.ndarray, np.ndarray]:
         key = np.full(max(len(h) - n, 0), n + 1, np.uint64)
         for i in range(n + 1):
             key = mixed(key + h[i : len(h) - n + i] * FACTORS[i])
-        keys[n, n:] = np.where(place[n:] >= n, np.maximum(key, np.uint64(1)), 0)
+        key = np.maximum(key >> np.uint64(64 - BITS), np.uint64(1))
+        keys[n, n:] = np.where(place[n:] >= n, key, 0)
     return doc, keys
 
 
@@ -79,19 +82,17 @@ def backoff_scores(docs: DataFrame) -> DataFrame:
     the first whose counts are above 0; ``log_score`` is the sum of natural logarithms, the other
     counts say how often each form was taken. All counts are those of the other documents (a
     repeated row counts as another document), over whole texts and without a cutoff. N is their
-    number of words, 1 at least. Words are separated by ASCII blanks and compared as 64-bit
+    number of words, 1 at least. Words are separated by ASCII blanks and compared as 56-bit
     hashes. NULL, empty and blank texts have no words, log_score 0 and a NULL mean. A NULL doc_id
     stays NULL; other columns are not read; an empty table gives no rows.
     """
     ship_package(docs.sparkSession)
     texts, buckets = _documents(docs)
-    width = np.uint64((1 << 64) // buckets + 1) if buckets > 1 else None
+    width = (1 << BITS) // buckets + 1
 
     def cuts(found: np.ndarray) -> np.ndarray:
         """Places where buckets begin in sorted keys."""
-        if width is None:
-            return np.array([0, len(found)])
-        edges = np.array([min(int(width) * i, (1 << 64) - 1) for i in range(buckets)], np.uint64)
+        edges = np.array([width * i for i in range(buckets)], np.uint64)
         return np.append(np.searchsorted(found, edges), len(found))
 
     def ask(rows: pd.DataFrame) -> pd.DataFrame:
