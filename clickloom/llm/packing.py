@@ -3,6 +3,9 @@
 Documents longer than a sequence are first cut into full windows. What is left is packed group
 by group: longest first, each piece into the open sequence with the least room that still takes
 it. A segment tree over the room left finds that sequence in log(length) steps.
+
+Groups are dealt by hash, or, to keep a mix of sources, taken from the mixing schedule stretch by
+stretch.
 """
 
 from __future__ import annotations
@@ -15,8 +18,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.llm import mixing
 from clickloom.llm.text import by_slice
 from clickloom.llm.tokens import VOCABULARY, packed, remembered
+from clickloom.operators.ordering import with_running_totals
+from clickloom.session import discard, freeze
 
 #: Tokens of a sequence, id that ends a document, pieces that are packed together.
 LENGTH, END, GROUP = 2048, 1, 4096
@@ -127,3 +133,75 @@ def pack(
         return rows.assign(sequence_id=number, offset=offsets).drop(columns="bin")
 
     return dealt.groupBy("bin").applyInPandas(run, made)
+
+
+def cut_documents(
+    docs: DataFrame, path: str | None = None, length: int = LENGTH, keep_ids: bool = False
+) -> DataFrame:
+    """(doc_id, source, doc_tokens, pieces) of every row: the pieces of ``document_pieces`` as one
+    array of (start, length, ids_crc32[, ids])."""
+    path = path or public_tokenizers.path(VOCABULARY)
+
+    def make():
+        encode, end = remembered(path, packed), packed([END])
+
+        def run(doc_ids, sources, texts):
+            totals, cut = [], []
+            for pieces in encode([t or "" for t in texts]):
+                raw = b"".join(pieces) + end
+                totals.append(len(raw) // 4)
+                rows = []
+                for start in range(0, totals[-1], length):
+                    part = raw[4 * start : 4 * (start + length)]
+                    row = {"start": start, "length": len(part) // 4, "ids_crc32": zlib.crc32(part)}
+                    if keep_ids:
+                        row["ids"] = np.frombuffer(part, "<u4").astype(np.int32)
+                    rows.append(row)
+                cut.append(rows)
+            return doc_ids, sources, totals, cut
+
+        return run
+
+    piece = "start: bigint, length: bigint, ids_crc32: bigint" + ", ids: array<int>" * keep_ids
+    schema = f"doc_id bigint, source string, doc_tokens bigint, pieces array<struct<{piece}>>"
+    return by_slice(docs, ["doc_id", "source", "text"], make, schema)
+
+
+def pack_mixed(
+    docs: DataFrame, path: str | None = None, length: int = LENGTH, group: int = GROUP,
+    keep_ids: bool = False, **parameters,
+) -> DataFrame:
+    """The columns of ``pack``, packed along ``mixing.schedule(docs, **parameters)``.
+
+    A group is a stretch of the schedule: whole slots, in order, until they hold ``group`` pieces
+    (one slot more at most). sequence_id rises with the stretches and, inside one, with the place
+    in the schedule of the piece that opened the sequence, so ranges of sequence_id have the mix
+    of the ranges of slots. Rows are cut once, and only their lengths are moved (with
+    ``keep_ids`` their ids too).
+    """
+    cut = freeze(cut_documents(docs, path, length, keep_ids))
+    placed = freeze(mixing.schedule(cut, **parameters).select("row.*", "slot", "place"))
+    discard(cut)
+    slots = placed.groupBy("slot").agg(F.sum(F.size("pieces")).alias("n"))
+    stretches = with_running_totals(slots, [], ["slot"], {"upto": F.col("n")}).select(
+        "slot", F.expr(f"(upto - n) div {group}").alias("bin")
+    )
+    dealt = placed.join(stretches, "slot").select(
+        "bin", "slot", "place", "doc_id", "doc_tokens", F.inline("pieces")
+    )
+    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    made = ", ".join(f"{c} bigint" for c in columns) + ", ids array<int>" * keep_ids
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(
+            ["length", "slot", "place", "start"], ascending=[False, True, True, True]
+        )
+        sequences, offsets = best_fit(rows["length"].tolist(), length)
+        opened = rows.iloc[np.unique(sequences, return_index=True)[1]]
+        number = np.empty(len(opened), np.int64)
+        number[np.lexsort((opened["start"], opened["place"], opened["slot"]))] = range(len(opened))
+        number = (int(rows["bin"].iloc[0]) << 32) + number[sequences]
+        rows = rows.assign(sequence_id=number, offset=offsets)
+        return rows[columns + ["ids"] * keep_ids]
+
+    return dealt.groupBy("bin").applyInPandas(run, made)

@@ -64,3 +64,35 @@ def test_pieces_hold_every_id_once_and_fill_sequences(request, table):
 
 def test_no_rows(none):
     assert packing.pack(none).count() == 0
+
+
+@pytest.fixture(scope="module")
+def mixture(spark):
+    sizes = {"a": 1600, "b": 400, "c": 100}
+    rows = [(i, s, f"{s} {i} " * (5 + i * 7919 % 300)) for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))]
+    return spark.createDataFrame(rows, "doc_id bigint, source string, text string").repartition(7)
+
+
+def test_sequences_follow_the_mix(spark, mixture):
+    weights = {"a": 0.5, "b": 0.25, "c": 0.25}
+    rows = packing.pack_mixed(mixture, group=60, weights=weights, block=4, cycle=8).toPandas()
+    assert sorted(rows.doc_id[rows.start == 0]) == list(range(2100))
+    source = {r.doc_id: r.source for r in mixture.select("doc_id", "source").collect()}
+    first = rows[rows.start == 0].assign(source=lambda r: r.doc_id.map(source)).sort_values("sequence_id")
+    # c lasts for 400 rows and b for 800 more; until then every stretch has the target weights
+    for rows_at in (slice(0, 100), slice(100, 200), slice(200, 300)):
+        part = first.source.iloc[rows_at].value_counts(normalize=True)
+        assert all(abs(part[s] - w) < 0.1 for s, w in weights.items())
+    assert set(first.source.iloc[1000:1400]) <= {"a", "b"} and set(first.source.iloc[-300:]) == {"a"}
+    for _, s in rows.groupby("sequence_id"):
+        s = s.sort_values("offset")
+        assert (s.offset.to_numpy() == np.append(0, s.length.cumsum()[:-1])).all() and s.length.sum() <= 2048
+    assert rows.length.sum() / (2048 * rows.sequence_id.nunique()) > 0.8
+
+
+def test_mixed_pieces_are_those_of_pack(odd, none):
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"]
+    key = lambda df: sorted(map(repr, df.select(*names).collect()))
+    assert key(packing.pack_mixed(odd, keep_ids=True)) == key(packing.pack(odd, keep_ids=True))
+    assert packing.pack_mixed(odd).columns == packing.pack(odd).columns
+    assert packing.pack_mixed(none).count() == 0

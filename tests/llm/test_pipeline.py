@@ -1,7 +1,7 @@
 import corpus_pipeline
 import pytest
 
-from clickloom.llm import classifier, rules
+from clickloom.llm import classifier, mixing, rules
 from clickloom.session import freeze
 from test_jaccard import plain_components
 
@@ -60,3 +60,12 @@ def test_every_operator_has_its_query():
 
     names = contract.queries()
     assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+
+
+def test_packing_keeps_the_mix(spark):
+    docs = spark.range(10_000).selectExpr("id as doc_id", "if(id % 9 = 0, 'b', 'a') as source", "'w ' || id as text")
+    slots = mixing.schedule(docs).select("row.doc_id", "slot").toPandas().set_index("doc_id").slot
+    pieces = corpus_pipeline.packing_stage(spark, docs.orderBy("source"), SF).toPandas()
+    runs = pieces.doc_id.map(slots).groupby(pieces.sequence_id // 2**32).agg(["min", "max"]).sort_index()
+    assert len(runs) == 3 and len(pieces) == 10_000
+    assert (runs["min"].to_numpy()[1:] > runs["max"].to_numpy()[:-1]).all()
