@@ -3,13 +3,16 @@
 Every template is cut into three-word grams, of which each window of three keeps the least hash;
 an inverted index leads from these to (template, place). A document is winnowed the same way, so
 any five words in a row that it shares with a template meet in the index. Each candidate is
-aligned with its template in a band around the diagonal of the shared gram.
+aligned with its template in a band around the diagonal of the shared gram. Aligned pieces that
+stand in order, none further than 32 words from the one before, count together: words put in or
+left out between them cost nothing.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_right
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -18,6 +21,8 @@ from clickloom.llm.text import by_slice
 
 #: Words of a gram, grams of a window, half width of the band, least covered share of a template.
 GRAM, WINDOW, BAND, COVERAGE = 3, 3, 6, 0.6
+#: Most words of a text between two matched words of one passage.
+NEAR = 32
 #: Points for equal words, different words, a word left out on either side.
 EQUAL, DIFFERENT, GAP = 2, -1, -1
 
@@ -90,6 +95,12 @@ def winnow(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def align(words: list, template: list, shift: int) -> tuple[int, int, int]:
     """(equal words, first, last + 1) of the best local alignment of ``template`` within BAND of
     the diagonal word = place + ``shift``; first and last count words."""
+    pairs = aligned(words, template, shift)
+    return (len(pairs), pairs[0][0], pairs[-1][0] + 1) if pairs else (0, 0, 0)
+
+
+def aligned(words: list, template: list, shift: int) -> list[tuple[int, int]]:
+    """(word, place) of the equal words of that alignment, in order."""
     width = 2 * BAND + 1
     best, end = 0, None
     above = [0] * width
@@ -111,19 +122,79 @@ def align(words: list, template: list, shift: int) -> tuple[int, int, int]:
         above = row
         steps.append(step)
     if end is None:
-        return 0, 0, 0
-    (i, k), equal = end, 0
-    first = last = i + shift + k - BAND
+        return []
+    (i, k), pairs = end, []
     while i >= 0 and 0 <= k < width and steps[i][k]:
         if steps[i][k] == 1:
-            first = i + shift + k - BAND
-            equal += words[first] == template[i]
+            j = i + shift + k - BAND
+            if words[j] == template[i]:
+                pairs.append((j, i))
             i -= 1
         elif steps[i][k] == 2:
             i, k = i - 1, k + 1
         else:
             k -= 1
-    return equal, first, last + 1
+    return pairs[::-1]
+
+
+def pieces(words: list, template: list, shift: int, places: list[int]) -> list[list[tuple[int, int]]]:
+    """The alignments on one diagonal that hold shared grams, which start at ``places``, and the
+    run of equal words around a gram if a better alignment beside it hides its own."""
+    found, open_ = [], [(0, len(template))]
+    while open_:
+        low, high = open_.pop()
+        if any(low <= p and p + GRAM <= high for p in places):
+            pairs = aligned(words, template[low:high], shift + low)
+            if len(pairs) >= GRAM:
+                found.append([(j, i + low) for j, i in pairs])
+                open_ += [(low, found[-1][0][1]), (found[-1][-1][1] + 1, high)]
+    for p in places:
+        if not any((p + shift, p) in piece for piece in found):
+            low, high = p, p + 1
+            while low and low + shift and words[low + shift - 1] == template[low - 1]:
+                low -= 1
+            while high < min(len(template), len(words) - shift) and words[high + shift] == template[high]:
+                high += 1
+            found.append([(i + shift, i) for i in range(low, high)])
+    return found
+
+
+def chains(found: list[list[tuple[int, int]]], size: int) -> list[tuple[int, int, int]]:
+    """(first, last + 1, matched words) of passages with at least COVERAGE of ``size`` words.
+
+    A passage takes words of the pieces in the order of text and template, at most NEAR words
+    apart. Of all sets of passages that do not overlap, the one with the most matched words is
+    taken, among equals one that spans the fewest words.
+    """
+    points = sorted({pair for piece in found for pair in piece})
+    at = [j for j, _ in points]
+    made = []
+    for start in sorted({piece[0][0] for piece in found}):
+        live: list[tuple[int, int, int]] = []
+        most = 0
+        for j, i in points[bisect_right(at, start - 1):]:
+            live = [x for x in live if j - x[0] <= NEAR + 1]
+            if j > start and not live:
+                break
+            before = max((n for y, x, n in live if y < j and x < i), default=0)
+            if before or j == start:
+                live.append((j, i, before + 1))
+                if before + 1 > most:
+                    most = before + 1
+                    if most / size >= COVERAGE:
+                        made.append((j + 1, start, most))
+    made.sort()
+    ends, best = [m[0] for m in made], [(0, 0, None)]
+    for n, (end, start, equal) in enumerate(made):
+        rest = bisect_right(ends, start, 0, n)
+        taken = (best[rest][0] + equal, best[rest][1] - (end - start), (rest, n))
+        best.append(max(best[-1], taken, key=lambda x: x[:2]))
+    kept, step = [], best[-1][2]
+    while step:
+        rest, n = step
+        kept.append((made[n][1], made[n][0], made[n][2]))
+        step = best[rest][2]
+    return kept[::-1]
 
 
 def scan(text: str | None, index: Index) -> list[tuple[str, float, int, int, int]]:
@@ -133,25 +204,21 @@ def scan(text: str | None, index: Index) -> list[tuple[str, float, int, int, int
     words = WORD.findall(lower)
     ids = np.fromiter((index.ids.get(w, 0) for w in words), np.int64, len(words))
     grams, picked = winnow(ids)
-    hits = sorted({
-        (t, int(at) - place) for at in picked for t, place in index.places.get(int(grams[at]), ())
-    })
+    hits: dict[int, dict[int, list[int]]] = {}
+    for at in picked:
+        for t, place in index.places.get(int(grams[at]), ()):
+            hits.setdefault(t, {}).setdefault(int(at) - place, []).append(place)
     if not hits:
         return []
-    found = []
-    for t, shift in hits:
-        equal, first, last = align(words, index.words[t], shift)
-        share = equal / len(index.words[t])
-        if share >= COVERAGE:
-            found.append((t, -share, first, last, equal))
-    kept: list[tuple] = []
-    for t, share, first, last, equal in sorted(found):
-        if all(k[0] != t or last <= k[2] or first >= k[3] for k in kept):
-            kept.append((t, share, first, last, equal))
+    kept = []
+    for t, diagonals in sorted(hits.items()):
+        template = index.words[t]
+        found = [p for shift in sorted(diagonals) for p in pieces(words, template, shift, diagonals[shift])]
+        kept += [(t, *c) for c in chains(found, len(template))]
     spans = [m.span() for m in WORD.finditer(lower)]
     return [
-        (index.names[t], -share, equal, spans[first][0], spans[last - 1][1])
-        for t, share, first, last, equal in sorted(kept, key=lambda k: (k[0], k[2]))
+        (index.names[t], equal / len(index.words[t]), equal, spans[first][0], spans[last - 1][1])
+        for t, first, last, equal in kept
     ]
 
 
@@ -159,6 +226,9 @@ def license_spans(docs: DataFrame, templates: dict[str, str] | None = None) -> D
     """(doc_id, license, coverage, matched, start, end): one row for each passage of a whole text
     that covers at least 60 % of a template's words.
 
+    ``coverage`` and ``matched`` count the template words that the pieces of a passage match
+    together; a piece shows by a shared gram, so by any five shared words in a row, and stands at
+    most 32 words behind the one before it. Pieces below 60 % together give no row.
     ``start`` and ``end`` are code points of the text. Words are runs of a-z and 0-9 of the
     text with A to Z lower-cased. Documents without a match, NULL and empty texts give no rows; repeated rows give
     repeated rows; a NULL doc_id stays NULL; other columns are not read. The templates are a

@@ -40,6 +40,34 @@ def test_band_finds_the_best_alignment():
     assert plain_alignment(words, template) == 2 * equal - 1 - 3
 
 
+def test_pieces_of_one_passage_count_together():
+    text = licenses.TEMPLATES["mit-permission"].split()
+    for n in (7, 12, 20, licenses.NEAR):
+        new = [f"new{i}" for i in range(n)]
+        put_in = " ".join(["x", *text[:15], *new, *text[15:], "y"])
+        (name, share, matched, start, end), = licenses.scan(put_in, INDEX)
+        assert (name, share, matched, start, end) == ("mit-permission", 1.0, 29, 2, len(put_in) - 2)
+    thrice = " ".join([*text[:8], *new[:9], *text[8:16], *new[:20], *text[16:24], *new[:11], *text[24:]])
+    assert [f[:3] for f in licenses.scan(thrice, INDEX)] == [("mit-permission", 1.0, 29)]
+    other = " ".join([*text[:10], *new[:12], *text[19:]])  # nine words replaced by twelve
+    assert [f[2] for f in licenses.scan(other, INDEX)] == [20]
+    left_out = " ".join([*text[:11], *text[20:]])
+    assert [f[2] for f in licenses.scan(left_out, INDEX)] == [20]
+    far = " ".join([*text[:15], *new, "one", *text[15:]])
+    assert licenses.scan(far, INDEX) == []
+    back = " ".join([*text[15:], *text[:15]])
+    assert licenses.scan(back, INDEX) == []
+    assert licenses.scan(" ".join([*text[:8], *new[:7], *text[8:16]]), INDEX) == []
+
+
+def test_passages_stay_apart():
+    text = licenses.TEMPLATES["mit-permission"].split()
+    halves = " ".join([*text[:20], "and", "then", *text[9:]])
+    assert [f[2] for f in licenses.scan(halves, INDEX)] == [20, 20]
+    lines = " ".join([licenses.TEMPLATES["mit"]] * 300)
+    assert [f[1:3] for f in licenses.scan(lines, INDEX)] == [(1.0, 5)] * 300
+
+
 def test_tables(spark, odd, none):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = licenses.license_spans(docs).toPandas()
