@@ -12,7 +12,7 @@ from pyspark import keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.operators.lookup import rank_lookup
@@ -223,8 +223,8 @@ class Encoding:
     def joined_sizes(self) -> dict[str, int]:
         return {n: size for n, size in self.sizes.items() if n not in self.labels}
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        """Append ``slots`` (numbers of the wide slots that are 1), ``deep`` and ``label``.
+    def index(self, df: DataFrame) -> DataFrame:
+        """Append ``<column>__idx`` for every column and the label.
 
         A projection only, unless a vocabulary is too large to be broadcast.
         """
@@ -246,13 +246,17 @@ class Encoding:
         else:  # a label has no further class
             missing = F.raise_error(F.lit(f"NULL or unseen value in {self.label}"))
             other = lambda n: missing if n == self.label else F.lit(self.sizes[n])
-        index = {n: f"{n}__idx" for n in found}
         if self.on_invalid == "skip":
             indexed = indexed.where(reduce(and_, [i.isNotNull() for i in found.values()]))
-        indexed = indexed.select(
+        return indexed.select(
             *[col(c) for c in df.columns],
-            *[F.coalesce(i, other(n)).cast("int").alias(index[n]) for n, i in found.items()],
+            *[F.coalesce(i, other(n)).cast("int").alias(f"{n}__idx") for n, i in found.items()],
         )
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Append ``slots`` (numbers of the wide slots that are 1), ``deep`` and ``label``, found
+        as by ``index``."""
+        indexed, index = self.index(df), {n: f"{n}__idx" for n in self.sizes}
         slots, start = [], 0
         for c, width in zip(self.wide, self.widths):
             slots.append(F.when(col(index[c]) < width, col(index[c]) + start))
@@ -307,6 +311,12 @@ def fit_encoding(
     )
 
 
+def slot_array(slots: str, width: int) -> Column:
+    """The 0/1 vector as an array, from the numbers of its ones."""
+    numbers = F.sequence(F.lit(0), F.lit(width - 1))
+    return F.transform(numbers, lambda i: F.array_contains(col(slots), i).cast("double"))
+
+
 def vector_array(df: DataFrame, vector: str = "wide_features_v", name: str = "wide_features",
                  dtype: str = "float64") -> DataFrame:
     """Add the vector as an array."""

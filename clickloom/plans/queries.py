@@ -7,6 +7,7 @@ from functools import reduce
 
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -103,12 +104,19 @@ def few_rows(spark: SparkSession, folder: str) -> tuple[DataFrame, int, list[en.
     return en.training_row(rows, width, "label", [d.feature for d in deep]), width, deep
 
 
-def wide_encoded(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str]]:
-    """All wide columns through the pipeline of vectors."""
+def wide_encoding(spark: SparkSession, folder: str) -> tuple[DataFrame, en.Encoding]:
+    """The rows and the fitted encoding of all wide columns."""
     df = enriched(spark, folder)
     selected = pf.select_wide(pf.profile(df)).orderBy("rank").collect()
     wide = [r["name"] for r in selected]
-    return en.fit_transform(df, en.build_pipeline(wide, [])), wide
+    return df, en.fit_encoding(freeze(pf.value_counts(df, [*wide, "click"])), wide, [])
+
+
+def wide_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows with the assembled vector of all wide columns."""
+    df, encoding = wide_encoding(spark, folder)
+    array = en.slot_array("slots", encoding.wide_dim)
+    return encoding.transform(df).withColumn("wide_features_v", array_to_vector(array))
 
 
 def text(array: str) -> Column:
@@ -327,8 +335,9 @@ def shuffle_batches(spark, folder):
 
 @query
 def string_index(spark, folder):
-    rows, wide = wide_encoded(spark, folder)
-    table = rows.select("id", *[col(f"{c}_idx").alias(c) for c in wide])
+    df, encoding = wide_encoding(spark, folder)
+    wide = encoding.wide
+    table = encoding.index(df).select("id", *[col(f"{c}__idx").cast("double").alias(c) for c in wide])
     return table.unpivot("id", [col(c) for c in wide], "name", "idx")
 
 
@@ -338,9 +347,11 @@ def embed_index(spark, folder):
     dims = dict(SMALL_DIMS)
     sizes = pf.vocab_sizes(df, list(dims)).orderBy("pos").collect()
     deep = [en.Deep(r["name"], r["vocab"], dims[r["name"]]) for r in sizes]
-    rows = en.fit_transform(df, en.build_pipeline(["banner_pos"], deep))
+    counts = freeze(pf.value_counts(df, [*dims, "click"]))
+    rows = en.fit_encoding(counts, [], list(dims.items())).index(df)
     names = [d.feature for d in deep]
-    return rows.select("id", *names).unpivot("id", names, "feature", "idx")
+    found = [col(f"{d.name}__idx").cast("double").alias(d.feature) for d in deep]
+    return rows.select("id", *found).unpivot("id", names, "feature", "idx")
 
 
 @query
@@ -351,22 +362,21 @@ def label_index(spark, folder):
 
 @query
 def one_hot(spark, folder):
-    rows, wide = wide_encoded(spark, folder)
+    df, encoding = wide_encoding(spark, folder)
+    # Position of the one, -1 where the last value is left to all zeros.
     arrays = [
-        F.struct(F.lit(c).alias("name"), en.vector_to_array(col(f"{c}_onehot")).alias("v"))
-        for c in wide
+        F.struct(
+            F.lit(c).alias("name"), F.lit(width).alias("width"),
+            F.when(col(f"{c}__idx") < width, col(f"{c}__idx")).otherwise(-1).cast("bigint").alias("position"),
+        )
+        for c, width in zip(encoding.wide, encoding.widths)
     ]
-    long = rows.select("id", F.explode(F.array(*arrays)).alias("a"))
-    # Position of the one, -1 where the last value is left to all zeros.
-    return long.select(
-        "id", "a.name", F.size("a.v").alias("width"),
-        (F.array_position("a.v", 1.0) - 1).alias("position"),
-    )
+    return encoding.index(df).select("id", F.inline(F.array(*arrays)))
 
 
 @query
 def assemble_vector(spark, folder):
-    rows, _ = wide_encoded(spark, folder)
+    rows = wide_vectors(spark, folder)
     array = en.vector_to_array("wide_features_v")
     return rows.select("id", F.size(array).alias("width"), ones(array).alias("slots"))
 
@@ -379,7 +389,7 @@ def fit_transform(spark, folder):
 
 @query
 def vector_array(spark, folder):
-    rows = en.vector_array(wide_encoded(spark, folder)[0])
+    rows = en.vector_array(wide_vectors(spark, folder))
     weighted = F.aggregate(
         F.transform("wide_features", lambda x, i: x * i), F.lit(0.0), lambda a, x: a + x
     )
@@ -566,9 +576,17 @@ def loss_history(spark, folder):
 
 @query
 def gbt_baseline(spark, folder):
-    rows, wide = wide_encoded(spark, folder)
-    table = VectorAssembler(inputCols=[f"{c}_idx" for c in wide], outputCol="features").transform(
-        sp.hash_split(rows, "id")
+    df, encoding = wide_encoding(spark, folder)
+    rows = sp.hash_split(encoding.index(df), "id")
+    # Trees split the values of nominal columns into sets; only doubles can be marked as such.
+    nominal = {
+        f"{c}__idx": col(f"{c}__idx").cast("double").alias(
+            f"{c}__idx", metadata={"ml_attr": {"type": "nominal", "num_vals": encoding.sizes[c]}}
+        )
+        for c in encoding.wide
+    }
+    table = VectorAssembler(inputCols=list(nominal), outputCol="features").transform(
+        rows.select("id", "split", col("click__idx").cast("double").alias("label"), *nominal.values())
     )
     model = tr.gbt_baseline(
         table.where(F.col("split") == "train").select("features", "label")

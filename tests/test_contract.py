@@ -40,3 +40,28 @@ def test_query(spark, con, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() == 1000
+
+
+@pytest.mark.parametrize(
+    "name", ["embed_index", "string_index", "one_hot", "assemble_vector", "vector_array", "gbt_baseline"]
+)
+def test_query_holds_no_labels_on_the_driver(spark, monkeypatch, name):
+    from clickloom.operators import encode
+
+    monkeypatch.setattr(encode, "MAX_LABELS", 3)
+    assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_trees_know_nominal_columns(spark, monkeypatch):
+    from clickloom.plans import queries
+
+    class Seen(Exception):
+        pass
+
+    def look(df, **settings):
+        raise Seen(df.schema["features"].metadata["ml_attr"]["attrs"])
+
+    monkeypatch.setattr(queries.tr, "gbt_baseline", look)
+    with pytest.raises(Seen) as seen:
+        QUERIES["gbt_baseline"](spark, "/root/testdata/sf0.001")
+    assert set(seen.value.args[0]) == {"nominal"}
