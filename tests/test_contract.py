@@ -1,3 +1,6 @@
+import shutil
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -65,3 +68,13 @@ def test_trees_know_nominal_columns(spark, monkeypatch):
     with pytest.raises(Seen) as seen:
         QUERIES["gbt_baseline"](spark, "/root/testdata/sf0.001")
     assert set(seen.value.args[0]) == {"nominal"}
+
+
+def test_entry_works_without_the_text_operators(tmp_path):
+    root = Path(contract.__file__).parent
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        shutil.copy(root / name, tmp_path)
+    shutil.copytree(root / "clickloom", tmp_path / "clickloom", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    code = "import __spark_entry__ as c; print(sorted(c.queries()) == sorted(c.QUERIES), set(c.oracle_sql()) == set(c.ORACLE))"
+    ran = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert ran.stdout.split() == ["True", "True"], ran.stderr
