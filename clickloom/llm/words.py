@@ -11,7 +11,9 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import chain
 
+import numpy as np
 import regex
 
 from clickloom.llm.tokens import encode, packed, tokenizer
@@ -25,12 +27,13 @@ PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def latin_pattern() -> Callable[[str], list[str]]:
-    """The same pattern with the classes of the characters below LATIN listed."""
+    """The same pattern with the classes of the characters below LATIN listed; it finds line ends
+    too, which stand between words."""
     kinds = {
         kind: "".join(re.escape(chr(i)) for i in range(LATIN) if regex.fullmatch(kind, chr(i)))
         for kind in (r"\p{L}", r"\p{N}", r"\s")
     }
-    listed = PRE_TOKEN
+    listed = PRE_TOKEN + r"|\n"
     for kind, letters in kinds.items():
         listed = listed.replace(kind, letters)
     return re.compile(listed).findall
@@ -48,35 +51,62 @@ def unsafe(path: str) -> Callable[[str], object]:
     return re.compile("|".join(map(re.escape, [*odd, *special])) or "(?!)").search
 
 
+#: Parts that go to the library as one text.
+JOINED = 64
+#: Stands between words; no id has this value, nor do bytes of neighbouring ids.
+BETWEEN = b"\xff" * 4
+
+
+@lru_cache(2)
+def last_of_part(path: str) -> np.ndarray:
+    """Whether a token ends its pre-token, by id."""
+    vocabulary = tokenizer(path).get_vocab()
+    ends = np.zeros(max(vocabulary.values()) + 1, bool)
+    ends[[i for s, i in vocabulary.items() if s.endswith(tokenizer(path).model.end_of_word_suffix)]] = True
+    return ends
+
+
+def part_ids(path: str, parts: list[str]) -> list[bytes]:
+    """The packed ids of pre-tokens, many of which go to the library as one text."""
+    if not parts:
+        return []
+    texts = [" ".join(parts[at : at + JOINED]) for at in range(0, len(parts), JOINED)]
+    ids = np.fromiter(chain.from_iterable(encode(path, texts)), "<u4")
+    ends = (4 * (np.flatnonzero(last_of_part(path)[ids]) + 1)).tolist()
+    raw = ids.tobytes()
+    return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+
 @lru_cache(2)
 def _known(path: str) -> tuple[dict[str, bytes], dict[str, bytes]]:
-    return {}, {}
+    return {}, {"\n": BETWEEN}
 
 
 def word_ids(path: str) -> Callable[[list[str]], list[bytes]]:
     """Function from texts to their ids as packed bytes, equal to the library's for whole texts."""
     search, divide, (words, parts) = unsafe(path), latin_pattern(), _known(path)
 
-    def learn(new: set[str]) -> None:
-        if len(words) > CACHE:
-            words.clear()
+    def learn(new: list[str]) -> None:
+        limit, joined = chr(LATIN), "\n".join(new)
+        if not joined.isascii() and max(joined) >= limit:
+            others = [w for w in new if max(w) >= limit]
+            words.update(zip(others, map(packed, encode(path, others))))
+            new = [w for w in new if max(w) < limit]
+            joined = "\n".join(new)
         if len(parts) > CACHE:
             parts.clear()
-        limit = chr(LATIN)
-        divided = {w: divide(w.lower()) for w in new if w.isascii() or max(w) < limit}
-        others = [w for w in new if w not in divided]
-        words.update(zip(others, map(packed, encode(path, others))))
-        missing = list(set().union(*divided.values()) - parts.keys())
-        parts.update(zip(missing, map(packed, encode(path, missing))))
-        words.update((w, b"".join(map(parts.__getitem__, p))) for w, p in divided.items())
+            parts["\n"] = BETWEEN
+        divided = divide(joined.lower())
+        missing = list(set(divided) - parts.keys())
+        parts.update(zip(missing, part_ids(path, missing)))
+        words.update(zip(new, b"".join(map(parts.__getitem__, divided)).split(BETWEEN)))
 
     def run(texts: list[str]) -> list[bytes]:
         split = [None if search(t) else t.split() for t in texts]
-        new = set().union(*(s for s in split if s)) - words.keys()
-        if new:
-            learn(new)
-            if any(w not in words for s in split if s for w in s):  # forgotten meanwhile
-                learn(set().union(*(s for s in split if s)))
+        if len(words) > CACHE:
+            words.clear()
+        if new := set().union(*(s for s in split if s)) - words.keys():
+            learn(list(new))
         whole = [t for t, s in zip(texts, split) if s is None]
         rest = iter(map(packed, encode(path, whole)) if whole else ())
         return [next(rest) if s is None else b"".join(map(words.__getitem__, s)) for s in split]
