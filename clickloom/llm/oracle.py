@@ -86,8 +86,39 @@ SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS co
 FROM reach LEFT JOIN (SELECT DISTINCT doc_id, n FROM flat) USING (doc_id) GROUP BY doc_id
 """
 
+
+def _codes(rounds: int = 6) -> str:
+    """Product codes with every part compared with every entry, round by round."""
+    near = lambda r: f"""n{r} AS MATERIALIZED (SELECT rid, p, arg_min(e, d * 16 + e) AS e, min(d) AS d FROM (
+      SELECT rid, p, e, list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i])))::BIGINT AS d
+      FROM parts JOIN b{r} USING (p)) GROUP BY ALL)"""
+    steps = []
+    for r in range(rounds):
+        steps.append(near(r))
+        steps.append(f"""b{r + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM b{r} b LEFT JOIN (
+      SELECT p, e, list((s - ((s % k) + k) % k) // k ORDER BY i) AS c FROM (
+        SELECT p, e, i, sum(x[i])::BIGINT AS s, count(*) AS k
+        FROM n{r} JOIN parts USING (rid, p), (SELECT unnest(range(1, (SELECT max(len(x)) FROM parts) + 1)) AS i) GROUP BY ALL)
+      GROUP BY ALL) m USING (p, e))""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label,
+         list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT rid, p, v[p * (len(v) // 8) + 1:(p + 1) * (len(v) // 8)] AS x FROM kept, (SELECT unnest(range(8)) AS p)),
+b0 AS MATERIALIZED (SELECT p, rid - 1 AS e, x AS c FROM parts WHERE rid <= 16),
+{", ".join([*steps, near(rounds)])},
+coded AS (SELECT rid, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM n{rounds} GROUP BY 1),
+books AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS books FROM b{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, books AS codebooks_sha256
+FROM kept JOIN coded USING (rid), books
+"""
+
+
 ORACLE = {
     "op1_pfair_mix": _MIX,
     "op4_backoff_scores": _SCORES,
     "op7_jaccard_components": _COMPONENTS,
+    "op13_ball_codes": _codes(),
 }

@@ -1,0 +1,131 @@
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from clickloom.llm.codes import assign, balls, fit_codes, product_codes
+from conftest import CLASHING
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int"
+
+
+def plain_codes(rows, parts=8, entries=16, rounds=6):
+    """(entries, codes, errors) of rows (vec_id, vector, label), by comparing all with all."""
+    kept = [
+        (i, [math.floor(4096 * x) for x in v], y) for i, v, y in rows
+        if v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    w = len(kept[0][1]) // parts
+    cut = [[v[p * w : (p + 1) * w] for p in range(parts)] for _, v, _ in kept]
+    books = [[list(c[p]) for c in cut[:entries]] for p in range(parts)]
+    gap = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b))
+    nearest = lambda x, p: min((gap(x, e), i) for i, e in enumerate(books[p]))
+    for _ in range(rounds):
+        chosen = [[nearest(c[p], p)[1] for p in range(parts)] for c in cut]
+        for p in range(parts):
+            for e in range(len(books[p])):
+                mine = [c[p] for c, k in zip(cut, chosen) if k[p] == e]
+                if mine:
+                    books[p][e] = [sum(x) // len(mine) for x in zip(*mine)]
+    out = []
+    for (i, _, y), c in zip(kept, cut):
+        found = [nearest(c[p], p) for p in range(parts)]
+        out.append((i, "".join(f"{e:02x}" for _, e in found), sum(d for d, _ in found), y))
+    total = {}
+    for _, _, d, y in out:
+        total[y] = total.get(y, 0) + d
+    numbers = ",".join(str(x) for book in books for e in book for x in e)
+    sha = hashlib.sha256(numbers.encode()).hexdigest()
+    return sorted([(i, code, d, total[y], sha) for i, code, d, y in out], key=repr)
+
+
+def made(df):
+    names = ["vec_id", "code", "error", "label_error", "codebooks_sha256"]
+    assert df.columns == names
+    return sorted([tuple(r) for r in df.collect()], key=repr)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.data())
+def test_assignment_is_that_of_comparing_all(data):
+    n, k, w = data.draw(st.integers(1, 40)), data.draw(st.integers(1, 9)), data.draw(st.integers(0, 3))
+    number = st.integers(-4, 4)
+    x = np.array(data.draw(st.lists(st.lists(number, min_size=w, max_size=w), min_size=n, max_size=n))).reshape(n, w)
+    e = np.array(data.draw(st.lists(st.lists(number, min_size=w, max_size=w), min_size=k, max_size=k))).reshape(1, k, w)
+    code = np.array(data.draw(st.lists(st.integers(0, k - 1), min_size=n, max_size=n)))
+    far = ((x[:, None] - e[0][None]) ** 2).sum(-1)
+    own = far[np.arange(n), code]
+    radii = np.array([[math.sqrt(max(own[code == i], default=0)) for i in range(k)]])
+    b = balls(e.astype(object), radii, np.ones((1, k), bool))
+    new, distance, taken = assign(
+        x.astype(float), code, e[0].astype(float), b.neighbours[0], b.apart[0].astype(float), b.rest[0]
+    )
+    assert new.tolist() == far.argmin(1).tolist() and distance.tolist() == far.min(1).tolist()
+    assert taken <= n * k
+    # settled parts whose balls and neighbours are at rest stay without any distance
+    radii = np.array([[math.sqrt(max(distance[new == i], default=0)) for i in range(k)]])
+    b = balls(e.astype(object), radii, np.zeros((1, k), bool))
+    assert b.rest.all()
+    again, _, taken = assign(
+        x.astype(float), new, e[0].astype(float), b.neighbours[0], b.apart[0].astype(float), b.rest[0]
+    )
+    assert taken == 0 and again.tolist() == new.tolist()
+
+
+def test_rings_and_cores_save_distances():
+    rng = np.random.default_rng(5)
+    e = rng.normal(size=(1, 16, 4)) * 400
+    e = np.floor(e)
+    x = np.floor(e[0][rng.integers(0, 16, 2000)] + rng.normal(size=(2000, 4)) * 40)
+    far = ((x[:, None] - e[0][None]) ** 2).sum(-1)
+    code = far.argmin(1)
+    radii = np.array([[math.sqrt(max(far[code == i, i], default=0)) for i in range(16)]])
+    b = balls(e.astype(object), radii, np.ones((1, 16), bool))
+    _, _, taken = assign(x, code, e[0], b.neighbours[0], b.apart[0].astype(float), b.rest[0])
+    assert taken < 2000 * 3
+
+
+@pytest.mark.parametrize("scale", [1.0, 1500.0])
+def test_codes_are_those_of_the_plain_version(spark, scale):
+    random.seed(11)
+    rows = [(i, [random.gauss(i % 5, 1) * scale for _ in range(24)], i % 4 or None) for i in range(300)]
+    rows += [(900, None, 1), (901, [1.0, None] * 12, 1), (902, [float("nan")] * 24, 2), (903, [float("-inf")] * 24, 2)]
+    rows += [(5, rows[5][1], 1), (5, rows[6][1], None), (None, rows[7][1], 3)] + rows[40:60]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(7)
+    floats = [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v], y) for i, v, y in rows]
+    want = plain_codes(floats)
+    odd = df.select("*", *[F.lit(i).alias(c) for i, c in enumerate([*CLASHING, "code", "parts", "sums", "codes"])])
+    assert made(product_codes(odd)) == want
+
+
+def test_few_rows_and_ties(spark):
+    rows = [(i, [float(i % 2), 0.5] * 8, i % 2) for i in range(7)]
+    assert made(product_codes(spark.createDataFrame(rows, SCHEMA))) == plain_codes(rows)
+
+
+def test_a_hot_label_and_many_labels(spark, monkeypatch):
+    from clickloom.llm import codes
+
+    monkeypatch.setattr(codes, "BROADCAST_LABELS", 3)
+    rows = [(i, [math.sin(i * k) for k in range(8)], 1 if i % 3 else i) for i in range(200)]
+    floats = [(i, [float(np.float32(x)) for x in v], y) for i, v, y in rows]
+    assert made(product_codes(spark.createDataFrame(rows, SCHEMA))) == plain_codes(floats)
+
+
+def test_no_rows(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert made(product_codes(empty)) == [] and fit_codes(empty) is None
+    assert made(product_codes(spark.createDataFrame([(1, None, 2)], SCHEMA))) == []
+
+
+def test_lengths_must_fit(spark):
+    with pytest.raises(ValueError):
+        product_codes(spark.createDataFrame([(1, [1.0] * 9, 2)], SCHEMA))
+    with pytest.raises(Exception, match="has not 8 components"):
+        product_codes(spark.createDataFrame([(1, [1.0] * 8, 2), (2, [1.0] * 16, 2)], SCHEMA)).collect()

@@ -40,7 +40,7 @@ def test_no_documents(spark):
         assert stage(spark, docs, SF).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op1_pfair_mix", "op4_backoff_scores", "op7_jaccard_components"])
+@pytest.mark.parametrize("name", ["op1_pfair_mix", "op4_backoff_scores", "op7_jaccard_components", "op13_ball_codes"])
 def test_sql_gives_the_same(spark, name):
     import duckdb
 
@@ -48,7 +48,8 @@ def test_sql_gives_the_same(spark, name):
     from tools.check import rows_of
 
     con = duckdb.connect()
-    con.execute("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.01/documents.parquet'")
+    for name_ in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {name_} AS SELECT * FROM '/root/testdata/sf0.01/{name_}.parquet'")
     got = rows_of(contract.queries()[name](spark, "/root/testdata/sf0.01").toArrow())
     want = rows_of(con.execute(contract.oracle_sql()[name]).to_arrow_table())
     assert [n for n, _ in got[0]] == [n for n, _ in want[0]]
