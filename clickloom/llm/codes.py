@@ -216,8 +216,8 @@ def fit_codes(vectors: DataFrame, vector: str = "embedding", rounds: int = ROUND
     if not first:
         return None
     length = len(first[0].parts)
-    if length % PARTS:
-        raise ValueError(f"{length} components cannot be cut into {PARTS} equal parts")
+    if length % PARTS or any(len(r.parts) != length for r in first):
+        raise ValueError(f"vectors of {length} components cannot be cut into {PARTS} equal parts")
     width, n = length // PARTS, len(first)
     other = F.raise_error(F.lit(f"a vector has not {length} components"))
     rows = rows.withColumns({

@@ -116,9 +116,49 @@ FROM kept JOIN coded USING (rid), books
 """
 
 
+def _manifest(levels: int = 10, top: int = 6) -> str:
+    """Hash trees of up to 8 ** levels leaves a lang and 8 ** top langs, level by level."""
+    row = lambda text: "sha256(" + " || ".join(
+        f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)
+    ) + ")"
+    lowered = f"translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+    crc = """list_reduce(list_prepend(4294967295, list_transform(range(1, len(doc_id::VARCHAR) + 1),
+        lambda i: ascii(substr(doc_id::VARCHAR, i, 1))::BIGINT)), lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+        lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))"""
+    tree = lambda t, n: f"""{t}{n}r AS MATERIALIZED (
+  SELECT k, i // 8 AS g, list(h ORDER BY i) AS hs, any_value(c) > 1 AS more FROM (SELECT *, count(*) OVER (PARTITION BY k) AS c FROM {t}{n})
+  GROUP BY k, i // 8),
+{t}{n + 1} AS MATERIALIZED (SELECT k, g AS i, CASE WHEN more THEN sha256(array_to_string(hs, '')) ELSE hs[1] END AS h FROM {t}{n}r)"""
+    walk = lambda w, t, n: f"""{w}{n + 1} AS (SELECT w.* REPLACE (w.i // 8 AS i,
+    CASE WHEN more THEN proof || array_to_string(hs[1:w.i % 8], '') || array_to_string(hs[w.i % 8 + 2:], '') ELSE proof END AS proof,
+    CASE WHEN more THEN sha256(array_to_string(hs[1:w.i % 8], '') || v || array_to_string(hs[w.i % 8 + 2:], '')) ELSE v END AS v)
+  FROM {w}{n} w JOIN {t}{n}r r ON r.k = w.k AND r.g = w.i // 8)"""
+    steps = [
+        *[tree("t", n) for n in range(levels)],
+        f"u0 AS MATERIALIZED (SELECT '' AS k, row_number() OVER (ORDER BY k) - 1 AS i, k AS name, h FROM t{levels})",
+        *[tree("u", n) for n in range(top)],
+        *[walk("w", "t", n) for n in range(levels)],
+        f"z0 AS (SELECT w.doc_id, w.leaf, w.proof, w.v, '' AS k, u0.i, u0.h AS subroot FROM w{levels} w JOIN u0 ON u0.name = w.k)",
+        *[walk("z", "u", n) for n in range(top)],
+    ]
+    return f"""
+WITH leaf AS MATERIALIZED (
+  SELECT coalesce('+' || lang, '') AS k, doc_id, {row('text')} AS h,
+         CASE WHEN xor({crc}, 4294967295) % 3 = 0 THEN {row(lowered)} ELSE {row('text')} END AS v
+  FROM documents),
+w0 AS MATERIALIZED (
+  SELECT k, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, h) - 1 AS i, doc_id, h AS leaf, '' AS proof, v FROM leaf),
+t0 AS (SELECT k, i, leaf AS h FROM w0),
+{(',' + chr(10)).join(steps)}
+SELECT doc_id, leaf, subroot, u{top}.h AS root, sha256(proof) AS proof_sha256, v AS folded_root, v = u{top}.h AS verified
+FROM z{top}, u{top}
+"""
+
+
 ORACLE = {
     "op1_pfair_mix": _MIX,
     "op4_backoff_scores": _SCORES,
     "op7_jaccard_components": _COMPONENTS,
+    "op12_merkle_manifest": _manifest(),
     "op13_ball_codes": _codes(),
 }

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import (
-    chat, classifier, codes, fingerprints, jaccard, licenses, lm, mixing, packing, rules, tokens,
+    chat, classifier, codes, fingerprints, jaccard, licenses, lm, merkle, mixing, packing, rules, tokens,
     two_fit,
 )
 from clickloom.llm.oracle import ORACLE  # noqa: F401
@@ -65,6 +65,10 @@ def op11_two_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return two_fit.pack_two_fit(table(spark, folder, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.merkle_proofs(table(spark, folder, "documents"))
+
+
 def op13_ball_codes(spark: SparkSession, folder: str) -> DataFrame:
     return codes.product_codes(table(spark, folder, "embeddings"))
 
@@ -74,6 +78,7 @@ QUERIES = {
     for q in (
         op1_pfair_mix, op2_token_counts, op3_chat_repair, op4_backoff_scores, op5_license_spans,
         op6_quality_rules, op7_jaccard_components, op8_bfd_packing, op9_oph_fingerprints,
-        op10_subword_quality, op11_two_fit_packing, op13_ball_codes,
+        op10_subword_quality, op11_two_fit_packing, op12_merkle_manifest,
+        op13_ball_codes,
     )
 }

@@ -127,5 +127,8 @@ def test_no_rows(spark):
 def test_lengths_must_fit(spark):
     with pytest.raises(ValueError):
         product_codes(spark.createDataFrame([(1, [1.0] * 9, 2)], SCHEMA))
+    with pytest.raises(ValueError):
+        product_codes(spark.createDataFrame([(1, [1.0] * 8, 2), (2, [1.0] * 16, 2)], SCHEMA))
+    rows = [(i, [1.0] * 8, 2) for i in range(20)] + [(99, [1.0] * 16, 2)]
     with pytest.raises(Exception, match="has not 8 components"):
-        product_codes(spark.createDataFrame([(1, [1.0] * 8, 2), (2, [1.0] * 16, 2)], SCHEMA)).collect()
+        product_codes(spark.createDataFrame(rows, SCHEMA)).collect()

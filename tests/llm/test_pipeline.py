@@ -40,7 +40,10 @@ def test_no_documents(spark):
         assert stage(spark, docs, SF).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op1_pfair_mix", "op4_backoff_scores", "op7_jaccard_components", "op13_ball_codes"])
+@pytest.mark.parametrize(
+    "name",
+    ["op1_pfair_mix", "op4_backoff_scores", "op7_jaccard_components", "op12_merkle_manifest", "op13_ball_codes"],
+)
 def test_sql_gives_the_same(spark, name):
     import duckdb
 
@@ -60,7 +63,7 @@ def test_every_operator_has_its_query():
     import __spark_entry__ as contract
 
     names = contract.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
 
 
 def test_packing_keeps_the_mix(spark):
