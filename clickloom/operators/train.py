@@ -8,7 +8,6 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,29 +16,29 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickloom.operators.embedding_table import (
+    EmbeddingTable, adam_move, drawn_embeddings, rate_and_root,
+)
 from clickloom.operators.encode import Deep
 from clickloom.operators.evaluate import log_loss
 from clickloom.operators.lookup import HOT_ROWS
 from clickloom.operators.network import (
     BROADCAST_BYTES, HIDDEN, Params, collect_parameters, embedding, embedding_bytes,
-    embedding_lookup, gather, init_parameters, layers, list_array, matrix, parameter_table,
-    score_table, slot_lists, tower,
+    embedding_lookup, gather, init_parameters, layers, matrix, parameter_table, score_table,
+    slot_lists, tower,
 )
+from clickloom.operators.parts import PART_SCHEMA, part, sum_parts, task_number
 from clickloom.session import col, discard, freeze, local_table, scratch_dir
 from clickloom.sources.features_io import save_parameters
 
 log = logging.getLogger(__name__)
 
-# Adam's decay rates and divisor guard.
-BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-8
-
-# Values of one tensor that are added up in one group.
-BLOCK_VALUES = 1 << 18
-# Blocks over which neighbouring rows are spread.
-STRIDE = 16
-PART_SCHEMA = "tensor string, block int, row int, n double, values array<float>"
-# Parts that are no tensors: the summed loss with the row count, and the steps taken.
-TOTAL, STEPS = "total", "steps"
+# Batches of a worker between two averages, if ``rounds`` is not given.
+ROUND_BATCHES = 16
+# Parts that are no tensors: the summed loss with the row count, the steps taken, and the same
+# loss of each batch, by worker.
+TOTAL, STEPS, LOSS = "total", "steps", "loss:"
+LOSS_SCHEMA = "epoch int, round int, worker int, batch int, rows bigint, loss double"
 
 
 @dataclass
@@ -106,63 +105,6 @@ def gradient(
     return Gradient(grads, sparse, loss, len(label))
 
 
-def _block_rows(width: int) -> int:
-    return max(1, BLOCK_VALUES // width)
-
-
-def _place(index: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(block, row within it) of rows of a tensor: neighbouring rows, which are alike frequent,
-    fall to different blocks, and a block has at most ``_block_rows`` rows."""
-    over = _block_rows(width) * STRIDE
-    return index // over * STRIDE + index % STRIDE, index % over // STRIDE
-
-
-def _rows_of(block: int, inside: np.ndarray, width: int) -> np.ndarray:
-    """The inverse of ``_place``."""
-    return block // STRIDE * (_block_rows(width) * STRIDE) + inside * STRIDE + block % STRIDE
-
-
-def _part(tensor: str, index: np.ndarray, n: float, values: np.ndarray) -> pa.RecordBatch:
-    size = len(index)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([tensor] * size, pa.string()),
-            pa.array(_place(index, values.shape[1])[0].astype(np.int32)),
-            pa.array(index.astype(np.int32)),
-            pa.array(np.full(size, float(n))),
-            list_array(values),
-        ],
-        names=["tensor", "block", "row", "n", "values"],
-    )
-
-
-def _sum_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Add the values of equal rows of one block; holds one block, however many parts come."""
-    tensor, block, size, total, count, seen = None, 0, 0, None, None, None
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        values = matrix(batch.column("values"))
-        if total is None:
-            tensor, block = batch.column("tensor")[0].as_py(), batch.column("block")[0].as_py()
-            size = _block_rows(values.shape[1])
-            total = np.zeros((size, values.shape[1]))
-            count, seen = np.zeros(size), np.zeros(size, dtype=bool)
-        index = _place(batch.column("row").to_numpy(), values.shape[1])[1]
-        np.add.at(total, index, values)
-        np.add.at(count, index, batch.column("n").to_numpy())
-        seen[index] = True
-    if total is not None:
-        kept = np.flatnonzero(seen)
-        out = _part(tensor, _rows_of(block, kept, total.shape[1]), 0.0, total[kept])
-        yield out.set_column(3, "n", pa.array(count[kept]))
-
-
-def sum_parts(parts: DataFrame) -> DataFrame:
-    """Sum parts by (tensor, row), one group per block of rows."""
-    return parts.groupBy("tensor", "block").applyInArrow(_sum_block, PART_SCHEMA)
-
-
 def _inputs(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     rows, slots = slot_lists(batch.column("slots"))
     label = batch.column("label").to_numpy().astype(np.float32)
@@ -204,15 +146,15 @@ def batch_gradient(
             n, loss = n + g.rows, loss + g.loss
         if n:
             for t, v in dense.items():
-                yield _part(t, np.arange(len(v)), n, v)
+                yield part(t, np.arange(len(v)), n, v)
             for t, v in sparse.items():
                 index = np.flatnonzero(touched[t])
-                yield _part(t, index, n, v[index])
-            yield _part(TOTAL, np.array([0]), n, np.array([[loss, n]]))
+                yield part(t, index, n, v[index])
+            yield part(TOTAL, np.array([0]), n, np.array([[loss, n]]))
 
     narrow = df.select("slots", "deep", F.col("label").cast("double").alias("label"))
     parts = narrow.mapInArrow(run, PART_SCHEMA)
-    return sum_parts(parts).select("tensor", "row", "values")
+    return sum_parts(parts, task_number(narrow)).select("tensor", "row", "values")
 
 
 class Adam:
@@ -231,8 +173,7 @@ class Adam:
 
     def step(self, g: Gradient) -> None:
         self.steps += 1
-        rate = self.lr / (1 - BETA1**self.steps)
-        root = (1 - BETA2**self.steps) ** 0.5
+        rate, root = rate_and_root(self.lr, self.steps)
         for t, grad in g.dense.items():
             self._move(t, slice(None), grad / g.rows, rate, root)
         for t, (index, grad) in g.sparse.items():
@@ -243,10 +184,10 @@ class Adam:
             self._move(t, active, full, rate, root)
 
     def _move(self, t: str, at, grad: np.ndarray, rate: float, root: float) -> None:
-        m = BETA1 * self.m[t][at] + (1 - BETA1) * grad
-        v = BETA2 * self.v[t][at] + (1 - BETA2) * grad * grad
-        self.m[t][at], self.v[t][at] = m, v
-        self.p[t][at] -= rate * m / (np.sqrt(v) / root + EPSILON)
+        change, self.m[t][at], self.v[t][at] = adam_move(
+            self.p[t][at], self.m[t][at], self.v[t][at], grad, rate, root
+        )
+        self.p[t][at] -= change
 
 
 def _rebatch(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -268,51 +209,137 @@ def _moments(params: Params) -> Params:
     return {f"{k}:{t}": np.zeros_like(v) for k in "mv" for t, v in params.items()}
 
 
+def _local_steps(
+    adam: Adam, names: Sequence[str], batches: Iterator[pa.RecordBatch], batch_size: int,
+    dropout: float, seed: Sequence[int], worker: int, at_row=None,
+) -> np.ndarray:
+    """Steps of one worker over its rows in their order; (summed loss, rows) of each batch.
+
+    ``at_row(i, rows)`` turns the rows of deep column ``i`` into places of the tensor held."""
+    rng, told = np.random.default_rng([*seed, worker]), []
+    for batch in _rebatch(batches, batch_size):
+        deep, rows, slots, label = _inputs(batch)
+        if at_row is not None:
+            deep = np.stack([at_row(i, deep[:, i]) for i in range(deep.shape[1])], axis=1)
+        if dropout:
+            kept = rng.random(len(slots)) >= dropout
+            rows, slots = rows[kept], slots[kept]
+        g = gradient(adam.p, names, deep, rows, slots, 1 / (1 - dropout), label)
+        adam.step(g)
+        told.append((g.loss, g.rows))
+    return np.array(told).reshape(-1, 2)
+
+
+def _told(told: np.ndarray, worker: int) -> Iterator[pa.RecordBatch]:
+    """Parts of the losses and the steps of a worker."""
+    n = told[:, 1].sum()
+    yield part(TOTAL, np.array([0]), n, np.array([[told[:, 0].sum()]]))
+    yield part(STEPS, np.array([0]), n, np.array([[len(told) * n]]))
+    yield part(f"{LOSS}{worker}", np.arange(len(told)), 0, told)
+
+
+def _changes(adam: Adam, old: Params, old_moments: Params, tensors, n: int) -> Iterator[pa.RecordBatch]:
+    """Changes times rows, of embeddings only for rows that ever moved."""
+    for t in tensors:
+        at = adam.active.get(t, np.arange(len(adam.p[t])))
+        for name, new, before in (
+            (t, adam.p[t], old[t]),
+            (f"m:{t}", adam.m[t], old_moments[f"m:{t}"]),
+            (f"v:{t}", adam.v[t], old_moments[f"v:{t}"]),
+        ):
+            yield part(name, at, n, (new[at] - before[at]) * np.float32(n))
+
+
+def round_sums(
+    df: DataFrame, params: Params, moments: Params, steps: int, spec: Sequence[Deep], lr: float,
+    batch_size: int, dropout: float, seed: Sequence[int], workers: int,
+) -> DataFrame:
+    """Summed parts of a round in which every partition of ``df`` is a worker that takes Adam
+    steps on its own rows in their order."""
+    names = [d.name for d in spec]
+    shared = df.sparkSession.sparkContext.broadcast((params, moments))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        old, old_moments = shared.value
+        copied = {t: v.copy() for t, v in old_moments.items()}
+        adam = Adam({t: v.copy() for t, v in old.items()}, copied, steps, lr)
+        worker = TaskContext.get().partitionId()
+        told = _local_steps(adam, names, batches, batch_size, dropout, seed, worker)
+        if len(told):
+            yield from _changes(adam, old, old_moments, old, int(told[:, 1].sum()))
+            yield from _told(told, worker)
+
+    return sum_parts(df.mapInArrow(run, PART_SCHEMA), workers)
+
+
+def table_round_sums(
+    rows: DataFrame, table: EmbeddingTable, dense: Params, moments: Params, steps: int,
+    spec: Sequence[Deep], lr: float, batch_size: int, dropout: float, seed: Sequence[int],
+    workers: int, counts: Sequence[int],
+) -> DataFrame:
+    """The same round with embeddings that stay a table.
+
+    ``rows`` are staged rows of the round. Each worker gets the embedding rows that its own rows
+    touch, with their moments, and takes the same steps as ``round_sums``. The sums of embedding
+    rows are as ``EmbeddingTable.moved`` takes them; ``counts`` are the numbers of steps met.
+    """
+    names, columns = [d.name for d in spec], ["slots", "deep", "label"]
+    tensors = [embedding(n) for n in names]
+    dims = {embedding(d.name): d.dim for d in spec}
+    tensor = F.array(*map(F.lit, tensors))[F.col("pos")]
+    keys = rows.select("worker", F.posexplode("deep").alias("pos", "row")).distinct()
+    fetched = table.touched(keys.select(F.col("worker").alias("by"), tensor.alias("tensor"), "row"))
+    order = F.xxhash64("turn", *map(F.lit, seed))
+    shared = rows.sparkSession.sparkContext.broadcast((dense, moments))
+
+    def run(mine: pa.Table, found: pa.Table) -> pa.Table:
+        old, old_moments = dict(shared.value[0]), dict(shared.value[1])
+        worker = mine.column("worker")[0].as_py()
+        index, met = {}, found.column("tensor").to_numpy()
+        for t in tensors:
+            at = np.flatnonzero(met == t)
+            at = at[np.argsort(found.column("row").to_numpy()[at], kind="stable")]
+            index[t] = found.column("row").to_numpy()[at]
+            held = found.take(pa.array(at)).combine_chunks()
+            value = lambda c, t=t, held=held: matrix(held.column(c).combine_chunks()).reshape(-1, dims[t])
+            old[t], old_moments[f"m:{t}"], old_moments[f"v:{t}"] = value("values"), value("m"), value("v")
+        copied = {t: v.copy() for t, v in old_moments.items()}
+        adam = Adam({t: v.copy() for t, v in old.items()}, copied, steps, lr)
+        ordered = mine.sort_by([("order", "ascending"), ("turn", "ascending")]).select(columns)
+        at_row = lambda i, at: np.searchsorted(index[tensors[i]], at)
+        told = _local_steps(adam, names, iter(ordered.to_batches()), batch_size, dropout, seed, worker, at_row)
+        n = int(told[:, 1].sum())
+        parts = [*_changes(adam, old, old_moments, [t for t in old if t not in dims], n), *_told(told, worker)]
+        k = np.zeros((1, len(counts)), np.float32)
+        k[0, list(counts).index(len(told))] = n
+        for t in tensors:
+            changes = [(new[t] - before) * np.float32(n) for new, before in (
+                (adam.p, old[t]), (adam.m, old_moments[f"m:{t}"]), (adam.v, old_moments[f"v:{t}"])
+            )]
+            if len(index[t]):
+                parts.append(part(t, index[t], n, np.concatenate([*changes, np.repeat(k, len(index[t]), 0)], axis=1)))
+        return pa.Table.from_batches(parts)
+
+    sent = rows.select("worker", *columns, "turn", order.alias("order")).groupBy("worker")
+    return sum_parts(sent.cogroup(fetched.groupBy("by")).applyInArrow(run, PART_SCHEMA), workers)
+
+
 def train_round(
     df: DataFrame, params: Params, moments: Params, steps: int, spec: Sequence[Deep], lr: float,
     batch_size: int, dropout: float, seed: Sequence[int],
 ) -> tuple[Params, Params, int, float, int]:
-    """One round: every partition of ``df`` is a worker that takes Adam steps on its own rows in
-    their order, then all are averaged by rows.
+    """One round over the partitions of ``df``, averaged by rows.
 
     Returns parameters, moments, steps taken so far, summed loss and row count. With
     one worker this is plain sequential Adam. Parameters and moments are averaged as changes,
     so a worker sends only embedding rows that moved.
     """
-    names = [d.name for d in spec]
-    shared = df.sparkSession.sparkContext.broadcast((params, moments))
+    sums = round_sums(df, params, moments, steps, spec, lr, batch_size, dropout, seed, 1)
+    return _averaged(_without_losses(sums).toArrow(), params, moments, steps)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        old, old_moments = shared.value
-        p = {t: v.copy() for t, v in old.items()}
-        adam = Adam(p, {t: v.copy() for t, v in old_moments.items()}, steps, lr)
-        rng = np.random.default_rng([*seed, TaskContext.get().partitionId()])
-        n, loss = 0, 0.0
-        for batch in _rebatch(batches, batch_size):
-            deep, rows, slots, label = _inputs(batch)
-            if dropout:
-                kept = rng.random(len(slots)) >= dropout
-                rows, slots = rows[kept], slots[kept]
-            g = gradient(p, names, deep, rows, slots, 1 / (1 - dropout), label)
-            adam.step(g)
-            n, loss = n + g.rows, loss + g.loss
-        if n == 0:
-            return
-        for t in p:
-            at = adam.active.get(t, np.arange(len(p[t])))
-            for name, new, before in (
-                (t, p[t], old[t]),
-                (f"m:{t}", adam.m[t], old_moments[f"m:{t}"]),
-                (f"v:{t}", adam.v[t], old_moments[f"v:{t}"]),
-            ):
-                yield _part(name, at, n, (new[at] - before[at]) * np.float32(n))
-        yield _part(TOTAL, np.array([0]), n, np.array([[loss]]))
-        yield _part(STEPS, np.array([0]), n, np.array([[(adam.steps - steps) * n]]))
-
-    parts = df.mapInArrow(run, PART_SCHEMA)
-    summed = sum_parts(parts).select("tensor", "row", "n", "values").toArrow()
-    shared.unpersist()
-    return _averaged(summed, params, moments, steps)
+
+def _without_losses(sums: DataFrame) -> DataFrame:
+    return sums.where(~F.col("tensor").startswith(LOSS)).select("tensor", "row", "n", "values")
 
 
 def _averaged(
@@ -373,10 +400,11 @@ def best_epoch(history: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Fitted:
-    """Best parameters and one history row per epoch."""
+    """Best parameters, one history row per epoch, one row per batch (its mean loss)."""
 
     params: DataFrame
     history: DataFrame
+    losses: DataFrame
 
 
 def stage(df: DataFrame, workers: int, rounds: int, key: str | None = None) -> DataFrame:
@@ -418,45 +446,50 @@ def validate(
 def fit(
     df: DataFrame, spec: Sequence[Deep], wide_dim: int, validation: DataFrame | None = None,
     hidden: Sequence[int] = HIDDEN, epochs: int = 5, batch_size: int = 2048, lr: float = 1e-3,
-    dropout: float = 0.7, workers: int | None = None, rounds: int = 1, seed: int = 42,
+    dropout: float = 0.7, workers: int | None = None, rounds: int | None = None, seed: int = 42,
     path: str | None = None, max_bytes: int = BROADCAST_BYTES, key: str | None = None,
 ) -> Fitted:
     """Train on rows (slots, deep, label); keep the parameters of the best validation loss.
 
     Each epoch is ``rounds`` rounds; in each, ``workers`` tasks step through their rows in
     batches, in a new order each epoch, and their parameters are averaged. Without ``workers``
-    there is one for every four batches of a round, up to the cores of the cluster. ``key``
-    names a column that tells rows apart. Without ``validation`` the training loss decides. With
-    ``path`` the best parameters are saved there whenever they improve. A loss that is not a
-    number improves nothing.
+    there is one for every four batches of a round, up to the cores of the cluster; without
+    ``rounds`` a worker takes about ROUND_BATCHES batches in one. ``key`` names a column that
+    tells rows apart. Without ``validation`` the training loss decides. With ``path`` the best
+    parameters are saved there whenever they improve. A loss that is not a number improves
+    nothing.
 
     Embeddings that with their moments exceed ``max_bytes`` are not sent to the workers: they
-    stay a distributed table, and each round is one Adam step over all of its rows.
+    stay a table, and a worker gets the rows that it touches in the round. The steps are the same.
     """
     spark = df.sparkSession
-    if workers is None:
-        full = df.count() // (4 * batch_size * rounds)
-        workers = max(1, min(full, spark.sparkContext.defaultParallelism))
+    if workers is None or rounds is None:
+        n = df.count()
+        if workers is None:
+            full = n // (4 * batch_size * (rounds or 1))
+            workers = max(1, min(full, spark.sparkContext.defaultParallelism))
+        if rounds is None:
+            rounds = max(1, -(-n // (workers * batch_size * ROUND_BATCHES)))
     rows = stage(df, workers, rounds, key)
     if validation is not None:
         validation = freeze(validation.select("slots", "deep", "label"))
         if validation.isEmpty():
             raise ValueError("no validation rows")
     if 3 * embedding_bytes(spec) > max_bytes:
-        log.warning("embeddings exceed %d bytes: they are joined, one step per round", max_bytes)
-        model = _DistributedModel(spark, spec, wide_dim, hidden, seed, max_bytes)
+        log.info("embeddings exceed %d bytes: workers get the rows that they touch", max_bytes)
+        model = _TableModel(spark, spec, wide_dim, hidden, seed, workers, batch_size, rows)
     else:
         model = _BroadcastModel(spec, wide_dim, hidden, seed, workers, batch_size)
     table = lambda p: parameter_table(spark, p) if isinstance(p, dict) else p
-    best, lowest, history = None, float("inf"), []
+    best, lowest, history, losses = None, float("inf"), [], scratch_dir(spark)
     for epoch in range(epochs):
         rate = learning_rate(lr, epoch)
         order = np.random.default_rng([seed, epoch]).permutation(rounds)
         total_loss, total = 0.0, 0
         for r in order.tolist():
-            loss, n = model.round(
-                rows.where(F.col("round") == r), rate, dropout, [seed, epoch, r]
-            )
+            sums, loss, n = model.round(rows.where(F.col("round") == r), rate, dropout, [seed, epoch, r])
+            batch_losses(sums, epoch + 1, r).write.mode("append").parquet(losses)
+            discard(sums)
             total_loss, total = total_loss + loss, total + n
         if not total:
             raise ValueError("no training rows")
@@ -473,7 +506,18 @@ def fit(
                 save_parameters(table(best), path)
     best = table(model.params() if best is None else best)
     told = local_table(spark, history, "epoch int, lr double, train_loss double, val_loss double")
-    return Fitted(best, mark_best(told))
+    return Fitted(best, mark_best(told), spark.read.schema(LOSS_SCHEMA).parquet(losses))
+
+
+def batch_losses(sums: DataFrame, epoch: int, round_: int) -> DataFrame:
+    """(epoch, round, worker, batch, rows, loss) from the sums of a round: one row per batch, with
+    its mean loss."""
+    value = lambda i: F.col("values")[i].cast("double")
+    return sums.where(F.col("tensor").startswith(LOSS)).select(
+        F.lit(epoch).alias("epoch"), F.lit(round_).alias("round"),
+        F.substring("tensor", len(LOSS) + 1, 20).cast("int").alias("worker"), F.col("row").alias("batch"),
+        value(1).cast("bigint").alias("rows"), (value(0) / value(1)).alias("loss"),
+    )
 
 
 class _BroadcastModel:
@@ -481,15 +525,19 @@ class _BroadcastModel:
 
     def __init__(self, spec, wide_dim, hidden, seed, workers, batch_size):
         self.spec, self.workers, self.batch_size = spec, workers, batch_size
-        self.values = init_parameters(spec, wide_dim, hidden, seed)
+        dense = init_parameters(spec, wide_dim, hidden, seed, embeddings=False)
+        self.values = drawn_embeddings(spec, seed) | dense
         self.moments, self.steps = _moments(self.values), 0
 
     def round(self, rows: DataFrame, lr: float, dropout: float, seed: list[int]):
-        self.values, self.moments, self.steps, loss, n = train_round(
-            lay_out(rows, self.workers, seed), self.values, self.moments, self.steps, self.spec,
-            lr, self.batch_size, dropout, seed,
+        sums = freeze(round_sums(
+            lay_out(rows, self.workers, seed), self.values, self.moments, self.steps, self.spec, lr,
+            self.batch_size, dropout, seed, self.workers,
+        ))
+        self.values, self.moments, self.steps, loss, n = _averaged(
+            _without_losses(sums).toArrow(), self.values, self.moments, self.steps
         )
-        return loss, n
+        return sums, loss, n
 
     def keep(self) -> Params:
         return self.values
@@ -498,69 +546,50 @@ class _BroadcastModel:
         return self.values
 
 
-class _DistributedModel:
-    """Dense tensors on the driver; embeddings with moments as a written table."""
+class _TableModel:
+    """Dense tensors on the driver; embeddings with moments as a table in buckets."""
 
-    def __init__(self, spark, spec, wide_dim, hidden, seed, max_bytes):
-        self.spark, self.spec, self.max_bytes = spark, spec, max_bytes
+    def __init__(self, spark, spec, wide_dim, hidden, seed, workers, batch_size, rows):
+        self.spark, self.spec, self.workers, self.batch_size = spark, spec, workers, batch_size
         self.dense = init_parameters(spec, wide_dim, hidden, seed, embeddings=False)
         self.moments, self.steps = _moments(self.dense), 0
-        self.table, self.kept = freeze(init_embeddings(spark, spec, seed)), None
+        self.table, self.kept = EmbeddingTable.drawn(spark, spec, seed), None
+        # as many rows as there are workers and rounds
+        sizes = rows.groupBy("round", "worker").count().collect()
+        self.sizes = {}
+        for r in sizes:
+            self.sizes.setdefault(r["round"], []).append(r["count"])
 
     def round(self, rows: DataFrame, lr: float, dropout: float, seed: list[int]):
-        sums = freeze(
-            distributed_gradient(
-                rows, self.dense, self.table, self.spec, dropout, seed, self.max_bytes
-            )
+        weights: dict[int, float] = {}
+        for n in self.sizes.get(seed[-1], []):
+            k = -(-n // self.batch_size)
+            weights[k] = weights.get(k, 0.0) + n
+        sums = freeze(table_round_sums(
+            rows, self.table, self.dense, self.moments, self.steps, self.spec, lr, self.batch_size,
+            dropout, seed, self.workers, sorted(weights),
+        ))
+        if not weights:
+            return sums, 0.0, 0
+        is_embedding, before, steps = F.col("tensor").startswith("emb:"), self.table, self.steps
+        self.dense, self.moments, self.steps, loss, n = _averaged(
+            _without_losses(sums.where(~is_embedding)).toArrow(), self.dense, self.moments, steps
         )
-        is_embedding = F.col("tensor").startswith("emb:")
-        found = collect_parameters(sums.where(~is_embedding))
-        if not found:
-            return 0.0, 0
-        loss, n = map(float, found.pop(TOTAL)[0])
-        adam = Adam(self.dense, self.moments, self.steps, lr)
-        adam.step(Gradient(found, {}, loss, n))
-        self.steps, before = adam.steps, self.table
-        self.table = freeze(adam_table(before, sums.where(is_embedding), n, lr, self.steps))
-        discard(sums)
+        self.table = before.moved(sums.where(is_embedding), steps, lr, weights)
         if before is not self.kept:
-            discard(before)
-        return loss, int(n)
+            before.drop()
+        return sums, loss, n
 
     def keep(self) -> DataFrame:
         """The parameters, which stay readable until the next call."""
         if self.kept is not None and self.kept is not self.table:
-            discard(self.kept)
+            self.kept.drop()
         self.kept = self.table
         return self.params()
 
     def params(self) -> DataFrame:
         dense = parameter_table(self.spark, self.dense)
-        return self.table.select("tensor", "row", "values").unionByName(dense)
-
-
-def init_embeddings(spark, spec: Sequence[Deep], seed: int = 42) -> DataFrame:
-    """(tensor, row, values, m, v): normal embeddings and zero moments, made where they lie."""
-
-    def uniform(tensor: str, k: int, j) -> Column:
-        bits = F.xxhash64(F.lit(seed), F.lit(tensor), F.lit(k), F.col("id"), j)
-        return (F.pmod(bits, F.lit(1 << 53)) + 1).cast("double") / F.lit(float((1 << 53) + 1))
-
-    tables = []
-    for d in spec:
-        t = embedding(d.name)
-        normal = lambda j, t=t: F.sqrt(-2 * F.log(uniform(t, 0, j))) * F.cos(
-            2 * np.pi * uniform(t, 1, j)
-        )
-        zeros = F.array_repeat(F.lit(0.0).cast("float"), d.dim)
-        values = F.transform(F.sequence(F.lit(0), F.lit(d.dim - 1)), normal)
-        tables.append(
-            spark.range(d.vocab).select(
-                F.lit(t).alias("tensor"), F.col("id").cast("int").alias("row"),
-                values.cast("array<float>").alias("values"), zeros.alias("m"), zeros.alias("v"),
-            )
-        )
-    return reduce(DataFrame.unionByName, tables)
+        return self.table.rows.select("tensor", "row", "values").unionByName(dense)
 
 
 def distributed_gradient(
@@ -604,44 +633,20 @@ def distributed_gradient(
                 hot[t][index[frequent]] += values[frequent]
                 touched[t][index[frequent]] = True
                 if not frequent.all():
-                    yield _part(t, index[~frequent], 0, values[~frequent])
+                    yield part(t, index[~frequent], 0, values[~frequent])
             n, loss = n + len(label), loss + batch_loss
         if n:
             for t, v in sums.items():
-                yield _part(t, np.arange(len(v)), 0, v)
+                yield part(t, np.arange(len(v)), 0, v)
             for t, v in hot.items():
                 index = np.flatnonzero(touched[t])
-                yield _part(t, index, 0, v[index])
-            yield _part(TOTAL, np.array([0]), 0, np.array([[loss, n]]))
+                yield part(t, index, 0, v[index])
+            yield part(TOTAL, np.array([0]), 0, np.array([[loss, n]]))
 
     parts = embedded.mapInArrow(run, PART_SCHEMA)
-    return sum_parts(parts).select("tensor", "row", "values")
-
-
-def adam_table(table: DataFrame, sums: DataFrame, n: float, lr: float, steps: int) -> DataFrame:
-    """One Adam step on (tensor, row, values, m, v), given summed gradients of ``n`` rows."""
-    rate = lr / (1 - BETA1**steps)
-    root = (1 - BETA2**steps) ** 0.5
-    joined = table.join(
-        sums.select("tensor", "row", F.col("values").alias("g")), ["tensor", "row"], "left"
-    ).withColumn("g", F.coalesce("g", F.transform("values", lambda x: F.lit(0.0).cast("float"))))
-    moved = joined.select(
-        "tensor", "row", "values",
-        F.zip_with("m", "g", lambda m, g: BETA1 * m + (1 - BETA1) * g / n).alias("m"),
-        F.zip_with("v", "g", lambda v, g: BETA2 * v + (1 - BETA2) * (g / n) * (g / n)).alias("v"),
-    )
-    change = F.zip_with("m", "v", lambda m, v: rate * m / (F.sqrt(v) / root + EPSILON))
-    return moved.select(
-        "tensor", "row",
-        *[
-            c.cast("array<float>").alias(name)
-            for name, c in (
-                ("values", F.zip_with("values", change, lambda x, c: x - c)),
-                ("m", F.col("m")),
-                ("v", F.col("v")),
-            )
-        ],
-    )
+    # the lookup shuffles rows, so its tasks are not those of the scan
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return sum_parts(parts, tasks).select("tensor", "row", "values")
 
 
 def gbt_baseline(

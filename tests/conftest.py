@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "4g")
         .config("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}")
+        .config("spark.sql.warehouse.dir", f"file://{tmp_path_factory.mktemp('warehouse')}")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")

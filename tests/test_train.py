@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from clickloom.operators import evaluate as ev
 from clickloom.operators import network as nw
+from clickloom.operators import parts as parts_of
 from clickloom.operators import train as tr
+from clickloom.operators.embedding_table import EmbeddingTable, coasted, drawn_embeddings, init_embeddings
 from clickloom.operators.encode import Deep
 from clickloom.session import scratch_dir
 from clickloom.sources.features_io import load_parameters
@@ -52,23 +54,116 @@ def test_one_worker_is_sequential_adam(spark):
         assert np.allclose(p[k], want[k], atol=2e-4), k
 
 
-def test_distributed_step_is_an_adam_step(spark):
-    rows, df = make_rows(spark, 90)
-    model = tr._DistributedModel(spark, SPEC, WIDE, HIDDEN, 5, 10)
-    start = nw.collect_parameters(model.params())
-    for _ in range(2):
-        loss, n = model.round(df, 0.01, 0.0, [1])
-    assert n == 90
-    got, want = nw.collect_parameters(model.params()), dense_adam(start, [rows, rows], 0.01)
+@pytest.mark.parametrize("workers,rounds,dropout,batch_size", [(1, 1, 0.0, 64), (3, 2, 0.3, 32), (4, 1, 0.5, 50)])
+def test_same_parameters_on_both_sides_of_the_bound(spark, workers, rounds, dropout, batch_size):
+    """Embeddings sent to the workers or kept as a table: the same steps, losses and parameters."""
+    df = tr.freeze(planted(spark, 700))
+    run = lambda max_bytes: tr.fit(
+        df, SPEC, WIDE, hidden=HIDDEN, epochs=2, batch_size=batch_size, lr=0.02, dropout=dropout,
+        workers=workers, rounds=rounds, max_bytes=max_bytes, key="id",
+    )
+    sent, kept = run(1 << 28), run(10)
+    a, b = nw.collect_parameters(sent.params), nw.collect_parameters(kept.params)
+    assert a.keys() == b.keys()
+    for k in a:
+        assert np.allclose(a[k], b[k], atol=1e-5), k
+    for x, y in zip(sent.history.orderBy("epoch").collect(), kept.history.orderBy("epoch").collect()):
+        assert x.train_loss == pytest.approx(y.train_loss, abs=1e-6)
+    by = ["epoch", "round", "worker", "batch"]
+    x, y = (f.losses.orderBy(*by).toPandas() for f in (sent, kept))
+    assert x[by + ["rows"]].equals(y[by + ["rows"]]) and np.allclose(x.loss, y.loss, atol=1e-5)
+
+
+def test_history_is_the_mean_of_the_batches(spark):
+    df = tr.freeze(planted(spark, 500))
+    fitted = tr.fit(df, SPEC, WIDE, hidden=HIDDEN, epochs=2, batch_size=32, workers=2, rounds=2, key="id")
+    running = ev.running_loss(
+        fitted.losses.select("epoch", F.lit("train").alias("split"), F.struct("round", "worker", "batch").alias("batch"), "rows", "loss")
+    )
+    last = {r.epoch: r.running_loss for r in running.orderBy("batch").collect()}
+    rows = fitted.losses.groupBy("epoch").agg(F.sum("rows").alias("n"), F.max("rows").alias("most")).collect()
+    assert [(r.n, r.most) for r in rows] == [(500, 32)] * 2
+    for r in fitted.history.collect():
+        assert r.train_loss == pytest.approx(last[r.epoch], abs=1e-6)
+
+
+def test_rows_that_nobody_meets_go_on_by_their_moments(spark):
+    """Three rounds that meet different rows, next to plain Adam over everything."""
+    rows, _ = make_rows(spark, 90)
+    df = spark.createDataFrame(rows, "id bigint, slots array<int>, deep array<int>, label double")
+    staged = df.select(
+        "slots", "deep", F.col("label").cast("float").alias("label"), F.col("id").alias("turn"),
+        F.floor(F.col("deep")[0] / 3).cast("int").alias("round"), F.lit(0).alias("worker"),
+    )
+    model = tr._TableModel(spark, SPEC, WIDE, HIDDEN, 5, 1, 1000, staged)
+    start, batches = nw.collect_parameters(model.params()), []
+    for r in (0, 1, 2, 0):
+        _, loss, n = model.round(staged.where(F.col("round") == r), 0.01, 0.0, [1, 0, r])
+        batches.append([x for x in rows if x[2][0] // 3 == r])
+        assert n == len(batches[-1])
+    got, want = nw.collect_parameters(model.params()), dense_adam(start, batches, 0.01)
     for k in want:
         assert np.allclose(got[k], want[k], atol=2e-4), k
 
 
+def test_the_table_is_not_shuffled(spark):
+    table = EmbeddingTable.drawn(spark, [Deep("a", 5000, 4), Deep("b", 30, 2)], seed=1)
+    keys = spark.range(400).selectExpr("cast(id % 3 as int) as worker", "concat('emb:', if(id < 390, 'a', 'b')) as tensor", "cast(id % 390 as int) as row")
+    joined = table.touched(keys)
+    assert joined.count() == 400
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    sums = spark.createDataFrame([("emb:a", 7, [1.0] * 12 + [4.0])], "tensor string, row int, values array<float>")
+    after = table.moved(sums, 0, 0.1, {1: 4.0})
+    assert after.rows.count() == 5030
+    a, b = nw.collect_parameters(table.rows.select("tensor", "row", "values")), nw.collect_parameters(after.rows.select("tensor", "row", "values"))
+    assert np.allclose(b["emb:a"][7], a["emb:a"][7] + 0.25)
+    assert np.array_equal(np.delete(a["emb:a"], 7, 0), np.delete(b["emb:a"], 7, 0))
+    assert np.array_equal(a["emb:b"], b["emb:b"])
+
+
+def test_moments_alone_move_like_plain_adam():
+    rng = np.random.default_rng(2)
+    p, m = rng.normal(size=(5, 3)), rng.normal(size=(5, 3))
+    v = m * m
+    q, found = p.copy(), coasted(p, m, v, 4, 0.1, [2, 5])
+    mm, vv = m.copy(), v.copy()
+    for t in range(5, 10):
+        mm, vv = 0.9 * mm, 0.999 * vv
+        q -= 0.1 * (mm / (1 - 0.9**t)) / (np.sqrt(vv / (1 - 0.999**t)) + 1e-8)
+        if t in (6, 9):
+            got = found[(t - 5) // 3]
+            assert all(np.allclose(a, b) for a, b in zip(got, (q - p, mm - m, vv - v)))
+
+
+@pytest.mark.parametrize("tasks", [1, 17, 40])
+def test_sums_are_a_tree(spark, tasks):
+    """No group reads more parts than about the square root of the tasks, and sums are the same."""
+    def send(batches):
+        for batch in batches:
+            for i in batch.column("id").to_pylist():
+                yield parts_of.part("t", np.arange(3), 2, np.full((3, 2), float(i)))
+                yield parts_of.part("e", np.array([i % 5]), 1, np.ones((1, 4)))
+
+    sent = spark.range(0, tasks, 1, tasks).mapInArrow(send, parts_of.PART_SCHEMA)
+    assert parts_of.task_number(spark.range(0, tasks, 1, tasks)) == tasks
+    found = {(r.tensor, r.row): (r.n, r["values"]) for r in parts_of.sum_parts(sent, tasks).collect()}
+    total = float(sum(range(tasks)))
+    assert all(found["t", k] == (2.0 * tasks, [total, total]) for k in range(3))
+    assert sum(found["e", k][0] for k in range(5) if ("e", k) in found) == tasks
+    lane = F.pmod(F.spark_partition_id(), F.lit(parts_of.lanes(tasks)))
+    most = sent.where("tensor = 't' and row = 0").groupBy(lane.alias("lane")).count().agg(F.max("count")).first()[0]
+    bound = max(parts_of.FEW_TASKS, math.ceil(math.sqrt(tasks)))
+    assert most <= bound and parts_of.lanes(tasks) <= bound
+
+
 def test_made_embeddings_look_normal(spark):
-    table = tr.init_embeddings(spark, [Deep("a", 500, 40), Deep("b", 30, 4)], seed=1)
-    found = nw.collect_parameters(table.select("tensor", "row", "values"))
+    spec = [Deep("a", 5000, 40), Deep("b", 30, 4)]
+    found = nw.collect_parameters(init_embeddings(spark, spec, seed=1).select("tensor", "row", "values"))
+    drawn = drawn_embeddings(spec, 1)
+    assert found.keys() == drawn.keys() and all(np.array_equal(found[k], drawn[k]) for k in found)
     a = found["emb:a"]
-    assert a.shape == (500, 40) and found["emb:b"].shape == (30, 4)
+    assert a.shape == (5000, 40) and found["emb:b"].shape == (30, 4)
     assert abs(a.mean()) < 0.03 and abs(a.std() - 1) < 0.03
     assert abs(np.corrcoef(a[:, 0], a[:, 1])[0, 1]) < 0.2
 
@@ -192,20 +287,21 @@ def test_losses_that_are_no_numbers_are_never_best(spark):
 @pytest.mark.parametrize("width", [1, 7, 256, 1 << 20])
 def test_neighbouring_rows_fall_to_different_blocks(width):
     index = np.arange(1000, 3000)
-    block, inside = tr._place(index, width)
-    assert len(set(block)) >= tr.STRIDE and max(np.bincount(block)) <= tr._block_rows(width) + 1
-    assert inside.max() < tr._block_rows(width)
-    assert all(tr._rows_of(int(b), i, width) == row for b, i, row in zip(block[:300], inside, index))
+    block, inside = parts_of.place(index, width)
+    assert len(set(block)) >= parts_of.STRIDE and max(np.bincount(block)) <= parts_of.block_rows(width) + 1
+    assert inside.max() < parts_of.block_rows(width)
+    assert all(parts_of.rows_of(int(b), i, width) == row for b, i, row in zip(block[:300], inside, index))
 
 
 def test_superseded_tables_are_deleted(spark):
-    _, df = make_rows(spark, 60)
-    model = tr._DistributedModel(spark, SPEC, WIDE, HIDDEN, 5, 10)
+    rows = tr.stage(planted(spark, 60), 2, 1, key="id")
+    model = tr._TableModel(spark, SPEC, WIDE, HIDDEN, 5, 2, 16, rows)
     first = model.table
-    model.round(df, 0.01, 0.0, [1])
+    model.round(rows, 0.01, 0.0, [1, 0, 0])
     best = model.keep()
-    for k in (2, 3):
-        model.round(df, 0.01, 0.0, [k])
+    for k in (1, 2):
+        model.round(rows, 0.01, 0.0, [1, k, 0])
     assert best.count() == model.params().count()
     with pytest.raises(Exception, match="exist"):
-        spark.read.parquet(first.frozen_path)
+        spark.read.parquet(first.path)
+    assert not spark.catalog.tableExists(first.name)
