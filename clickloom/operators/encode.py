@@ -10,7 +10,9 @@ from operator import and_
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import (
+    CountVectorizerModel, OneHotEncoder, StringIndexerModel, VectorAssembler,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -311,10 +313,16 @@ def fit_encoding(
     )
 
 
-def slot_array(slots: str, width: int) -> Column:
-    """The 0/1 vector as an array, from the numbers of its ones."""
-    numbers = F.sequence(F.lit(0), F.lit(width - 1))
-    return F.transform(numbers, lambda i: F.array_contains(col(slots), i).cast("double"))
+def slot_vector(
+    df: DataFrame, width: int, slots: str = "slots", name: str = "wide_features_v"
+) -> DataFrame:
+    """Add the sparse 0/1 vector of ``width`` from the numbers of its ones.
+
+    The numbers are terms of a vocabulary that holds all of them, so the vector is made by the
+    JVM and costs its ones, not its width."""
+    terms = CountVectorizerModel.from_vocabulary([str(i) for i in range(width)], "__terms", name)
+    named = df.withColumn("__terms", col(slots).cast("array<string>"))
+    return terms.setBinary(True).transform(named).drop("__terms")
 
 
 def vector_array(df: DataFrame, vector: str = "wide_features_v", name: str = "wide_features",
@@ -337,14 +345,13 @@ def training_row(df: DataFrame, width: int, label: str, deep: Sequence[str]) ->
     return df.select(*wide_slots(width), col(label), *[col(d) for d in deep])
 
 
-def dense_rows(df: DataFrame, width: int, spec: Sequence[Deep]) -> DataFrame:
-    """The same order from ``slots``, ``deep`` and ``label``."""
-    return df.select(
-        *[
-            F.array_contains("slots", i).cast("double").alias(f"wide_feature_{i}")
-            for i in range(width)
-        ],
-        "label",
+def dense_rows(
+    df: DataFrame, width: int, spec: Sequence[Deep], keep: Sequence[str] = ()
+) -> DataFrame:
+    """The same order from ``slots``, ``deep`` and ``label``, after the columns of ``keep``."""
+    table = vector_array(slot_vector(df, width, name="__vector"), "__vector", "__wide")
+    return table.select(
+        *[col(c) for c in keep], *wide_slots(width, "__wide"), "label",
         *[F.col("deep")[i].cast("double").alias(d.feature) for i, d in enumerate(spec)],
     )
 

@@ -36,8 +36,12 @@ CANDIDATES = [
         )
     ],
 ]
-DEEP = [("device_model", 4), ("app_id", 4), ("site_id", 4), ("site_domain", 4), ("app_domain", 2)]
-HIDDEN = [4, 3, 2]
+# Deep columns with their widths, units of the layers.
+DEEP = [
+    ("device_model", 256), ("app_id", 256), ("site_id", 256), ("site_domain", 256), ("app_domain", 128),
+]
+HIDDEN = [512, 256, 128]
+INPUTS = sum(d for _, d in DEEP)
 
 # Impressions with hour and crosses.
 EN = (
@@ -93,38 +97,103 @@ deep_text AS (SELECT id, string_agg(idx, ',' ORDER BY pos) AS deep FROM deep GRO
 )
 
 
+# The network by formula consists of two equal halves, so one of them is enough. A unit reads four
+# inputs; those of the first layer are numbered over the first halves of all embeddings.
+def read(o: str, j: int, inputs: int) -> str:
+    return f"(({o} * 5 + {j * 37}) % {inputs // 2})"
+
+
+def weight(o: str, j: int, k: int) -> str:
+    return f"(((({o} * 3 + {j * 5 + k}) % 5) - 2) / 2e0)"
+
+
 def layer(k: int, inputs: int, source: str) -> str:
-    dot = (
-        f"list_sum(list_transform(range(0, {inputs}), "
-        f"lambda i: x[i + 1] * (((o * 5 + i * 3 + {k}) % 7) - 3) / 8e0))"
-    )
+    place = lambda q: f"({q} // 128 * 256 + {q} % 128)" if k == 1 else q
+    dot = " + ".join(f"x[{place(read('o', j, inputs))} + 1] * {weight('o', j, k)}" for j in range(4))
     return (
-        f"h{k} AS (SELECT id, list_transform(range(0, {HIDDEN[k - 1]}), "
-        f"lambda o: greatest({dot} + (((o + {k}) % 3) - 1) / 8e0, 0e0)) AS x FROM {source})"
+        f"h{k} AS MATERIALIZED (SELECT id, list_transform(range(0, {HIDDEN[k - 1] // 2}), "
+        f"lambda o: greatest({dot} + (((o + {k}) % 3) - 1) / 2e0, 0e0)) AS x FROM {source})"
     )
 
 
-# Scores of the network with weights in eighths by formula.
-NET = (
+LAYERS = (
     LONG
     + """,
-x0 AS (SELECT id, list(e ORDER BY pos, j) AS x FROM (
-         SELECT id, pos, j, (((idx * 7 + j * 3 + pos) % 9) - 4) / 8e0 AS e
-         FROM deep, (SELECT unnest(range(0, 4)) AS j) WHERE j < dim) GROUP BY id),
+e0 AS (SELECT pos, idx, list_transform(range(0, dim), lambda j: (((idx * 7 + j % (dim // 2) * 3 + pos) % 5) - 2) / 2e0) AS e
+       FROM (SELECT DISTINCT pos, idx, dim FROM deep)),
+x0 AS MATERIALIZED (SELECT id, flatten(list(e ORDER BY pos)) AS x FROM deep JOIN e0 USING (pos, idx) GROUP BY id),
 """
-    + layer(1, sum(d for _, d in DEEP), "x0") + ",\n"
-    + layer(2, HIDDEN[0], "h1") + ",\n"
-    + layer(3, HIDDEN[1], "h2")
-    + """,
+    + ",\n".join([layer(1, INPUTS, "x0"), layer(2, HIDDEN[0], "h1"), layer(3, HIDDEN[1], "h2")])
+)
+TOP = HIDDEN[2] // 2
+
+# Scores of the network by formula.
+NET = (
+    LAYERS
+    + f""",
 wide AS (SELECT id, sum((((slot * 5) % 9) - 4) / 8e0) AS w FROM slots GROUP BY id),
-logits AS (SELECT h3.id, coalesce(wide.w, 0e0) + """
-    + " + ".join(f"h3.x[{i + 1}] * ((((width.w + {i}) * 5) % 9) - 4) / 8e0" for i in range(HIDDEN[-1]))
-    + """ + 0.125e0 AS logit
-  FROM h3 LEFT JOIN wide USING (id), width),
+logits AS (SELECT h3.id, coalesce(wide.w, 0e0) + list_sum(list_transform(h3.x, lambda v, i:
+      v * (((((i - 1) * 5) % 9) - 4) + ((((i - 1 + {TOP}) * 5) % 9) - 4)) / 64e0)) + 0.125e0 AS logit
+  FROM h3 LEFT JOIN wide USING (id)),
 scored AS (SELECT id, label, CAST(logit AS DOUBLE) AS logit, 1e0 / (1e0 + exp(-logit)) AS probability
            FROM logits JOIN lab USING (id))"""
 )
 
+
+def gradient_sql() -> str:
+    """Gradients of the network whose logits are all 0, each row of a tensor as one weighted sum.
+
+    The halves get opposite gradients, so the first one is enough; values of both halves are equal.
+    """
+    times = lambda c: f"({c} % 5 + 1)"
+    both = lambda half: f"list_sum(list_transform(x, lambda v, i: v * ({times('(i - 1)')} + {times(f'(i - 1 + {half})')})))"
+    halves = [INPUTS // 2, *(h // 2 for h in HIDDEN)]
+    ctes = [
+        "d AS (SELECT id, 0.5e0 - label AS d FROM lab)",
+        f"g3 AS (SELECT id, o, d * ((o % 3) - 1) / 2e0 AS g FROM h3 JOIN d USING (id), (SELECT unnest(range(0, {TOP})) AS o) WHERE x[o + 1] > 0)",
+    ]
+    for k in (3, 2, 1):
+        inputs = INPUTS if k == 1 else HIDDEN[k - 2]
+        edges = " UNION ALL ".join(
+            f"SELECT o, {read('o', j, inputs)} AS i, {weight('o', j, k)} AS w FROM (SELECT unnest(range(0, {HIDDEN[k - 1] // 2})) AS o)"
+            for j in range(4)
+        )
+        ctes.append(f"edges{k} AS ({edges})")
+        mask = "" if k == 1 else f" JOIN h{k - 1} USING (id) WHERE x[i + 1] > 0"
+        ctes.append(
+            f"g{k - 1} AS MATERIALIZED (SELECT id, i AS o, g FROM (SELECT id, i, sum(g * w) AS g FROM g{k} JOIN edges{k} USING (o) GROUP BY id, i){mask})"
+        )
+    sums = ["s0 AS (SELECT id, list_sum(list_transform(x, lambda v, i: v * (%s))) AS s FROM x0)" % times("(i - 1)")]
+    sums += [f"s{k} AS (SELECT id, {both(halves[k])} AS s FROM h{k})" for k in (1, 2, 3)]
+    rows = []
+    for k in (1, 2, 3):
+        inputs = INPUTS if k == 1 else HIDDEN[k - 2]
+        rows.append(f"""SELECT 'dense_{k}.weight' AS tensor, o AS row, {inputs} AS width, sum(g * s) AS weighted
+  FROM g{k} JOIN s{k - 1} USING (id) GROUP BY o""")
+        rows.append(f"""SELECT 'dense_{k}.weight', o + {HIDDEN[k - 1] // 2}, {inputs}, -sum(g * s) FROM g{k} JOIN s{k - 1} USING (id) GROUP BY o""")
+        rows.append(f"""SELECT 'dense_{k}.bias', 0, {HIDDEN[k - 1]}, sum(g * ({times('o')} - {times(f'(o + {HIDDEN[k - 1] // 2})')})) FROM g{k}""")
+    # output: wide slots, then the top units of both halves, which follow the wide ones
+    rows.append(f"""SELECT 'out.weight', 0, w::INT + {HIDDEN[2]},
+  (SELECT coalesce(sum(d * {times('slot')}), 0) FROM slots JOIN d USING (id))
+  + (SELECT sum(d * list_sum(list_transform(x, lambda v, i: v * ({times('(w::INT + i - 1)')} + {times(f'(w::INT + i - 1 + {TOP})')})))) FROM h3 JOIN d USING (id), width)
+  FROM width""")
+    rows.append("SELECT 'out.bias', 0, 1, sum(d) FROM d")
+    # embeddings: the first half of a tensor's columns stands at 128 * pos among all first halves
+    rows.append(f"""SELECT 'emb:' || name, idx, dim, sum(g * ({times('(o - 128 * pos)')} - {times('(o - 128 * pos + dim // 2)')}))
+  FROM g0 JOIN deep USING (id) WHERE o // 128 = pos GROUP BY name, idx, dim""")
+    every = " UNION ALL ".join(
+        [f"SELECT 'dense_{k}.weight' AS tensor, unnest(range(0, {h})) AS row, {i} AS width" for k, h, i in zip((1, 2, 3), HIDDEN, [INPUTS, *HIDDEN])]
+        + [f"SELECT 'dense_{k}.bias', 0, {h}" for k, h in zip((1, 2, 3), HIDDEN)]
+        + [f"SELECT 'out.weight', 0, w::INT + {HIDDEN[2]} FROM width", "SELECT 'out.bias', 0, 1",
+           "SELECT DISTINCT 'emb:' || name, idx, dim FROM deep"]
+    )
+    return f"""WITH {LAYERS}, {', '.join([*ctes, *sums])},
+found AS ({' UNION ALL '.join(rows)}),
+every AS ({every})
+SELECT tensor, CAST(row AS INT) AS row, CAST(e.width AS INT) AS width, CAST(coalesce(weighted, 0) AS DOUBLE) + 0e0 AS weighted
+FROM every e LEFT JOIN found USING (tensor, row)"""
+
+
 LOSS = "greatest({x}, 0e0) - {x} * {y} + ln(1e0 + exp(-abs({x})))"
 FORMULA = "(((id * 37 + banner_pos * 11) % 101) - 50) / 10e0"
 BUCKET = "(CAST('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 8) AS BIGINT) % 100)"
@@ -137,30 +206,18 @@ p AS (SELECT *, CAST(ceil(total / 3e0) AS BIGINT) AS share FROM r),
 s AS (SELECT *, CAST(row_index // share AS INT) AS worker, row_index % share AS worker_row FROM p),
 b AS (SELECT *, worker_row // 128 AS batch FROM s)"""
 
-FEW_WIDE = [("site_category", 5), ("banner_pos", 7), ("device_type", 5), ("device_conn_type", 4)]
-FEW_DEEP = [("site_domain", 60, 8), ("app_domain", 25, 4)]
-FEW = LONG + """,
-few AS (SELECT id, """ + ", ".join(
-    f'max(idx) FILTER (name = \'{n}\') AS "{n}"'
-    for n in [*(n for n, _ in FEW_WIDE), *(n for n, _, _ in FEW_DEEP), "click"]
-) + " FROM l JOIN vocab USING (name, value) GROUP BY id)"
-
-
-def few_slots(type_: str = "DOUBLE") -> list[str]:
-    slots = [(n, k) for n, size in FEW_WIDE for k in range(size - 1)]
-    return [
-        f"CAST({n} = {k} AS INT)::{type_} AS wide_feature_{i}" for i, (n, k) in enumerate(slots)
-    ]
-
-
-def few_rest(type_: str = "DOUBLE") -> list[str]:
-    return [
-        f"CAST(click AS {type_}) AS label",
-        *[f'CAST({n} AS {type_}) AS "{n}SEP{v}SEP{d}"' for n, v, d in FEW_DEEP],
-    ]
-
-
-FEW_ROW = f"WITH {FEW} SELECT {', '.join(few_slots() + few_rest())} FROM few"
+# Feature files: names of all columns, and the values of a row as one text.
+DENSE = LONG + """,
+lists AS (SELECT im.id, label, coalesce(list(slot) FILTER (slot IS NOT NULL), []) AS slots
+          FROM im JOIN lab USING (id) LEFT JOIN slots USING (id) GROUP BY im.id, label),
+dense AS (SELECT id, array_to_string(list_transform(range(0, CAST(w AS BIGINT)), lambda i: CAST(list_contains(slots, i) AS INT)), ',') AS wide,
+                 CAST(label AS INT) AS label, deep FROM lists JOIN deep_text USING (id), width),
+heads AS (SELECT array_to_string(list_transform(range(0, CAST(w AS BIGINT)), lambda i: 'wide_feature_' || i), ',') AS wide_names,
+                 (SELECT string_agg(concat_ws('SEP', name, ndv, dim), ',' ORDER BY d.pos) FROM dims d JOIN prof USING (name)) AS deep_names
+          FROM width)"""
+FEATURES = f"""WITH {DENSE} SELECT {{keep}}wide_names || ',label,' || deep_names AS names, '{{type}}' AS types,
+    wide || ',' || label || ',' || deep AS line FROM dense, heads"""
+FEATURE_ROW = FEATURES.format(keep="", type="double")
 SCORES = f"WITH {NET} SELECT id, label, logit, round(probability, 10) AS probability FROM scored"
 NUMBERS = "CAST(id AS DOUBLE) AS id, CAST(click AS DOUBLE) AS click, CAST(hour AS DOUBLE) AS hour"
 
@@ -171,7 +228,7 @@ d AS (SELECT hour // 100 AS epoch, round(avg({LOSS.format(x=FORMULA, y="click")}
 ORACLE: dict[str, str] = {
     "scan_csv_header": f"""WITH {IM} SELECT * REPLACE (CAST(id AS INT) AS id,
         CAST(site_id AS INT) AS site_id, CAST(device_model AS INT) AS device_model) FROM im""",
-    "scan_csv_positional": FEW_ROW,
+    "scan_csv_positional": FEATURE_ROW,
     "scan_csv_glob": f"WITH {IM} SELECT {SPLIT} AS split, {NUMBERS}, true AS is_csv FROM im",
     "sink_csv_overwrite": f"WITH {IM} SELECT {NUMBERS} FROM im",
     "model_roundtrip": SCORES,
@@ -184,16 +241,11 @@ ORACLE: dict[str, str] = {
         count(value) AS filled FROM cols JOIN l USING (name) GROUP BY pos, name, type""",
     "select_by_cardinality": f"""WITH {LONG} SELECT CAST(rank AS INT) AS rank, CAST(pos AS INT) AS pos,
         name, type, ndv, false AS has_null FROM sel""",
-    "wide_columns": f"WITH {FEW} SELECT id, {', '.join(few_slots())} FROM few",
-    "training_row": FEW_ROW,
-    "rename_positional": FEW_ROW,
-    "cast_float_features": f"""WITH {FEW} SELECT id, {', '.join(few_slots('FLOAT') + few_rest('FLOAT'))}
-        FROM few""",
-    "group_feature_arrays": f"""WITH {FEW},
-w AS (SELECT id, {', '.join(few_slots('INT'))} FROM few)
-SELECT id, concat_ws(',', {', '.join(f'wide_feature_{i}' for i in range(17))}) AS wide,
-       concat_ws(',', site_domain, app_domain) AS deep, CAST(click AS DOUBLE) AS label
-FROM few JOIN w USING (id)""",
+    "wide_columns": f"WITH {DENSE} SELECT id, wide_names AS names, 'double' AS types, wide AS line FROM dense, heads",
+    "training_row": FEATURE_ROW,
+    "rename_positional": FEATURE_ROW,
+    "cast_float_features": FEATURES.format(keep="id, ", type="float"),
+    "group_feature_arrays": f"WITH {DENSE} SELECT id, wide, deep, CAST(label AS DOUBLE) AS label FROM dense",
     "sigmoid_probability": f"""WITH {IM}, f AS (SELECT id, {FORMULA} AS logit FROM im)
 SELECT id, logit, round(1e0 / (1e0 + exp(-logit)), 10) AS probability FROM f""",
     "cardinality_profile": f"""WITH {LONG} SELECT CAST(pos AS INT) AS pos, name, type, ndv,
@@ -249,10 +301,10 @@ FROM g, (SELECT unnest(range(1, 4)) AS epoch)""",
         CAST(sum(id) AS BIGINT) AS ids FROM im""",
     "shard_rows": f"WITH {IM}{SHARDS} SELECT id, row_index, worker, worker_row FROM b",
     "batch_rows": f"WITH {IM}{SHARDS} SELECT id, worker, batch FROM b",
-    "embedding_lookup": f"""WITH {NET} SELECT id,
-        array_to_string(list_transform(x, lambda v: CAST(v * 8 AS INT)), ',') AS eighths FROM x0""",
-    "deep_tower": f"""WITH {NET} SELECT id, {', '.join(f'x[{i + 1}] AS unit_{i}' for i in range(HIDDEN[-1]))}
-        FROM h3""",
+    "embedding_lookup": f"""WITH {LAYERS} SELECT id,
+        array_to_string(list_transform(x, lambda v: CAST(v * 2 AS INT)), ',') AS halves FROM x0""",
+    "deep_tower": f"""WITH {LAYERS} SELECT id, array_to_string(list_transform(list_concat(x, x),
+        lambda v: CAST(v * 16 AS INT)), ',') AS sixteenths FROM h3""",
     "wide_deep_logit": f"WITH {NET} SELECT id, logit FROM scored",
     "score_table": SCORES,
     "log_loss": f"WITH {IM} SELECT round(avg({LOSS.format(x=FORMULA, y='click')}), 9) AS log_loss FROM im",
@@ -261,8 +313,7 @@ g AS (SELECT score, sum(click) AS pos, count(*) - sum(click) AS neg FROM f GROUP
 o AS (SELECT pos, neg, sum(neg) OVER (ORDER BY score) - neg AS below FROM g)
 SELECT round(CAST(sum(pos * (below + neg / 2e0)) AS DOUBLE) / CAST(sum(pos) * sum(neg) AS DOUBLE), 9)
        AS roc_auc FROM o""",
-    "batch_gradient": f"""WITH {LONG} SELECT slot, sum(0.5e0 - label) AS gradient
-        FROM slots JOIN lab USING (id) GROUP BY slot""",
+    "batch_gradient": gradient_sql(),
     "validate": f"""WITH {NET} SELECT round(avg({LOSS.format(x='logit', y='label')}), 9) AS log_loss
         FROM scored WHERE {BUCKET} >= 70""",
     "lr_schedule": f"""WITH {IM}, d AS (SELECT hour // 100 AS day, count(*) AS rows FROM im GROUP BY 1),

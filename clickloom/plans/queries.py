@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-import numpy as np
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,20 +18,14 @@ from clickloom.operators import profile as pf
 from clickloom.operators import split as sp
 from clickloom.operators import train as tr
 from clickloom.operators.ordering import with_row_index
-from clickloom.plans.feature_job import Features, featurize
+from clickloom.plans.feature_job import DEEP_DIMS, Features, featurize
+from clickloom.plans.formula_network import CYCLE, formula_parameters, formula_table
 from clickloom.plans.impression_view import enriched, impressions
 from clickloom.session import col, freeze, scratch_dir
 from clickloom.sources import features_io as io
 from clickloom.sources import impressions as src
+from clickloom.sources import model_io
 
-# Embedding widths and layers of the queries whose arithmetic SQL repeats.
-SMALL_DIMS = (
-    ("device_model", 4), ("app_id", 4), ("site_id", 4), ("site_domain", 4), ("app_domain", 2),
-)
-SMALL_HIDDEN = (4, 3, 2)
-# Columns of few values, for the queries with one output column per slot.
-FEW_WIDE = ("site_category", "banner_pos", "device_type", "device_conn_type")
-FEW_DEEP = (("site_domain", 8), ("app_domain", 4))
 WORKERS, CHUNK = 3, 128
 # Rows of a written file; a file is one batch.
 FILE_ROWS = 2048
@@ -50,30 +42,12 @@ def file_number(df: DataFrame) -> int:
     return max(1, -(-df.count() // FILE_ROWS))
 
 
-def small_features(spark: SparkSession, folder: str) -> Features:
-    return featurize(enriched(spark, folder), SMALL_DIMS)
+def features(spark: SparkSession, folder: str) -> Features:
+    return featurize(enriched(spark, folder))
 
 
-def formula_parameters(spec: list[en.Deep], wide_dim: int) -> nw.Params:
-    """Weights in eighths by a formula, so that sums are exact and SQL can repeat them."""
-    rows, cols = lambda n: np.arange(n)[:, None], lambda n: np.arange(n)[None, :]
-    eighths = lambda x: (x / 8).astype(np.float32)
-    params = {
-        nw.embedding(d.name): eighths((rows(d.vocab) * 7 + cols(d.dim) * 3 + t) % 9 - 4)
-        for t, d in enumerate(spec)
-    }
-    inputs = sum(d.dim for d in spec)
-    for k, width in enumerate(SMALL_HIDDEN, 1):
-        params[f"dense_{k}.weight"] = eighths((rows(width) * 5 + cols(inputs) * 3 + k) % 7 - 3)
-        params[f"dense_{k}.bias"] = eighths((cols(width) + k) % 3 - 1)
-        inputs = width
-    params["out.weight"] = eighths((cols(wide_dim + inputs) * 5) % 9 - 4)
-    params["out.bias"] = eighths(np.ones((1, 1)))
-    return params
-
-
-def formula_table(spark: SparkSession, f: Features) -> DataFrame:
-    return nw.parameter_table(spark, formula_parameters(f.encoding.spec, f.encoding.wide_dim))
+def formula(spark: SparkSession, f: Features, balanced: bool = False) -> DataFrame:
+    return formula_table(spark, f.encoding.spec, f.encoding.wide_dim, balanced)
 
 
 def formula_logit() -> Column:
@@ -86,49 +60,48 @@ def numbered(spark: SparkSession, folder: str, *cols: str) -> DataFrame:
     return bt.shard_rows(with_row_index(rows, ["id"]), WORKERS)
 
 
-def few_encoded(spark: SparkSession, folder: str) -> tuple[DataFrame, int, list[en.Deep]]:
-    """Encoded rows with ``wide_features`` as an array, its width, and the deep columns."""
-    df = enriched(spark, folder)
-    names = [n for n, _ in FEW_DEEP]
-    counts = {
-        r["name"]: r for r in pf.profile(df, [*FEW_WIDE, *names]).collect()
-    }
-    deep = [en.Deep(n, counts[n]["ndv"] + counts[n]["has_null"], d) for n, d in FEW_DEEP]
-    width = sum(counts[c]["ndv"] - 1 for c in FEW_WIDE)
-    rows = en.vector_array(en.fit_transform(df, en.build_pipeline(FEW_WIDE, deep)))
-    return rows, width, deep
+def dense_features(spark: SparkSession, folder: str) -> tuple[DataFrame, Features]:
+    """Rows with one column per wide slot, the label and the deep indexes, in the order of the
+    feature files, after ``id``."""
+    f = features(spark, folder)
+    return en.dense_rows(f.rows, f.encoding.wide_dim, f.encoding.spec, keep=["id"]), f
 
 
-def few_rows(spark: SparkSession, folder: str) -> tuple[DataFrame, int, list[en.Deep]]:
-    rows, width, deep = few_encoded(spark, folder)
-    return en.training_row(rows, width, "label", [d.feature for d in deep]), width, deep
+def names_of(f: Features) -> list[str]:
+    return en.feature_names(f.encoding.wide_dim, f.encoding.spec)
+
+
+def line(cols: Sequence[str]) -> Column:
+    """Columns that hold whole numbers, as one text."""
+    return F.array_join(F.array(*[col(c).cast("int") for c in cols]).cast("array<string>"), ",")
+
+
+def told(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Rows of many columns as (keep, names, types, line): all names, the types met, all values."""
+    cols = [c for c in df.columns if c not in keep]
+    types = sorted({t for n, t in df.dtypes if n in cols})
+    return df.select(
+        *[col(c) for c in keep], F.lit(",".join(cols)).alias("names"), F.lit(",".join(types)).alias("types"),
+        line(cols).alias("line"),
+    )
 
 
 def wide_encoding(spark: SparkSession, folder: str) -> tuple[DataFrame, en.Encoding]:
-    """The rows and the fitted encoding of all wide columns."""
+    """The rows and the fitted encoding of all wide columns, from one counting scan."""
     df = enriched(spark, folder)
-    selected = pf.select_wide(pf.profile(df)).orderBy("rank").collect()
-    wide = [r["name"] for r in selected]
-    return df, en.fit_encoding(freeze(pf.value_counts(df, [*wide, "click"])), wide, [])
+    return df, featurize(df, ()).encoding
 
 
 def wide_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """Rows with the assembled vector of all wide columns."""
     df, encoding = wide_encoding(spark, folder)
-    array = en.slot_array("slots", encoding.wide_dim)
-    return encoding.transform(df).withColumn("wide_features_v", array_to_vector(array))
+    return en.slot_vector(encoding.transform(df), encoding.wide_dim)
 
 
 def text(array: str) -> Column:
     return F.array_join(col(array).cast("array<string>"), ",")
 
 
-def ones(array: Column) -> Column:
-    """Positions of the ones of an array, as text."""
-    at = F.filter(F.transform(array, lambda x, i: F.when(x == 1.0, i)), lambda i: i.isNotNull())
-    return F.array_join(at.cast("array<string>"), ",")
-
-
 # --- scans, sources, sinks ---------------------------------------------------------------
 
 
@@ -141,10 +114,10 @@ def scan_csv_header(spark, folder):
 
 @query
 def scan_csv_positional(spark, folder):
-    rows, width, deep = few_rows(spark, folder)
+    rows, f = dense_features(spark, folder)
     path = scratch_dir(spark)
-    io.write_features(rows, path)
-    return io.read_features(spark, path, en.feature_names(width, deep))
+    io.write_features(rows.drop("id"), path)
+    return told(io.read_features(spark, path, names_of(f)))
 
 
 @query
@@ -174,10 +147,13 @@ def sink_csv_overwrite(spark, folder):
 
 @query
 def model_roundtrip(spark, folder):
-    f = small_features(spark, folder)
-    path = scratch_dir(spark)
-    io.save_parameters(formula_table(spark, f), path)
-    return _scores(nw.score_table(f.rows, io.load_parameters(spark, path), f.encoding.spec))
+    """Encoders and parameters saved by one session; another one scores raw rows."""
+    f, path = features(spark, folder), scratch_dir(spark)
+    model_io.save_model(f.encoding, formula(spark, f), path)
+    other = spark.newSession()
+    for name in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+        other.conf.set(name, spark.conf.get(name))
+    return _scores(model_io.load_model(other, path).score(enriched(other, folder)))
 
 
 # --- projections and scalar expressions --------------------------------------------------
@@ -210,44 +186,39 @@ def select_by_type(spark, folder):
 
 @query
 def select_by_cardinality(spark, folder):
-    return pf.select_wide(pf.profile(enriched(spark, folder)))
+    return featurize(enriched(spark, folder), ()).selected
 
 
 @query
 def wide_columns(spark, folder):
-    rows, width, _ = few_encoded(spark, folder)
-    return en.wide_columns(rows.select("id", "wide_features"), width)
+    f = features(spark, folder)
+    vectors = en.vector_array(en.slot_vector(f.rows.select("id", "slots"), f.encoding.wide_dim))
+    return told(en.wide_columns(vectors.select("id", "wide_features"), f.encoding.wide_dim), ["id"])
 
 
 @query
 def training_row(spark, folder):
-    return few_rows(spark, folder)[0]
+    return told(dense_features(spark, folder)[0].drop("id"))
 
 
 @query
 def rename_positional(spark, folder):
-    rows, width, deep = few_rows(spark, folder)
+    rows, f = dense_features(spark, folder)
+    rows = rows.drop("id")
     raw = rows.toDF(*[f"_c{i}" for i in range(len(rows.columns))])
-    return en.rename_positional(raw, en.feature_names(width, deep))
+    return told(en.rename_positional(raw, names_of(f)))
 
 
 @query
 def cast_float_features(spark, folder):
-    rows, width, deep = few_encoded(spark, folder)
-    wide = [c for c in en.wide_columns(rows, width).columns if c.startswith("wide_feature_")]
-    table = en.wide_columns(rows, width).select("id", *wide, "label", *[d.feature for d in deep])
-    return en.cast_float(table, keep=["id"])
+    return told(en.cast_float(dense_features(spark, folder)[0], keep=["id"]), ["id"])
 
 
 @query
 def group_feature_arrays(spark, folder):
-    rows, width, deep = few_encoded(spark, folder)
-    features = [d.feature for d in deep]
-    table = en.wide_columns(rows, width)
-    wide = [c for c in table.columns if c.startswith("wide_feature_")]
-    arrays = en.group_arrays(
-        table.select("id", *wide, "label", *features), width, features, keep=["id"]
-    )
+    rows, f = dense_features(spark, folder)
+    names = [d.feature for d in f.encoding.spec]
+    arrays = en.group_arrays(rows, f.encoding.wide_dim, names, keep=["id"])
     whole = arrays.withColumn("wide", F.col("wide").cast("array<int>"))
     return whole.select("id", text("wide").alias("wide"), text("deep").alias("deep"), "label")
 
@@ -268,12 +239,12 @@ def cardinality_profile(spark, folder):
 
 @query
 def vocab_size(spark, folder):
-    return pf.vocab_sizes(impressions(spark, folder), [n for n, _ in SMALL_DIMS])
+    return pf.vocab_sizes(impressions(spark, folder), [n for n, _ in DEEP_DIMS])
 
 
 @query
 def wide_dim(spark, folder):
-    return pf.wide_dim(pf.select_wide(pf.profile(enriched(spark, folder))))
+    return pf.wide_dim(featurize(enriched(spark, folder), ()).selected)
 
 
 @query
@@ -343,15 +314,12 @@ def string_index(spark, folder):
 
 @query
 def embed_index(spark, folder):
-    df = impressions(spark, folder)
-    dims = dict(SMALL_DIMS)
-    sizes = pf.vocab_sizes(df, list(dims)).orderBy("pos").collect()
-    deep = [en.Deep(r["name"], r["vocab"], dims[r["name"]]) for r in sizes]
-    counts = freeze(pf.value_counts(df, [*dims, "click"]))
-    rows = en.fit_encoding(counts, [], list(dims.items())).index(df)
-    names = [d.feature for d in deep]
-    found = [col(f"{d.name}__idx").cast("double").alias(d.feature) for d in deep]
-    return rows.select("id", *found).unpivot("id", names, "feature", "idx")
+    df, names = impressions(spark, folder), [n for n, _ in DEEP_DIMS]
+    counts = freeze(pf.value_counts(df, [*names, "click"]))
+    encoding = en.fit_encoding(counts, [], list(DEEP_DIMS))
+    found = [col(f"{d.name}__idx").cast("double").alias(d.feature) for d in encoding.spec]
+    rows = encoding.index(df).select("id", *found)
+    return rows.unpivot("id", [d.feature for d in encoding.spec], "feature", "idx")
 
 
 @query
@@ -376,14 +344,17 @@ def one_hot(spark, folder):
 
 @query
 def assemble_vector(spark, folder):
-    rows = wide_vectors(spark, folder)
-    array = en.vector_to_array("wide_features_v")
-    return rows.select("id", F.size(array).alias("width"), ones(array).alias("slots"))
+    # the text of a sparse vector: (size,[positions],[values])
+    vector = wide_vectors(spark, folder).select("id", F.col("wide_features_v").cast("string").alias("v"))
+    return vector.select(
+        "id", F.regexp_extract("v", r"^\((\d+),", 1).cast("int").alias("width"),
+        F.regexp_extract("v", r"\[([\d,]*)\],\[[1.0,]*\]\)$", 1).alias("slots"),
+    )
 
 
 @query
 def fit_transform(spark, folder):
-    f = small_features(spark, folder)
+    f = features(spark, folder)
     return f.rows.select("id", text("slots").alias("slots"), text("deep").alias("deep"), "label")
 
 
@@ -398,8 +369,8 @@ def vector_array(spark, folder):
 
 @query
 def feature_spec(spark, folder):
-    sizes = pf.vocab_sizes(impressions(spark, folder), [n for n, _ in SMALL_DIMS])
-    dims = F.element_at(F.create_map(*[F.lit(x) for pair in SMALL_DIMS for x in pair]), F.col("name"))
+    sizes = pf.vocab_sizes(impressions(spark, folder), [n for n, _ in DEEP_DIMS])
+    dims = F.element_at(F.create_map(*[F.lit(x) for pair in DEEP_DIMS for x in pair]), F.col("name"))
     names = sizes.select("pos", F.concat_ws(en.SEP, "name", "vocab", dims).alias("feature"))
     return en.feature_spec(names)
 
@@ -474,38 +445,35 @@ def _scores(scored: DataFrame) -> DataFrame:
 
 @query
 def embedding_lookup(spark, folder):
-    f = small_features(spark, folder)
-    rows = f.rows.select("id", "deep")
-    found = nw.embedding_lookup(rows, formula_table(spark, f), f.encoding.spec)
-    eighths = F.transform("embedded", lambda x: (x * 8).cast("int"))
-    return found.select("id", F.array_join(eighths.cast("array<string>"), ",").alias("eighths"))
+    f = features(spark, folder)
+    found = nw.embedding_lookup(f.rows.select("id", "deep"), formula(spark, f), f.encoding.spec)
+    halves = F.transform("embedded", lambda x: (x * 2).cast("int"))
+    return found.select("id", F.array_join(halves.cast("array<string>"), ",").alias("halves"))
 
 
 @query
 def deep_tower(spark, folder):
-    f = small_features(spark, folder)
-    params = formula_table(spark, f)
+    f = features(spark, folder)
+    params = formula(spark, f)
     found = nw.embedding_lookup(f.rows.select("id", "deep"), params, f.encoding.spec)
-    top = nw.deep_tower(found, params)
-    return top.select(
-        "id", *[F.col("tower")[i].cast("double").alias(f"unit_{i}") for i in range(SMALL_HIDDEN[-1])]
+    units = F.transform("tower", lambda x: (x * 16).cast("int"))
+    return nw.deep_tower(found, params).select(
+        "id", F.array_join(units.cast("array<string>"), ",").alias("sixteenths")
     )
 
 
 @query
 def wide_deep_logit(spark, folder):
-    f = small_features(spark, folder)
-    params = formula_table(spark, f)
-    rows = f.rows.select("id", "slots", "deep")
-    found = nw.embedding_lookup(rows, params, f.encoding.spec)
+    f = features(spark, folder)
+    params = formula(spark, f)
+    found = nw.embedding_lookup(f.rows.select("id", "slots", "deep"), params, f.encoding.spec)
     return nw.logit(nw.deep_tower(found, params), params).select("id", "logit")
 
 
 @query
 def score_table(spark, folder):
-    f = small_features(spark, folder)
-    params = formula_parameters(f.encoding.spec, f.encoding.wide_dim)
-    return _scores(nw.score_table(f.rows, params, f.encoding.spec))
+    f = features(spark, folder)
+    return _scores(nw.score_table(f.rows, formula_parameters(f.encoding.spec, f.encoding.wide_dim), f.encoding.spec))
 
 
 @query
@@ -522,18 +490,18 @@ def roc_auc(spark, folder):
 
 @query
 def batch_gradient(spark, folder):
-    f = small_features(spark, folder)
-    width = f.encoding.wide_dim
-    zeros = {k: np.zeros_like(v) for k, v in formula_parameters(f.encoding.spec, width).items()}
-    sums = tr.batch_gradient(f.rows, nw.parameter_table(spark, zeros), f.encoding.spec)
-    wide = sums.where(F.col("tensor") == "out.weight").select(F.posexplode("values"))
-    return wide.where(F.col("pos") < width).select(
-        F.col("pos").alias("slot"), F.col("col").cast("double").alias("gradient")
+    """All tensors of the network at its published widths; a row of a tensor as one weighted sum."""
+    f = features(spark, folder)
+    sums = tr.batch_gradient(f.rows, formula(spark, f, balanced=True), f.encoding.spec)
+    weight = lambda x, i: x.cast("double") * (i % CYCLE + 1)
+    total = F.aggregate(F.transform("values", weight), F.lit(0.0), lambda a, x: a + x)
+    return sums.where(F.col("tensor") != tr.TOTAL).select(
+        "tensor", "row", F.size("values").alias("width"), total.alias("weighted")
     )
 
 
 def _split_rows(spark, folder) -> tuple[Features, DataFrame, DataFrame]:
-    f = featurize(enriched(spark, folder))
+    f = features(spark, folder)
     rows = sp.hash_split(f.rows.select("id", "slots", "deep", "label"), "id")
     return f, rows.where(F.col("split") == "train"), rows.where(F.col("split") == "validation")
 
@@ -549,10 +517,9 @@ def train_rounds(spark, folder):
 
 @query
 def validate(spark, folder):
-    f = small_features(spark, folder)
-    rows = sp.hash_split(f.rows, "id").where(F.col("split") == "validation")
+    f, _, held_out = _split_rows(spark, folder)
     params = formula_parameters(f.encoding.spec, f.encoding.wide_dim)
-    return tr.validate(rows, params, f.encoding.spec).select(F.round("log_loss", 9).alias("log_loss"))
+    return tr.validate(held_out, params, f.encoding.spec).select(F.round("log_loss", 9).alias("log_loss"))
 
 
 @query
@@ -567,10 +534,8 @@ def lr_schedule(spark, folder):
 @query
 def loss_history(spark, folder):
     f, train, validation = _split_rows(spark, folder)
-    spec = [en.Deep(d.name, d.vocab, 8) for d in f.encoding.spec]
     return tr.fit(
-        train, spec, f.encoding.wide_dim, validation, hidden=(32, 16, 8), epochs=3,
-        batch_size=256, workers=4, key="id",
+        train, f.encoding.spec, f.encoding.wide_dim, validation, epochs=3, workers=4, key="id"
     ).history
 
 
