@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from clickloom.llm import mixing
 from clickloom.llm.text import by_slice
-from clickloom.llm.tokens import VOCABULARY, packed, remembered
+from clickloom.llm.tokens import VOCABULARY, packed
+from clickloom.llm.words import byte_ids
 from clickloom.operators.ordering import with_running_totals
 from clickloom.session import discard, freeze
 
@@ -85,12 +86,12 @@ def document_pieces(
     path = path or public_tokenizers.path(VOCABULARY)
 
     def make():
-        encode, end = remembered(path, packed), packed([END])
+        encode, end = byte_ids(path), packed([END])
 
         def run(doc_ids, texts):
             rows = []
-            for doc, pieces in zip(doc_ids, encode([t or "" for t in texts])):
-                raw = b"".join(pieces) + end
+            for doc, raw in zip(doc_ids, encode([t or "" for t in texts])):
+                raw += end
                 total = len(raw) // 4
                 for start in range(0, total, length):
                     part = raw[4 * start : 4 * (start + length)]
@@ -143,12 +144,12 @@ def cut_documents(
     path = path or public_tokenizers.path(VOCABULARY)
 
     def make():
-        encode, end = remembered(path, packed), packed([END])
+        encode, end = byte_ids(path), packed([END])
 
         def run(doc_ids, sources, texts):
             totals, cut = [], []
-            for pieces in encode([t or "" for t in texts]):
-                raw = b"".join(pieces) + end
+            for raw in encode([t or "" for t in texts]):
+                raw += end
                 totals.append(len(raw) // 4)
                 rows = []
                 for start in range(0, totals[-1], length):

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 
 from clickloom.llm.tokens import encode
 from clickloom.llm.two_fit import best_pair, pack_two_fit, places, plan_sequences
-from clickloom.llm.words import unsafe, word_ids
+from clickloom.llm.words import byte_ids, unsafe, word_ids
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -112,6 +112,46 @@ def test_forgotten_words_are_learned_again(monkeypatch):
         assert np.frombuffer(ids_of([text])[0], "<u4").tolist() == encode(PATH, [text])[0]
 
 
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def same_bytes(rows):
+    for text, raw in zip(rows, byte_ids(BYTES)(rows)):
+        assert np.frombuffer(raw, "<u4").tolist() == encode(BYTES, [text])[0], repr(text)
+
+
+def test_ids_rise_with_the_merges():
+    import json
+
+    model = json.load(open(BYTES))["model"]
+    made = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    assert made == sorted(made) and min(made) == 256
+
+
+def test_a_very_long_word():
+    same_bytes(["ab" * 200_000, "x" + "!" * 100_000])
+
+
+def test_byte_ids_are_those_of_the_library(texts):
+    odd = ["", " ", "  ", "a", " a", "a ", "a  b", "a \n b", "\n", " \n", "a\n b\n\n c \n", "a's 's 't I'll", "x<|endoftext|>y z",
+           "a \x1cb \x1c c", "a\x85 b \xa0c", "日本 語\u3000x  é ½", "\t a\t\tb \r\n c", "12 34 5a", "a \u200bb", "\n\n a\n  b"]
+    same_bytes(odd)
+    same_bytes([t or "" for t in list(texts.values())[:150]])
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(alphabet=" \n\t'sa1é.\x1c\xa0\u3000𝒳", max_size=14), min_size=1, max_size=5))
+def test_byte_ids_of_any_text(rows):
+    same_bytes(rows)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=" \n\t'sSA1éÉ.\x1c\xa0\u3000\u0301İ𝒳", max_size=14), min_size=1, max_size=5))
+def test_word_ids_of_any_text(rows):
+    for text, raw in zip(rows, word_ids(PATH)(rows)):
+        assert np.frombuffer(raw, "<u4").tolist() == encode(PATH, [text])[0], repr(text)
+
+
 def check(df, rows, length=2048):
     pieces = pack_two_fit(df, length=length, keep_ids=True).collect()
     want = Counter()
