@@ -111,17 +111,20 @@ def pack(
 ) -> DataFrame:
     """Pieces of all rows with (sequence_id, offset): offsets are gapless from 0.
 
-    Pieces are dealt by a hash of their row's values into groups of about ``group`` pieces,
-    whatever the size of the input, so one task holds a bounded number of rows; each group
-    leaves about one sequence partly filled. ``keep_ids`` adds the token ids of each piece, from
-    which a sequence is written by ordering its pieces by offset. A row with NULL doc_id or
-    repeated rows are packed like any other; other columns are not read.
+    Full windows are sequences of their own. The other pieces are written, counted and dealt by a
+    hash of their place into groups of about ``group`` pieces, whatever the size of the input,
+    how long its texts are or how often a row is repeated; so one task holds a bounded number of
+    rows, and each group leaves about one sequence partly filled. ``keep_ids`` adds the token ids
+    of each piece, from which a sequence is written by ordering its pieces by offset. A row with
+    NULL doc_id or repeated rows are packed like any other; other columns are not read.
     """
-    groups = max(1, -(-docs.select("doc_id").count() * 5 // (4 * group)))
-    pieces = document_pieces(docs, path, length, keep_ids)
-    dealt = pieces.withColumn(
-        "bin", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens"), F.lit(groups))
+    pieces = freeze(document_pieces(docs, path, length, keep_ids))
+    place = F.monotonically_increasing_id()
+    full = pieces.where(F.col("length") == length).select(
+        "*", (-1 - place).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset")
     )
+    dealt = grouped(pieces.where(F.col("length") < length), group)
+    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *["ids"] * keep_ids]
     made = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
     made += "sequence_id bigint, offset bigint" + ", ids array<int>" * keep_ids
 
@@ -131,9 +134,16 @@ def pack(
         )
         sequences, offsets = best_fit(rows["length"].tolist(), length)
         number = (int(rows["bin"].iloc[0]) << 32) + np.array(sequences, np.int64)
-        return rows.assign(sequence_id=number, offset=offsets).drop(columns="bin")
+        return rows.assign(sequence_id=number, offset=offsets)[columns]
 
-    return dealt.groupBy("bin").applyInPandas(run, made)
+    return dealt.groupBy("bin").applyInPandas(run, made).unionByName(full.select(columns))
+
+
+def grouped(written: DataFrame, group: int) -> DataFrame:
+    """Rows of a written table with ``bin``, about ``group`` rows each."""
+    groups = max(1, -(-written.count() // group))
+    place = F.monotonically_increasing_id()
+    return written.withColumn("bin", F.pmod(F.xxhash64(place), F.lit(groups)))
 
 
 def cut_documents(

@@ -5,7 +5,11 @@ import numpy as np
 import public_tokenizers
 import pytest
 
+from pyspark.sql import functions as F
+
 from clickloom.llm import packing, tokens
+from clickloom.llm.packing import document_pieces, grouped, pack
+from clickloom.session import freeze
 
 PATH = public_tokenizers.path(tokens.VOCABULARY)
 
@@ -96,3 +100,23 @@ def test_mixed_pieces_are_those_of_pack(odd, none):
     assert key(packing.pack_mixed(odd, keep_ids=True)) == key(packing.pack(odd, keep_ids=True))
     assert packing.pack_mixed(odd).columns == packing.pack(odd).columns
     assert packing.pack_mixed(none).count() == 0
+
+
+@pytest.mark.parametrize("rows", ["equal", "long"])
+def test_groups_are_bounded_by_pieces(spark, rows):
+    """20,000 equal rows, and 400 texts of 40 windows each that are not full."""
+    if rows == "equal":
+        df = spark.range(20_000).selectExpr("cast(null as bigint) as doc_id", "'three word text' as text")
+        length = 2048
+    else:
+        df = spark.range(400).selectExpr("id as doc_id", "repeat(concat('w', id, ' '), 2600) as text")
+        length = 128
+    pieces = freeze(document_pieces(df, length=length))
+    held = grouped(pieces.where(F.col("length") < length), 500).groupBy("bin").count()
+    assert held.agg(F.max("count")).first()[0] < 700
+    made = pack(df, length=length, group=500).toPandas()
+    assert len(made) == pieces.count()
+    ends = made.assign(end=made.offset + made.length).groupby("sequence_id").agg(
+        used=("length", "sum"), end=("end", "max")
+    )
+    assert (ends.used == ends.end).all() and ends.end.max() <= length
