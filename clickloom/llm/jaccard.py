@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,8 +31,9 @@ from clickloom.llm.text import by_slice, mixed
 from clickloom.session import discard, freeze, local_table
 
 WORDS = 5
-#: Regions of up to so many texts are compared pair by pair; pivots of the first round.
-SMALL, PIVOTS = 128, 16
+#: Regions of up to so many texts are compared pair by pair; pivots of the first round; members
+#: whose distances to the same texts are taken together.
+SMALL, PIVOTS, BLOCK = 128, 4, 256
 #: One document in so many is counted to order shingles.
 SAMPLE = 16
 #: Logarithms of the least and most bits of a table of bits, and its bits for each entry.
@@ -177,31 +179,78 @@ def _sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
     )
 
 
+def _common(members: pa.Table, partners: pa.Table) -> pa.Table:
+    """(a, b, n, i): sizes together and common shingles of every member b with its partners a."""
+    sets = []
+    for rows, name in ((members, "hashes"), (partners, "other")):
+        held = rows.column(name).combine_chunks()
+        ends, flat = held.offsets.to_numpy(), held.values.to_numpy().view(np.uint64)
+        sets.append([flat[x:y] for x, y in zip(ends[:-1], ends[1:])])
+    bs, found = members.column("rep").to_pylist(), []
+    for a, mine in zip(partners.column("partner").to_pylist(), sets[1]):
+        for b, other in zip(bs, sets[0]):
+            few, many = (mine, other) if len(mine) < len(other) else (other, mine)
+            at = np.searchsorted(many, few)
+            at[at == len(many)] = 0
+            i, n = int((many[at] == few).sum()), len(few) + len(many)
+            if a != b and 8 * i >= 3 * n:
+                found.append((a, b, n, i))
+    arrow = pa.schema([(name, pa.int64()) for name in ("a", "b", "n", "i")])
+    return pa.table([pa.array(c, pa.int64()) for c in zip(*found)] or [[]] * 4, schema=arrow)
+
+
 class _Links:
     """Measured pairs and the components they make so far."""
 
     def __init__(self, spark: SparkSession, sets: DataFrame):
-        self.spark, self.sets, self.found, self.tables = spark, sets, [], []
+        self.spark, self.sets, self.tables = spark, sets, []
         self.labels = local_table(spark, [], "node bigint, label bigint")
 
     def measure(self, pairs: DataFrame) -> DataFrame:
-        """(a, b, distance) of the pairs within 0.4; those within 0.2 become links."""
-        side = lambda k: self.sets.select(F.col("rep").alias(k), F.col("n").alias(f"n{k}"), F.col("hashes").alias(f"h{k}"))
-        near = (
-            pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
-            .select("a", "b", (F.col("na") + F.col("nb")).alias("n"), F.size(F.array_intersect("ha", "hb")).cast("bigint").alias("i"))
-            .where("8 * i >= 3 * n")
+        """(a, b, distance, link) of the pairs within 0.4; those within 0.2 become links.
+
+        Members with the same partners go together, BLOCK at a time: each member's set is sent
+        once, and those of the partners once for each block.
+        """
+        partners = F.sort_array(F.collect_set("a")).alias("partners")
+        lists = freeze(pairs.groupBy("b").agg(partners).withColumn("key", F.xxhash64("partners")))
+        blocks = F.ceil(F.count("*") / BLOCK).alias("blocks")
+        dealt = lists.join(lists.groupBy("key").agg(blocks), "key").withColumn(
+            "block", F.pmod(F.xxhash64("b"), F.col("blocks"))
+        )
+        sent = dealt.select("key", "block", F.col("b").alias("rep")).join(self.sets.select("rep", "hashes"), "rep")
+        first = dealt.groupBy("key", "block").agg(F.min_by("partners", "b").alias("partners"))
+        met = first.select(
+            F.col("key").alias("k"), F.col("block").alias("bl"), F.explode("partners").alias("partner")
+        ).join(self.sets.select(F.col("rep").alias("partner"), F.col("hashes").alias("other")), "partner")
+        near = sent.groupBy("key", "block").cogroup(met.groupBy("k", "bl")).applyInArrow(
+            _common, "a bigint, b bigint, n bigint, i bigint"
         )
         near = freeze(near.select("a", "b", F.expr("1 - i / (n - i)").alias("distance"), F.expr("9 * i >= 4 * n").alias("link")))
+        discard(lists)
         self.tables.append(near)
-        self.found.append(near.where("link").select("a", "b"))
-        if not self.found[-1].isEmpty():
-            links = self.found[0]
-            for more in self.found[1:]:
-                links = links.union(more)
-            self.labels = components(links)
+        self.contract(near.where("link"))
         return near
 
+    def contract(self, links: DataFrame) -> None:
+        """Put the links into the labels. Known components count as one node, and a node with many
+        partners leaves one link to the least, and the pairs of partners that it connects."""
+        ends = self.labelled(self.labelled(links, "a", "la"), "b", "lb").where("la <> lb")
+        stars = freeze(ends.groupBy("lb").agg(F.collect_set("la").alias("partners")))
+        least = F.array_min("partners")
+        pairs = stars.select(least.alias("a"), F.explode("partners").alias("b")).where("a <> b").distinct()
+        edges = freeze(stars.select(least.alias("a"), F.col("lb").alias("b")).union(pairs))
+        discard(stars)
+        if not edges.isEmpty():
+            made = components(edges)
+            known = self.labels.select("node", F.col("label").alias("old"))
+            moved = known.join(made.select(F.col("node").alias("old"), "label"), "old", "left").select(
+                "node", F.coalesce("label", "old").alias("label")
+            )
+            new = made.join(self.labels, "node", "left_anti")
+            self.labels = freeze(moved.unionByName(new))
+        discard(edges)
+
     def labelled(self, df: DataFrame, node: str, name: str) -> DataFrame:
         mine = self.labels.select(F.col("node").alias(node), F.col("label").alias(name))
         return df.join(mine, node, "left").withColumn(name, F.coalesce(name, node))
