@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from operator import and_
 
@@ -17,7 +17,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.operators.lookup import rank_lookup
+from clickloom.operators.lookup import long_lookup, rank_lookup
 from clickloom.operators.ordering import with_rank
 from clickloom.operators.profile import value_counts
 from clickloom.session import col, freeze
@@ -28,8 +28,10 @@ MAX_LABELS = 200_000
 # Values of one column that an encoding looks up in place, frequent ones first; larger
 # vocabularies stay tables and are joined.
 MAX_INLINE_LABELS = 128
-# Vocabulary rows that may be broadcast for one column.
-BROADCAST_ROWS = 1_000_000
+# Vocabulary rows and bytes that may be broadcast for one column.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
+# Bytes of a row of a broadcast table besides its text.
+ROW_BYTES = 48
 # Values of one column that may be ranked in one task.
 MAX_RANKED_IN_TASK = 1_000_000
 
@@ -209,6 +211,7 @@ class Encoding:
     joined: DataFrame | None
     on_invalid: str
     broadcast_rows: int = BROADCAST_ROWS
+    sizes_in_bytes: dict[str, int] = field(default_factory=dict)
 
     @property
     def wide_dim(self) -> int:
@@ -225,22 +228,38 @@ class Encoding:
     def joined_sizes(self) -> dict[str, int]:
         return {n: size for n, size in self.sizes.items() if n not in self.labels}
 
+    def is_broadcast(self, name: str) -> bool:
+        """Whether the vocabulary of a joined column is within the bounds of rows and bytes."""
+        bytes_ = self.sizes_in_bytes.get(name, 0)
+        return self.sizes[name] <= self.broadcast_rows and bytes_ <= BROADCAST_BYTES
+
     def index(self, df: DataFrame) -> DataFrame:
         """Append ``<column>__idx`` for every column and the label.
 
-        A projection only, unless a vocabulary is too large to be broadcast.
+        A projection only, unless vocabularies are too large to be broadcast; those are looked up
+        together.
         """
         indexed, found = df, {}
+        large = [n for n in self.joined_sizes if not self.is_broadcast(n)]
+        if large:
+            names = F.array(*map(F.lit, large))
+            at = F.array_position(names, F.col("name"))
+            table = self.joined.where(F.col("name").isin(large)).select(
+                F.array(*[F.lit(f"{n}__found") for n in large])[(at - 1).cast("int")].alias("name"),
+                F.col("value").alias("key"), F.col("idx").alias("value"),
+            )
+            indexed = long_lookup(df, {f"{n}__found": col(n).cast("string") for n in large}, table, ROW_BYTES)
         for name, size in self.sizes.items():
             text = col(name).cast("string")
             if name in self.labels:
                 known = F.from_json(F.lit(json.dumps(self.labels[name])), "array<string>")
                 found[name] = F.nullif(F.array_position(known, text), F.lit(0)) - 1
+            elif name in large:
+                found[name] = col(f"{name}__found")
             else:
                 table = self.joined.where(F.col("name") == name)
                 indexed = rank_lookup(
-                    indexed, text, table, "value", "idx", "idx", size, self.broadcast_rows,
-                    f"{name}__found",
+                    indexed, text, table, "value", "idx", "idx", size, size, f"{name}__found"
                 )
                 found[name] = col(f"{name}__found")
         if self.on_invalid == "error":
@@ -288,7 +307,8 @@ def fit_encoding(
     """Fit from written value counts of all wide and deep columns and the label.
 
     ``deep`` holds (name, dim). Columns of up to ``max_labels`` values are looked up in place.
-    Larger ones are indexed by join to their vocabulary, broadcast up to ``broadcast_rows``.
+    Larger ones are indexed by join to their vocabulary, broadcast up to ``broadcast_rows`` and
+    BROADCAST_BYTES.
     ``on_invalid`` is as in ``build_pipeline``.
     """
     if sizes is None:
@@ -302,14 +322,16 @@ def fit_encoding(
     if min(widths, default=1) < 1:
         one = [c for c, w in zip(wide, widths) if w < 1]
         raise ValueError(f"columns with a single value cannot be one-hot encoded: {one}")
-    joined = None
+    joined, sizes_in_bytes = None, {}
     if large:
         largest = max(number[n] for n in large)
         joined = freeze(index_values(counts.where(F.col("name").isin(large)), largest=largest))
+        taken = F.sum(F.octet_length("value") + ROW_BYTES).alias("bytes")
+        sizes_in_bytes = {r["name"]: r["bytes"] for r in joined.groupBy("name").agg(taken).collect()}
     return Encoding(
         list(wide), widths, [Deep(n, sum(sizes.get(n, (0, False))), d) for n, d in deep], label,
         number, ordered_labels(counts, small, label, label_order), joined, on_invalid,
-        broadcast_rows,
+        broadcast_rows, sizes_in_bytes,
     )
 
 

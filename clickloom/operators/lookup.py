@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.session import col
+from clickloom.session import col, freeze
 
 # Rows of the keyed table that are broadcast as the frequent part when the whole is too large.
 HOT_ROWS = 1000
 SPREAD = 1 << 16
+# Bytes of the answers to frequent keys that are broadcast.
+HEAVY_BYTES = 128 << 20
 
 
 def rank_lookup(
@@ -57,3 +61,51 @@ def rank_lookup(
         cold, (F.col("__key") == F.col("__k")) & (F.col("__salt") == F.col("__s")), "left"
     )
     return joined.select(*kept, F.coalesce("__hot", "__v").alias(name))
+
+
+def long_lookup(
+    df: DataFrame, keys: Mapping[str, Column], table: DataFrame, value_bytes: int,
+    max_bytes: int = HEAVY_BYTES,
+) -> DataFrame:
+    """Add a column for each name of ``keys``: the ``value`` of the row of ``table`` (name, key,
+    value) with that name and key, NULL where there is none or the key is NULL.
+
+    All columns are looked up at once, in long form: (row, column, key). Keys that very many rows
+    hold are found by counting, whether the table holds them or not; their answers are broadcast,
+    at most ``max_bytes`` of them at ``value_bytes`` each, and the number of rows of any other key
+    is bounded. Only the rows' numbers and other keys meet the table; the rows themselves move
+    once, to their answers. They are written first, so that their numbers stay.
+    """
+    names = list(keys)
+    numbered = df.select(
+        "*", *[k.alias(f"__k{i}") for i, k in enumerate(keys.values())],
+        F.monotonically_increasing_id().alias("__row"),
+    )
+    rows = freeze(numbered)
+    key_columns = F.array(*[col(f"__k{i}") for i in range(len(names))])
+    long = rows.select("__row", F.posexplode(key_columns).alias("__i", "__key")).where("__key is not null")
+    counts = freeze(long.groupBy("__i", "__key").agg(F.count("*").alias("n")))
+    heavy = freeze(counts.where(F.col("n") > _most_rows(counts, value_bytes, max_bytes)).drop("n"))
+    place = F.array_position(F.array(*map(F.lit, names)), F.col("name")) - 1
+    entry = table.select(
+        place.cast("int").alias("__i"), F.col("key").alias("__key"), F.col("value").alias("__v")
+    ).where("__i >= 0")
+    met = freeze(entry.join(F.broadcast(heavy), ["__i", "__key"]))
+    rest = long.join(F.broadcast(heavy), ["__i", "__key"], "left_anti").join(entry, ["__i", "__key"])
+    answers = rest.groupBy("__row").agg(
+        F.map_from_entries(F.collect_list(F.struct("__i", "__v"))).alias("__answers")
+    )
+    out, found = rows, []
+    for i, name in enumerate(names):
+        mine = met.where(F.col("__i") == i).select(F.col("__key").alias(f"__h{i}"), F.col("__v").alias(f"__v{i}"))
+        out = out.join(F.broadcast(mine), col(f"__k{i}") == col(f"__h{i}"), "left")
+        found.append(F.coalesce(col(f"__v{i}"), F.col("__answers")[i]).alias(name))
+    return out.join(answers, "__row", "left").select(*[col(c) for c in df.columns], *found)
+
+
+def _most_rows(counts: DataFrame, value_bytes: int, max_bytes: int) -> int:
+    """Rows that a key may have without being answered by broadcast: about a quarter of a
+    partition's, or more where that many answers would exceed ``max_bytes``."""
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, total // (4 * parts), -(-total * value_bytes // max_bytes))

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from clickloom.functions.scalar import sigmoid
 from clickloom.operators.encode import Deep
-from clickloom.operators.lookup import rank_lookup
+from clickloom.operators.lookup import long_lookup, rank_lookup
 from clickloom.session import col
 from clickloom.sources.features_io import PARAMETER_SCHEMA
 
@@ -161,19 +161,33 @@ def embedding_lookup(
     df: DataFrame, params: DataFrame, spec: Sequence[Deep], max_bytes: int = BROADCAST_BYTES,
     name: str = "embedded",
 ) -> DataFrame:
-    """Add the concatenated embedding rows of ``deep`` by joins to the parameter table."""
+    """Add the concatenated embedding rows of ``deep`` by joins to the parameter table.
+
+    Tables within an even share of ``max_bytes`` are broadcast; the others are looked up together.
+    """
     tables = params.where(_is_embedding())
     share = max_bytes // max(1, len(spec))
-    out = df
+    kept, large = [col(c) for c in df.columns], {}
     for i, d in enumerate(spec):
-        table = tables.where(F.col("tensor") == embedding(d.name)).select("row", "values")
-        # Indexes are frequency ranks, so the first rows are the most frequent ones.
-        out = rank_lookup(
-            out, F.col("deep")[i], table, "row", "values", "row", d.vocab,
-            share // (d.dim * 4), f"__e{i}",
+        if d.vocab * d.dim * 4 > share:
+            large[f"__e{i}"] = F.col("deep")[i]
+    out = df
+    if large:
+        tensors = F.array(*[F.lit(embedding(spec[int(n[3:])].name)) for n in large])
+        at = F.array_position(tensors, F.col("tensor"))
+        entries = tables.where(at > 0).select(
+            F.array(*map(F.lit, large))[(at - 1).cast("int")].alias("name"), F.col("row").alias("key"),
+            F.col("values").alias("value"),
         )
+        out = long_lookup(df, large, entries, 4 * max(d.dim for d in spec), max_bytes)
+    for i, d in enumerate(spec):
+        if f"__e{i}" not in large:
+            table = tables.where(F.col("tensor") == embedding(d.name)).select("row", "values")
+            out = rank_lookup(
+                out, F.col("deep")[i], table, "row", "values", "row", d.vocab, d.vocab, f"__e{i}"
+            )
     joined = F.concat(*[F.col(f"__e{i}") for i in range(len(spec))])
-    return out.select(*[col(c) for c in df.columns], joined.alias(name))
+    return out.select(*kept, joined.alias(name))
 
 
 def deep_tower(

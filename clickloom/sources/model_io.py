@@ -63,6 +63,7 @@ def describe(encoding: Encoding) -> str:
         "deep": [[d.name, d.vocab, d.dim] for d in encoding.deep], "label": encoding.label,
         "sizes": encoding.sizes, "labels": encoding.labels, "on_invalid": encoding.on_invalid,
         "broadcast_rows": encoding.broadcast_rows, "joined": encoding.joined is not None,
+        "sizes_in_bytes": encoding.sizes_in_bytes,
     })
 
 
@@ -97,5 +98,6 @@ def load_model(spark: SparkSession, path: str, version: int | None = None) -> Mo
     encoding = Encoding(
         told["wide"], told["widths"], [Deep(*d) for d in told["deep"]], told["label"], told["sizes"],
         told["labels"], joined, told["on_invalid"], told["broadcast_rows"],
+        told["sizes_in_bytes"],
     )
     return Model(encoding, load_parameters(spark, f"{root}/parameters"), version)
