@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.operators.ordering import with_rank, with_row_index
+from clickloom.operators.ordering import with_row_index
+from clickloom.operators.permutation import permuted
 
 
 def shard_rows(df: DataFrame, workers: int, index: str = "row_index") -> DataFrame:
@@ -53,12 +54,19 @@ def batch_plan(df: DataFrame, workers: int, chunk: int) -> DataFrame:
 
 
 def shuffle_batches(plan: DataFrame, epochs: int, seed: int = 42) -> DataFrame:
-    """(epoch, worker, batch, rows, position): a new order of all batches for each epoch."""
-    key = F.md5(F.concat_ws("/", F.lit(str(seed)), "epoch", "worker", "batch"))
-    each = plan.select(
-        F.explode(F.sequence(F.lit(1), F.lit(epochs))).alias("epoch"), "*"
-    ).withColumn("__key", key)
-    return with_rank(each, ["epoch"], ["__key"], "position").drop("__key")
+    """(epoch, worker, batch, rows, position): a new order of all batches for each epoch.
+
+    ``plan`` has a row for each batch of each worker, numbered from 0; only the last workers may
+    have fewer. A position is computed from the batch's number, so nothing is shuffled.
+    """
+    per, total, last = plan.agg(
+        F.max("batch") + 1, F.count("*"), F.max(F.struct("worker", "batch"))
+    ).first()
+    if total and (last.worker * per + last.batch + 1 != total):
+        raise ValueError("the numbers of the batches have a gap")
+    number = F.col("worker") * F.lit(per or 0) + F.col("batch")
+    each = plan.select(F.explode(F.sequence(F.lit(1), F.lit(epochs))).alias("epoch"), "*")
+    return each.withColumn("position", permuted(number, total, seed, F.col("epoch")))
 
 
 def file_batches(df: DataFrame) -> DataFrame:

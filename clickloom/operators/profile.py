@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.session import col, local_table
+from clickloom.session import col, freeze, local_table
 
 PROFILE_SCHEMA = "pos int, name string, type string, ndv bigint, has_null boolean"
 # Only these two types are candidates; wider numbers (ids) are not.
 CANDIDATE_TYPES = ("string", "int")
 # Rows in which a column of too many values is looked for first.
 SCREEN_ROWS = 10_000
+# Logarithm of a sketch's registers, and its relative error.
+SKETCH_BITS, SKETCH_ERROR = 12, 1.04 / 2**6
 
 
 def candidates(df: DataFrame) -> list[str]:
@@ -81,16 +83,62 @@ def vocab_sizes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
-def screen(df: DataFrame, cols: Sequence[str], max_bins: int) -> list[str]:
-    """Columns that may have at most ``max_bins`` values.
+def sketch_files(df: DataFrame, cols: Sequence[str], file: Column | None = None) -> DataFrame:
+    """(file, name, sketch): a mergeable sketch of the distinct values of each column in each file.
 
-    A column with more values than that among SCREEN_ROWS rows is proven to have too many, so
-    its values need not be grouped. The others are to be counted over the whole table.
+    One scan; what is shuffled is a few kilobytes for each file and column and task. Kept as a
+    table, it lets a profile of a grown table read the new files alone (``add_files``). ``file``
+    tells the file of a row, by default as Spark reads it.
+    """
+    at = F.input_file_name() if file is None else file
+    numbers = {c: str(i) for i, c in enumerate(cols)}
+    sketches = [F.hll_sketch_agg(col(c).cast("string"), F.lit(SKETCH_BITS)).alias(i) for c, i in numbers.items()]
+    if not sketches:
+        return local_table(df.sparkSession, [], "file string, name string, sketch binary")
+    # the file is a column before it is a group, for it must be taken where rows are read
+    wide = df.withColumn("__file", at).groupBy("__file").agg(*sketches)
+    names = F.array(*[F.lit(c) for c in cols])
+    return wide.unpivot("__file", [col(i) for i in numbers.values()], "number", "sketch").select(
+        F.col("__file").alias("file"), names[F.col("number").cast("int")].alias("name"), "sketch"
+    )
+
+
+def freeze_sketches(sketches: DataFrame) -> DataFrame:
+    """The sketches as a written table, to be kept beside the data."""
+    return freeze(sketches)
+
+
+def add_files(kept: DataFrame, more: DataFrame) -> DataFrame:
+    """Sketches of ``kept`` and those of ``more`` whose files are new."""
+    return kept.unionByName(more.join(kept.select("file").distinct(), "file", "left_anti"))
+
+
+def estimated_sizes(sketches: DataFrame) -> DataFrame:
+    """(name, ndv): about how many distinct values the columns have in all files together."""
+    return sketches.groupBy("name").agg(
+        F.hll_sketch_estimate(F.hll_union_agg("sketch", F.lit(True))).alias("ndv")
+    )
+
+
+def screen(
+    df: DataFrame, cols: Sequence[str], max_bins: int, sketches: DataFrame | None = None
+) -> list[str]:
+    """Columns that may have at most ``max_bins`` values; the values of others are never grouped.
+
+    A column with more values than that among SCREEN_ROWS rows is proven to have too many. Of
+    the others the sketches of all rows tell it, with a margin of six times their error: those
+    given, or made by one scan. What is left is to be counted exactly.
     """
     if not cols:
         return []
     some = value_counts(df.limit(SCREEN_ROWS), cols).groupBy("name").agg(F.count("value").alias("ndv"))
     above = {r["name"] for r in some.where(F.col("ndv") > max_bins).collect()}
+    left = [c for c in cols if c not in above]
+    if sketches is None:
+        sketches = sketch_files(df, left, F.lit(""))
+    most = max_bins * (1 + 6 * SKETCH_ERROR) + 1
+    over = estimated_sizes(sketches.where(F.col("name").isin(left))).where(F.col("ndv") > most)
+    above |= {r["name"] for r in over.collect()}
     return [c for c in cols if c not in above]
 
 

@@ -28,6 +28,7 @@ from clickloom.operators.network import (
     slot_lists, tower,
 )
 from clickloom.operators.parts import PART_SCHEMA, part, sum_parts, task_number
+from clickloom.operators.permutation import permuted_number
 from clickloom.session import col, discard, freeze, local_table, scratch_dir
 from clickloom.sources.features_io import save_parameters
 
@@ -484,9 +485,9 @@ def fit(
     best, lowest, history, losses = None, float("inf"), [], scratch_dir(spark)
     for epoch in range(epochs):
         rate = learning_rate(lr, epoch)
-        order = np.random.default_rng([seed, epoch]).permutation(rounds)
+        order = sorted(range(rounds), key=lambda r: permuted_number(r, rounds, seed, epoch))
         total_loss, total = 0.0, 0
-        for r in order.tolist():
+        for r in order:
             sums, loss, n = model.round(rows.where(F.col("round") == r), rate, dropout, [seed, epoch, r])
             batch_losses(sums, epoch + 1, r).write.mode("append").parquet(losses)
             discard(sums)

@@ -30,12 +30,15 @@ class Features:
     rows: DataFrame
 
 
-def count_candidates(df: DataFrame, also: Sequence[str], max_bins: int) -> tuple[DataFrame, list[str]]:
+def count_candidates(
+    df: DataFrame, also: Sequence[str], max_bins: int, sketches: DataFrame | None = None
+) -> tuple[DataFrame, list[str]]:
     """Written value counts of the columns that may become wide and of ``also``; the former.
 
-    Columns proven to have too many values by a look at some rows are never grouped.
+    Columns that have too many values by a look at some rows or by sketches of all rows
+    (``sketches`` if they are kept) are never grouped.
     """
-    kept = pf.screen(df, pf.candidates(df), max_bins)
+    kept = pf.screen(df, pf.candidates(df), max_bins, sketches)
     cols = [n for n in df.columns if n in kept or n in also]
     return freeze(pf.value_counts(df, cols)), kept
 
@@ -44,11 +47,12 @@ def featurize(
     df: DataFrame, deep: Sequence[tuple[str, int]] = DEEP_DIMS, label: str = "click",
     max_bins: int = 100, on_invalid: str = "error", label_order: str = "frequencyDesc",
     fit_on: DataFrame | None = None, max_labels: int = MAX_INLINE_LABELS,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS, sketches: DataFrame | None = None,
 ) -> Features:
-    """Choose wide columns, fit the encoders on ``fit_on`` (default: all rows), encode ``df``."""
+    """Choose wide columns, fit the encoders on ``fit_on`` (default: all rows), encode ``df``.
+    ``sketches`` are those of ``profile.sketch_files`` over the same rows, if they are kept."""
     source = df if fit_on is None else fit_on
-    counts, kept = count_candidates(source, [n for n, _ in deep] + [label], max_bins)
+    counts, kept = count_candidates(source, [n for n, _ in deep] + [label], max_bins, sketches)
     sizes = count_sizes(counts)
     rows = [
         (i, n, t, *sizes.get(n, (0, False))) for i, (n, t) in enumerate(source.dtypes) if n in kept

@@ -225,6 +225,10 @@ DAILY = f""",
 d AS (SELECT hour // 100 AS epoch, round(avg({LOSS.format(x=FORMULA, y="click")}), 8) AS val_loss
       FROM im GROUP BY hour // 100)"""
 
+# Swap or not, round by round: the partner of a number, and the bit that both agree on.
+HASHED = "CAST('0x' || substr(md5({x}), 1, 8) AS BIGINT)"
+OTHER = "((" + HASHED.format(x="concat_ws('/', '42', epoch, 'k', r)") + " - x) % n + n) % n"
+
 ORACLE: dict[str, str] = {
     "scan_csv_header": f"""WITH {IM} SELECT * REPLACE (CAST(id AS INT) AS id,
         CAST(site_id AS INT) AS site_id, CAST(device_model AS INT) AS device_model) FROM im""",
@@ -271,10 +275,12 @@ SELECT rows, CAST(ceil(ceil(rows / 3e0) / 128e0) AS BIGINT) AS per_worker,
         CAST(row_number() OVER (PARTITION BY type ORDER BY ndv DESC, pos) - 1 AS INT) AS rank, name, ndv
         FROM prof""",
     "shuffle_batches": f"""WITH {IM}{SHARDS},
-g AS (SELECT worker, batch, count(*) AS rows FROM b GROUP BY worker, batch)
-SELECT CAST(epoch AS INT) AS epoch, worker, batch, rows, row_number() OVER (PARTITION BY epoch
-         ORDER BY md5(concat_ws('/', '42', epoch, worker, batch))) - 1 AS position
-FROM g, (SELECT unnest(range(1, 4)) AS epoch)""",
+g AS (SELECT worker, batch, count(*) AS rows FROM b GROUP BY worker, batch),
+n AS (SELECT epoch, worker, batch, rows, worker * (max(batch) OVER () + 1) + batch AS number, count(*) OVER (PARTITION BY epoch) AS n
+      FROM g, (SELECT unnest(range(1, 4)) AS epoch))
+SELECT CAST(epoch AS INT) AS epoch, worker, batch, rows, list_reduce(list_prepend(number, range(0, 40)), lambda x, r:
+    CASE WHEN {HASHED.format(x="concat_ws('/', '42', epoch, 'b', r, greatest(x, " + OTHER + "))")} % 2 = 1 THEN {OTHER} ELSE x END) AS position
+FROM n""",
     "string_index": f"""WITH {LONG} SELECT l.id, name, CAST(v.idx AS DOUBLE) AS idx
         FROM l JOIN sel USING (name) JOIN vocab v USING (name, value)""",
     "embed_index": f"""WITH {LONG} SELECT id, concat_ws('SEP', d.name, p.ndv, dim) AS feature,

@@ -35,6 +35,22 @@ def read_features(
     return strict.option("pathGlobFilter", "*.csv").csv(path)
 
 
+def batch_files(spark: SparkSession, path: str) -> list[str]:
+    """The ``.csv`` files of a folder in name order: file k is batch k, as ``file_batches`` counts."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    listed = files.listStatus(at) if files.exists(at) else []
+    found = [s.getPath() for s in listed if s.isFile()]
+    return sorted(p.toString() for p in found if p.getName().endswith(".csv"))
+
+
+def read_batch(
+    spark: SparkSession, path: str, schema: T.StructType | Sequence[str], batch: int
+) -> DataFrame:
+    """The rows of one batch; only its file is opened."""
+    return read_features(spark, batch_files(spark, path)[batch], schema)
+
+
 def save_parameters(params: DataFrame, path: str) -> None:
     params.write.mode("overwrite").parquet(path)
 

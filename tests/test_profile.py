@@ -76,3 +76,35 @@ def test_profile_is_one_scan_with_partial_sums(spark, table):
     plan = pf.value_counts(table, ["s", "n"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Expand") == 1 and plan.count("Exchange") == 1
     assert "partial_count" in plan
+
+
+def test_id_like_columns_are_never_grouped(spark, monkeypatch):
+    """A column that looks like one of few values at first, for the rows are sorted by it."""
+    df = spark.range(0, 30_000, 1, 1).selectExpr(
+        "id", "cast(id as string) as key", "cast(greatest(id - 15000, 0) as int) as late", "cast(id % 100 as int) as n",
+        "cast(id % 130 as string) as over", "cast(null as string) as none",
+    )
+    assert pf.screen(df, ["key", "late", "n", "over", "none"], 100) == ["n", "none"]
+    counted = []
+    monkeypatch.setattr(pf, "value_counts", lambda d, cols, real=pf.value_counts: (counted.append(list(cols)), real(d, cols))[1])
+    kept = pf.sketch_files(df, ["late", "n"], F.lit("f"))
+    assert pf.screen(df, ["late", "n"], 100, kept) == ["n"] and counted == [["late", "n"]]
+
+
+def test_sketches_of_new_files_only_add(spark):
+    from clickloom.session import scratch_dir
+
+    path = scratch_dir(spark)
+    first = spark.range(0, 500, 1, 1).selectExpr("cast(id % 60 as string) as a", "cast(id as int) as b")
+    second = spark.range(500, 900, 1, 1).selectExpr("cast(id % 80 as string) as a", "cast(id as int) as b")
+    first.write.parquet(path)
+    kept = pf.freeze_sketches(pf.sketch_files(spark.read.parquet(path), ["a", "b"]))
+    second.write.mode("append").parquet(path)
+    both = pf.sketch_files(spark.read.parquet(path), ["a", "b"])
+    grown = pf.add_files(kept, both)
+    assert grown.select("file").distinct().count() == 2 and grown.count() == 4
+    found = {r.name: r.ndv for r in pf.estimated_sizes(grown).collect()}
+    assert found == {r.name: r.ndv for r in pf.estimated_sizes(both).collect()}
+    assert found["a"] == 80 and abs(found["b"] - 900) < 60
+    # files that are known already change nothing
+    assert pf.add_files(grown, both).count() == 4
