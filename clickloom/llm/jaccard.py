@@ -181,27 +181,50 @@ class _Links:
     """Measured pairs and the components they make so far."""
 
     def __init__(self, spark: SparkSession, sets: DataFrame):
-        self.spark, self.sets, self.found, self.tables = spark, sets, [], []
+        self.spark, self.sets, self.tables = spark, sets, []
         self.labels = local_table(spark, [], "node bigint, label bigint")
 
     def measure(self, pairs: DataFrame) -> DataFrame:
-        """(a, b, distance) of the pairs within 0.4; those within 0.2 become links."""
-        side = lambda k: self.sets.select(F.col("rep").alias(k), F.col("n").alias(f"n{k}"), F.col("hashes").alias(f"h{k}"))
+        """(a, b, distance, link) of the pairs within 0.4; those within 0.2 become links.
+
+        Only the sets of these pairs move: that of b once, that of a is broadcast where the written
+        sets of all a are small enough for that, else the two meet at a.
+        """
+        pairs = freeze(pairs.select("a", "b"))
+        wanted = lambda k: self.sets.join(pairs.select(F.col(k).alias("rep")).distinct(), "rep", "left_semi")
+        sides = {"a": freeze(wanted("a")), "b": wanted("b")}
+        side = lambda k: sides[k].select(F.col("rep").alias(k), F.col("n").alias(f"n{k}"), F.col("hashes").alias(f"h{k}"))
         near = (
-            pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
+            pairs.join(side("b"), "b").join(side("a"), "a")
             .select("a", "b", (F.col("na") + F.col("nb")).alias("n"), F.size(F.array_intersect("ha", "hb")).cast("bigint").alias("i"))
             .where("8 * i >= 3 * n")
         )
         near = freeze(near.select("a", "b", F.expr("1 - i / (n - i)").alias("distance"), F.expr("9 * i >= 4 * n").alias("link")))
+        for table in (pairs, sides["a"]):
+            discard(table)
         self.tables.append(near)
-        self.found.append(near.where("link").select("a", "b"))
-        if not self.found[-1].isEmpty():
-            links = self.found[0]
-            for more in self.found[1:]:
-                links = links.union(more)
-            self.labels = components(links)
+        self.contract(near.where("link"))
         return near
 
+    def contract(self, links: DataFrame) -> None:
+        """Put the links into the labels, known components counting as one node. A node with many
+        partners leaves one link to the least of them, and the pairs of partners that it connects:
+        no more links than nodes, and pairs of pivots."""
+        ends = self.labelled(self.labelled(links, "a", "la"), "b", "lb").where("la <> lb")
+        stars = freeze(ends.groupBy("lb").agg(F.array_sort(F.collect_set("la")).alias("partners")))
+        pairs = stars.select(F.explode(F.expr(
+            "transform(slice(partners, 2, size(partners)), p -> struct(partners[0] as a, p as b))"
+        )).alias("p")).select("p.*")
+        if not stars.isEmpty():
+            made = components(stars.select(F.col("partners")[0].alias("a"), F.col("lb").alias("b")).union(pairs))
+            moved = self.labels.join(
+                made.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left"
+            ).select("node", F.coalesce("to", "label").alias("label"))
+            new = made.join(self.labels, "node", "left_anti").select("node", "label")
+            self.labels = freeze(moved.union(new))
+            self.tables.append(self.labels)
+        discard(stars)
+
     def labelled(self, df: DataFrame, node: str, name: str) -> DataFrame:
         mine = self.labels.select(F.col("node").alias(node), F.col("label").alias(name))
         return df.join(mine, node, "left").withColumn(name, F.coalesce(name, node))
