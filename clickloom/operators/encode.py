@@ -392,12 +392,20 @@ def cast_float(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return df.select(*[col(c) if c in keep else col(c).cast("float").alias(c) for c in df.columns])
 
 
+def gathered(cols: Sequence[str], dtype: str) -> Column:
+    """Many columns, cast to ``dtype``, as one array.
+
+    The cast is a function over the array: with one cast for each column, hundreds of columns make
+    a single method of generated code, too long for the JVM to compile, that is interpreted."""
+    return F.transform(F.array(*[col(c) for c in cols]), lambda x: x.cast(dtype))
+
+
 def group_arrays(df: DataFrame, width: int, deep: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """``keep``, the first ``width`` other columns as ``wide``, the named ones as ``deep``, label."""
     wide = [c for c in df.columns if c not in keep][:width]
     return df.select(
         *[col(c) for c in keep],
-        F.array(*[col(c).cast("float") for c in wide]).alias("wide"),
+        gathered(wide, "float").alias("wide"),
         F.array(*[col(d).cast("int") for d in deep]).alias("deep"),
         "label",
     )

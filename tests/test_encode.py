@@ -198,3 +198,22 @@ def test_short_vocabularies_are_literals_in_the_plan(spark, table):
     want = {r.value: r.idx for r in en.string_index(odd, ["s"]).where("name = 's'").collect()}
     for r in rows.collect():
         assert r.slots == ([want[r.s]] if want[r.s] < 5 else [])
+
+
+def wide_table(spark, width=300):
+    columns = [((F.col("id") + i) % 3).cast("double").alias(f"wide_feature_{i}") for i in range(width)]
+    return spark.range(20).select("id", *columns, F.lit(1.0).alias("label"))
+
+
+def compiled_projections(df):
+    """Projections of the plan that are one method of generated code."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "*(" in line and "Project [" in line]
+
+
+def test_arrays_of_many_columns_are_not_one_method(spark):
+    arrays = en.group_arrays(wide_table(spark), 300, [], keep=["id"])
+    assert not [p for p in compiled_projections(arrays) if "wide" in p]
+    row = arrays.where("id = 4").first()
+    assert row.wide == [float((4 + i) % 3) for i in range(300)] and row.label == 1.0
+    assert dict(arrays.dtypes)["wide"] == "array<float>"
