@@ -73,7 +73,7 @@ def names_of(f: Features) -> list[str]:
 
 def line(cols: Sequence[str]) -> Column:
     """Columns that hold whole numbers, as one text."""
-    return F.array_join(F.array(*[col(c).cast("int") for c in cols]).cast("array<string>"), ",")
+    return F.array_join(en.gathered(cols, "int").cast("array<string>"), ",")
 
 
 def told(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

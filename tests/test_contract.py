@@ -5,6 +5,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from clickloom.plans.oracle import ORACLE
@@ -78,3 +79,13 @@ def test_entry_works_without_the_text_operators(tmp_path):
     code = "import __spark_entry__ as c; print(sorted(c.queries()) == sorted(c.QUERIES), set(c.oracle_sql()) == set(c.ORACLE))"
     ran = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
     assert ran.stdout.split() == ["True", "True"], ran.stderr
+
+
+def test_lines_of_many_columns_are_not_one_method(spark):
+    from clickloom.plans.queries import told
+
+    columns = [((F.col("id") + i) % 3).cast("double").alias(f"c{i}") for i in range(300)]
+    lines = told(spark.range(20).select("id", *columns), ["id"])
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert not [p for p in plan.splitlines() if "*(" in p and "array_join" in p]
+    assert lines.where("id = 4").first().line == ",".join(str((4 + i) % 3) for i in range(300))
