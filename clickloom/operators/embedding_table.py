@@ -25,6 +25,8 @@ BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-8
 
 # Rows that are drawn from one seed; bytes of a bucket.
 DRAWN, BUCKET_BYTES = 1024, 64 << 20
+# Values that are moved at once, so that they stay in a processor's cache.
+BLOCK_VALUES = 1 << 15
 TABLE_SCHEMA = "tensor string, row int, values array<float>, m array<float>, v array<float>"
 
 
@@ -74,6 +76,12 @@ def adam_move(p, m, v, grad, rate: float, root: float):
     return rate * m / (np.sqrt(v) / root + EPSILON), m, v
 
 
+def row_blocks(n: int, width: int) -> list[slice]:
+    """Ranges of the rows of a matrix that have about BLOCK_VALUES values each."""
+    size = max(1, BLOCK_VALUES // max(1, width))
+    return [slice(start, min(start + size, n)) for start in range(0, n, size)]
+
+
 def rate_and_root(lr: float, step: int) -> tuple[float, float]:
     return lr / (1 - BETA1**step), (1 - BETA2**step) ** 0.5
 
@@ -83,13 +91,19 @@ def coasted(
 ) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Changes of values and moments without any gradient after each of the rising ``counts`` of
     steps: moments go on moving a row that a worker does not meet."""
-    out, done, start = [], 0, (p, m, v)
-    for count in counts:
-        for _ in range(count - done):
-            done += 1
-            change, m, v = adam_move(p, m, v, np.float32(0), *rate_and_root(lr, steps + done))
-            p = p - change
-        out.append((p - start[0], m - start[1], v - start[2]))
+    out = [tuple(np.zeros_like(x) for x in (p, m, v)) for _ in counts]
+    # a row without moments stays where it is
+    moving = np.flatnonzero(m.any(axis=1) | v.any(axis=1))
+    for block in row_blocks(len(moving), p.shape[1]):
+        rows, done = moving[block], 0
+        start = now = p[rows], m[rows], v[rows]
+        for i, count in enumerate(counts):
+            for _ in range(count - done):
+                done += 1
+                change, *moments = adam_move(*now, np.float32(0), *rate_and_root(lr, steps + done))
+                now = now[0] - change, *moments
+            for whole, new, old in zip(out[i], now, start):
+                whole[rows] = new - old
     return out
 
 

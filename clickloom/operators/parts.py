@@ -69,9 +69,13 @@ def _sum_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros((size, values.shape[1]))
             count, seen = np.zeros(size), np.zeros(size, dtype=bool)
         index = place(batch.column("row").to_numpy(), values.shape[1])[1]
-        np.add.at(total, index, values)
-        np.add.at(count, index, batch.column("n").to_numpy())
-        seen[index] = True
+        # equal rows of different parts are added up first, then each row once
+        order = np.argsort(index, kind="stable")
+        starts = np.flatnonzero(np.diff(index[order], prepend=-1))
+        rows = index[order][starts]
+        total[rows] += np.add.reduceat(values[order].astype(np.float64), starts, axis=0)
+        count[rows] += np.add.reduceat(batch.column("n").to_numpy()[order], starts)
+        seen[rows] = True
     if total is not None:
         kept = np.flatnonzero(seen)
         out = part(tensor, rows_of(block, kept, total.shape[1]), 0.0, total[kept])

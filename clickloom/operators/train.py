@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.operators.embedding_table import (
-    EmbeddingTable, adam_move, drawn_embeddings, rate_and_root,
+    EmbeddingTable, adam_move, drawn_embeddings, rate_and_root, row_blocks,
 )
 from clickloom.operators.encode import Deep
 from clickloom.operators.evaluate import log_loss
@@ -176,7 +176,7 @@ class Adam:
         self.steps += 1
         rate, root = rate_and_root(self.lr, self.steps)
         for t, grad in g.dense.items():
-            self._move(t, slice(None), grad / g.rows, rate, root)
+            self._move(t, None, grad / g.rows, rate, root)
         for t, (index, grad) in g.sparse.items():
             active = np.union1d(self.active[t], index)
             full = np.zeros((len(active), grad.shape[1]), dtype=grad.dtype)
@@ -184,11 +184,13 @@ class Adam:
             self.active[t] = active
             self._move(t, active, full, rate, root)
 
-    def _move(self, t: str, at, grad: np.ndarray, rate: float, root: float) -> None:
-        change, self.m[t][at], self.v[t][at] = adam_move(
-            self.p[t][at], self.m[t][at], self.v[t][at], grad, rate, root
-        )
-        self.p[t][at] -= change
+    def _move(self, t: str, at: np.ndarray | None, grad: np.ndarray, rate: float, root: float) -> None:
+        """Move the rows ``at``, or all, in blocks that stay in a processor's cache."""
+        p, m, v = self.p[t], self.m[t], self.v[t]
+        for block in row_blocks(*grad.shape):
+            rows = block if at is None or len(at) == len(p) else at[block]
+            change, m[rows], v[rows] = adam_move(p[rows], m[rows], v[rows], grad[block], rate, root)
+            p[rows] -= change
 
 
 def _rebatch(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:

@@ -305,3 +305,19 @@ def test_superseded_tables_are_deleted(spark):
     with pytest.raises(Exception, match="exist"):
         spark.read.parquet(first.path)
     assert not spark.catalog.tableExists(first.name)
+
+
+def test_moves_in_blocks_of_rows_are_those_of_all_rows(monkeypatch):
+    from clickloom.operators import embedding_table as et
+
+    rng = np.random.default_rng(5)
+    p, m, v = (rng.random((50, 8), dtype=np.float32) for _ in range(3))
+    m[::3], v[::3] = 0, 0
+    whole = et.coasted(p, m, v, 3, 1e-3, [2, 5])
+    monkeypatch.setattr(et, "BLOCK_VALUES", 64)
+    assert [s.stop - s.start for s in et.row_blocks(50, 8)] == [8] * 6 + [2]
+    for a, b in zip(whole, et.coasted(p, m, v, 3, 1e-3, [2, 5])):
+        assert all((x == y).all() for x, y in zip(a, b)) and not a[0][::3].any() and a[0][1::3].any(axis=1).all()
+    change, m1, v1 = et.adam_move(p, m, v, np.float32(0), *et.rate_and_root(1e-3, 4))
+    one = et.coasted(p, m, v, 3, 1e-3, [1])[0]
+    assert np.allclose(one[0], -change, atol=1e-6) and np.allclose(one[1], m1 - m, atol=1e-6)
