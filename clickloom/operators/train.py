@@ -23,7 +23,7 @@ from clickloom.operators.encode import Deep
 from clickloom.operators.evaluate import log_loss
 from clickloom.operators.lookup import HOT_ROWS
 from clickloom.operators.network import (
-    BROADCAST_BYTES, HIDDEN, Params, collect_parameters, embedding, embedding_bytes,
+    BROADCAST_BYTES, CHUNK_ROWS, HIDDEN, Params, collect_parameters, embedding, embedding_bytes,
     embedding_lookup, gather, init_parameters, layers, matrix, parameter_table, score_table,
     slot_lists, tower,
 )
@@ -36,6 +36,8 @@ log = logging.getLogger(__name__)
 
 # Batches of a worker between two averages, if ``rounds`` is not given.
 ROUND_BATCHES = 16
+# Bytes of embedding gradients of one tensor that a task adds up before it sends them.
+HELD_BYTES = 32 << 20
 # Parts that are no tensors: the summed loss with the row count, the steps taken, and the same
 # loss of each batch, by worker.
 TOTAL, STEPS, LOSS = "total", "steps", "loss:"
@@ -112,13 +114,38 @@ def _inputs(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return matrix(batch.column("deep")), rows, slots, label
 
 
+class _RowSums:
+    """Sums by row of a tensor, held for at most HELD_BYTES of rows at a time."""
+
+    def __init__(self, vocab: int, dim: int):
+        self.place, self.used = np.full(vocab, -1, np.int32), np.zeros(0, np.int64)
+        self.sums = np.zeros((min(vocab, max(CHUNK_ROWS, HELD_BYTES // (8 * dim))), dim))
+
+    def add(self, index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """Add to rows that are all different; what was held before, if there is no room."""
+        full, new = None, index[self.place[index] < 0]
+        if len(self.used) + len(new) > len(self.sums):
+            full, new = self.taken(), index
+        self.place[new] = len(self.used) + np.arange(len(new))
+        self.used = np.r_[self.used, new]
+        self.sums[self.place[index]] += values
+        return full
+
+    def taken(self) -> tuple[np.ndarray, np.ndarray]:
+        """(rows, sums) held; nothing is held after."""
+        out = self.used, self.sums[: len(self.used)].copy()
+        self.place[self.used], self.sums[: len(self.used)], self.used = -1, 0, np.zeros(0, np.int64)
+        return out
+
+
 def batch_gradient(
     df: DataFrame, params: DataFrame, spec: Sequence[Deep], max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(tensor, row, values): gradient of the loss, summed over all rows.
 
     The row ``total`` holds the summed loss and the number of rows.
-    Each task adds up its own rows and returns only the embedding rows it touched.
+    Each task adds up its own rows and returns only the embedding rows it touched; where these are
+    many, it sends them more than once and holds a bounded number of them.
     """
     if embedding_bytes(spec) > max_bytes:
         dense = collect_parameters(params.where(~F.col("tensor").startswith("emb:")))
@@ -131,26 +158,23 @@ def batch_gradient(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = shared.value
         dense: Params = {}
-        sparse = {embedding(n): np.zeros_like(p[embedding(n)], dtype=np.float64) for n in names}
-        touched = {t: np.zeros(len(v), dtype=bool) for t, v in sparse.items()}
+        sparse = {embedding(n): _RowSums(*p[embedding(n)].shape) for n in names}
         n, loss = 0, 0.0
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            deep, rows, slots, label = _inputs(batch)
-            g = gradient(p, names, deep, rows, slots, 1.0, label)
-            for t, v in g.dense.items():
-                dense[t] = dense.get(t, 0) + v.astype(np.float64)
-            for t, (index, v) in g.sparse.items():
-                sparse[t][index] += v
-                touched[t][index] = True
-            n, loss = n + g.rows, loss + g.loss
+            for start in range(0, batch.num_rows, CHUNK_ROWS):
+                deep, rows, slots, label = _inputs(batch.slice(start, CHUNK_ROWS))
+                g = gradient(p, names, deep, rows, slots, 1.0, label)
+                for t, v in g.dense.items():
+                    dense[t] = dense.get(t, 0) + v.astype(np.float64)
+                for t, (index, v) in g.sparse.items():
+                    if (full := sparse[t].add(index, v)) is not None:
+                        yield part(t, full[0], 0, full[1])
+                n, loss = n + g.rows, loss + g.loss
         if n:
             for t, v in dense.items():
                 yield part(t, np.arange(len(v)), n, v)
-            for t, v in sparse.items():
-                index = np.flatnonzero(touched[t])
-                yield part(t, index, n, v[index])
+            for t, held in sparse.items():
+                yield part(t, held.used, n, held.taken()[1])
             yield part(TOTAL, np.array([0]), n, np.array([[loss, n]]))
 
     narrow = df.select("slots", "deep", F.col("label").cast("double").alias("label"))

@@ -307,6 +307,28 @@ def test_superseded_tables_are_deleted(spark):
     assert not spark.catalog.tableExists(first.name)
 
 
+def test_gradient_of_many_rows_holds_a_bounded_number_of_them(spark, monkeypatch):
+    sums = tr._RowSums(5000, 4)
+    monkeypatch.setattr(tr, "HELD_BYTES", 0)
+    small, sent = tr._RowSums(5000, 4), []
+    rng = np.random.default_rng(3)
+    for _ in range(6):
+        index = rng.permutation(5000)[:2000]
+        values = rng.integers(0, 9, (2000, 4)).astype(np.float32)
+        assert sums.add(index, values) is None
+        if (full := small.add(index, values)) is not None:
+            sent.append(full)
+    assert len(small.sums) == tr.CHUNK_ROWS and sent
+    total = np.zeros((5000, 4))
+    for index, values in [*sent, small.taken()]:
+        assert len(index) <= tr.CHUNK_ROWS and len(set(index)) == len(index)
+        total[index] += values
+    whole = np.zeros((5000, 4))
+    index, values = sums.taken()
+    whole[index] = values
+    assert (total == whole).all() and len(small.taken()[0]) == 0
+
+
 def test_moves_in_blocks_of_rows_are_those_of_all_rows(monkeypatch):
     from clickloom.operators import embedding_table as et
 
