@@ -27,6 +27,8 @@ from clickloom.sources.features_io import PARAMETER_SCHEMA
 HIDDEN = (512, 256, 128)
 # Embedding bytes that may be sent to every executor.
 BROADCAST_BYTES = 256 * 1024 * 1024
+# Rows that a Python worker takes through the network at once.
+CHUNK_ROWS = 2048
 
 Params = dict[str, np.ndarray]
 
@@ -228,6 +230,8 @@ def score_table(
     shuffle. Larger tables are joined column by column.
     """
     if embedding_bytes(spec) > max_bytes:
+        if isinstance(params, dict):
+            params = parameter_table(df.sparkSession, params)
         embedded = embedding_lookup(df, params, spec, max_bytes)
         scored = logit(deep_tower(embedded, params), params)
     else:
@@ -238,10 +242,12 @@ def score_table(
 
         @F.arrow_udf(T.DoubleType())
         def run(slots: pa.Array, deep: pa.Array) -> pa.Array:
-            p = shared.value
-            top = tower(p, gather(p, names, matrix(deep)))[-1]
-            rows, active = slot_lists(slots)
-            return pa.array(head(p, rows, active, 1.0, top).astype(np.float64))
+            p, found = shared.value, np.empty(len(deep))
+            for start in range(0, len(deep), CHUNK_ROWS):
+                top = tower(p, gather(p, names, matrix(deep.slice(start, CHUNK_ROWS))))[-1]
+                rows, active = slot_lists(slots.slice(start, CHUNK_ROWS))
+                found[start : start + CHUNK_ROWS] = head(p, rows, active, 1.0, top)
+            return pa.array(found)
 
         scored = df.withColumn("logit", run(F.col("slots"), F.col("deep")))
     return scored.select(

@@ -19,7 +19,7 @@ from clickloom.operators import split as sp
 from clickloom.operators import train as tr
 from clickloom.operators.ordering import with_row_index
 from clickloom.plans.feature_job import DEEP_DIMS, Features, featurize
-from clickloom.plans.formula_network import CYCLE, formula_parameters, formula_table
+from clickloom.plans.formula_network import CYCLE, formula_table
 from clickloom.plans.impression_view import enriched, impressions
 from clickloom.session import col, freeze, scratch_dir
 from clickloom.sources import features_io as io
@@ -473,7 +473,7 @@ def wide_deep_logit(spark, folder):
 @query
 def score_table(spark, folder):
     f = features(spark, folder)
-    return _scores(nw.score_table(f.rows, formula_parameters(f.encoding.spec, f.encoding.wide_dim), f.encoding.spec))
+    return _scores(nw.score_table(f.rows, formula(spark, f), f.encoding.spec))
 
 
 @query
@@ -518,8 +518,7 @@ def train_rounds(spark, folder):
 @query
 def validate(spark, folder):
     f, _, held_out = _split_rows(spark, folder)
-    params = formula_parameters(f.encoding.spec, f.encoding.wide_dim)
-    return tr.validate(held_out, params, f.encoding.spec).select(F.round("log_loss", 9).alias("log_loss"))
+    return tr.validate(held_out, formula(spark, f), f.encoding.spec).select(F.round("log_loss", 9).alias("log_loss"))
 
 
 @query

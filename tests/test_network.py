@@ -117,3 +117,18 @@ def test_gradient_does_not_depend_on_tasks(spark, params):
     one, many = key(tr.batch_gradient(df, table, SPEC, 1)), key(tr.batch_gradient(df, table, SPEC, 3))
     assert one.keys() == many.keys()
     assert all(np.allclose(one[k], many[k], atol=1e-3) for k in one)
+
+
+def test_weights_held_by_the_driver_are_scored_beyond_the_bound(spark):
+    from clickloom.plans.formula_network import formula_parameters, formula_table
+
+    spec = [Deep("a", 1500, 8), Deep("b", 3, 4)]
+    df = spark.range(50).selectExpr(
+        "id", "1.0D as label", "array(cast(id % 7 as int)) as slots", "array(cast(id * 29 as int), cast(id % 3 as int)) as deep"
+    )
+    params = formula_parameters(spec, 7)
+    made = nw.collect_parameters(formula_table(spark, spec, 7))
+    assert made.keys() == params.keys() and all((made[t] == params[t]).all() for t in params)
+    near = {r.id: r.logit for r in nw.score_table(df, params, spec).collect()}
+    far = {r.id: r.logit for r in nw.score_table(df, params, spec, max_bytes=1).collect()}
+    assert near == far and len(near) == 50
