@@ -14,6 +14,8 @@ HOT_ROWS = 1000
 SPREAD = 1 << 16
 # Bytes of the answers to frequent keys that are broadcast.
 HEAVY_BYTES = 128 << 20
+# Bytes of rows or answers that one task joins.
+TASK_BYTES = 64 << 20
 
 
 def rank_lookup(
@@ -73,8 +75,10 @@ def long_lookup(
     All columns are looked up at once, in long form: (row, column, key). Keys that very many rows
     hold are found by counting, whether the table holds them or not; their answers are broadcast,
     at most ``max_bytes`` of them at ``value_bytes`` each, and the number of rows of any other key
-    is bounded. Only the rows' numbers and other keys meet the table; the rows themselves move
-    once, to their answers. They are written first, so that their numbers stay.
+    is bounded. The number of partitions follows the answers' bytes, so that a task holds about
+    TASK_BYTES of them, however many rows there are. Only the rows' numbers and other keys meet the
+    table; the rows themselves move once, to their answers. They are written first, so that their
+    numbers stay.
     """
     names = list(keys)
     numbered = df.select(
@@ -91,16 +95,24 @@ def long_lookup(
         place.cast("int").alias("__i"), F.col("key").alias("__key"), F.col("value").alias("__v")
     ).where("__i >= 0")
     met = freeze(entry.join(F.broadcast(heavy), ["__i", "__key"]))
-    rest = long.join(F.broadcast(heavy), ["__i", "__key"], "left_anti").join(entry, ["__i", "__key"])
-    answers = rest.groupBy("__row").agg(
+    other = long.join(F.broadcast(heavy), ["__i", "__key"], "left_anti")
+    parts = _partitions(rows, len(names) * value_bytes)
+    found = other.repartition(parts, "__i", "__key").join(entry.repartition(parts, "__i", "__key"), ["__i", "__key"])
+    answers = found.repartition(parts, "__row").groupBy("__row").agg(
         F.map_from_entries(F.collect_list(F.struct("__i", "__v"))).alias("__answers")
     )
-    out, found = rows, []
+    out, values = rows.repartition(parts, "__row").join(answers, "__row", "left"), []
     for i, name in enumerate(names):
         mine = met.where(F.col("__i") == i).select(F.col("__key").alias(f"__h{i}"), F.col("__v").alias(f"__v{i}"))
         out = out.join(F.broadcast(mine), col(f"__k{i}") == col(f"__h{i}"), "left")
-        found.append(F.coalesce(col(f"__v{i}"), F.col("__answers")[i]).alias(name))
-    return out.join(answers, "__row", "left").select(*[col(c) for c in df.columns], *found)
+        values.append(F.coalesce(col(f"__v{i}"), F.col("__answers")[i]).alias(name))
+    return out.select(*[col(c) for c in df.columns], *values)
+
+
+def _partitions(rows: DataFrame, answer_bytes: int) -> int:
+    """Partitions in which the answers of a row take ``answer_bytes``."""
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-rows.count() * answer_bytes // TASK_BYTES))
 
 
 def _most_rows(counts: DataFrame, value_bytes: int, max_bytes: int) -> int:

@@ -68,3 +68,13 @@ def test_vocabularies_are_bound_in_bytes(spark, monkeypatch):
     monkeypatch.setattr(en, "BROADCAST_BYTES", 12_000)
     assert not fitted.is_broadcast("long") and fitted.is_broadcast("short")
     assert sorted(map(tuple, fitted.index(df).collect())) == want
+
+
+def test_partitions_follow_the_bytes_of_the_answers(spark, monkeypatch):
+    from clickloom.operators import lookup
+
+    monkeypatch.setattr(lookup, "TASK_BYTES", 9000 * 2 * 8 // 40, raising=False)
+    found = long_lookup(many_rows(spark), {"a": F.col("k"), "b": F.col("name")}, entries(spark), 8)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(__row" in plan and ", 40), REPARTITION_BY_NUM" in plan
+    assert found.where("a is not null").count() == sum(i % 3 == 1 or i % 3 == 2 and i % 30 != 2 for i in range(9000))
