@@ -15,6 +15,12 @@ lies within 0.2 of the member's own distance from the pivot, so it leaves the re
 text of another component stands in that window; members near the boundary and far members stay,
 and the region is joined again with new pivots, four times as many, until one component or
 few texts are left. Equal sets are one text throughout.
+
+The place of a region's shingle in a text's prefix bounds what the text can share in it: with the
+first common shingle at place i of n, counted from 0, at most n - i are common. That gives the
+size of the largest partner, and a text leaves a large region when no text of another component
+there is small enough for it and reaches it in turn. Texts with many shingles of their own thus
+leave groups of near copies before anything is measured.
 """
 
 from __future__ import annotations
@@ -67,6 +73,11 @@ def prefix_length(n):
     return n - (4 * n + 4) // 5 + 1
 
 
+def reach(n: str, i: str):
+    """The most shingles of a text that can link to one of ``n`` whose first common one is at ``i``."""
+    return F.expr(f"(5 * {n} - 9 * {i}) div 4")
+
+
 def digest(hashes: np.ndarray) -> tuple[int, int]:
     raw = hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
     return tuple(np.frombuffer(raw, np.int64).tolist())
@@ -235,72 +246,102 @@ class _Links:
         return both.where("la <> lb").select("a", "b")
 
 
-def _pairs(members: DataFrame) -> DataFrame:
-    """Pairs of similar size within regions of at most SMALL members (s, rep, n, cut, big)."""
+def _pairs(members: DataFrame, fields: list[str], condition: str) -> DataFrame:
+    """Pairs (a, b, x, y) within regions of at most SMALL members (s, rep, fields) for which the
+    condition on x and y holds."""
     return (
-        members.groupBy("s").agg(F.collect_list(F.struct("rep", "n", "cut", "big")).alias("m"))
+        members.groupBy("s").agg(F.collect_list(F.struct("rep", *fields)).alias("m"))
         .select(F.explode("m").alias("x"), "m")
-        .select("x", F.explode(F.expr(
-            "filter(m, y -> y.rep > x.rep and 5 * least(x.n, y.n) >= 4 * greatest(x.n, y.n))"
-        )).alias("y"))
+        .select("x", F.explode(F.expr(f"filter(m, y -> y.rep > x.rep and {condition})")).alias("y"))
         .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), "x", "y")
     )
 
 
 def _small_pairs(regions: DataFrame) -> DataFrame:
     """Pairs of the small regions that may still reach 80 %: the shingles common to both
-    prefixes are known, and beyond the prefix that ends first only its text's rest is left."""
-    rest = lambda k: f"(n{k} - (n{k} - (4 * n{k} + 4) div 5 + 1))"
+    prefixes are known, and beyond the prefix that ends first only its text's rest is left.
+    Pairs of which one stands in too few small regions for that are left out before counting."""
+    rest = lambda k: f"((4 * {k}.n + 4) div 5 - 1)"
+    lacks = f"""(4 * (x.n + y.n) - 9 * (least(x.big, y.big) + case when x.cut < y.cut then {rest('x')}
+        when y.cut < x.cut then {rest('y')} else greatest({rest('x')}, {rest('y')}) end))"""
+    alike = "5 * least(x.n, y.n) >= 4 * greatest(x.n, y.n)"
     return (
-        _pairs(regions)
-        .groupBy("a", "b")
-        .agg(F.count("*").alias("common"), *[
-            F.max(f"{c}.{v}").alias(f"{v}{k}") for c, k in (("x", "a"), ("y", "b")) for v in ("n", "cut", "big")
-        ])
-        .where(f"""9 * (common + least(biga, bigb) + case when cuta < cutb then {rest('a')}
-            when cutb < cuta then {rest('b')} else greatest({rest('a')}, {rest('b')}) end) >= 4 * (na + nb)""")
-        .select("a", "b")
+        _pairs(regions, ["n", "cut", "big", "few"], f"{alike} and 9 * least(x.few, y.few) >= {lacks}")
+        .groupBy("a", "b").agg(F.count("*").alias("common"), F.max(F.expr(lacks)).alias("lacks"))
+        .where("9 * common >= lacks").select("a", "b")
+    )
+
+
+def _with_partners(members: DataFrame) -> DataFrame:
+    """The members (s, rep, n, reach, c) that a text of another component may link to in their
+    region. Of the components other than the largest a text also counts for itself."""
+    mine = Window.partitionBy("s")
+    marked = (
+        members.withColumn("same", F.struct(F.count("*").over(Window.partitionBy("s", "c")).alias("n"), "c"))
+        .withColumn("largest", F.max("same").over(mine)["c"])
+    )
+    # each text stands at its size, and asks at its reach for the farthest reach up to there
+    up_to = mine.orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    farthest = lambda which: F.max(F.expr(f"if(asks or not ({which}), null, reach)")).over(up_to)
+    both = F.array(
+        F.struct(F.col("n").alias("at"), F.lit(False).alias("asks")),
+        F.struct(F.col("reach").alias("at"), F.lit(True).alias("asks")),
+    )
+    return (
+        marked.withColumn("p", F.explode(both)).select("s", "rep", "n", "reach", "c", "largest", "p.*")
+        .withColumn("inside", farthest("c = largest")).withColumn("outside", farthest("c <> largest"))
+        .where("asks and (outside >= n or c <> largest and inside >= n)")
+        .select("s", "rep", "n", "reach", "c")
     )
 
 
 def _join_large(regions: DataFrame, links: _Links) -> list[DataFrame]:
-    """Joins regions (s, rep, n) of more than SMALL members, round by round. Returns the pairs
+    """Joins regions (s, rep, n, i) of more than SMALL members, round by round. Returns the pairs
     that regions shrunk to few members leave to be measured."""
     left = []
     # regions of the same members are one
     mark = [F.bit_xor(F.xxhash64("rep", F.lit(k))).alias(f"mark{k}") for k in (1, 2)]
     marks = regions.groupBy("s").agg(F.count("*").alias("size"), *mark)
-    one = marks.groupBy("size", "mark1", "mark2").agg(F.min("s").alias("s")).select("s")
-    regions, round_ = freeze(regions.join(one, "s", "left_semi")), 0
+    one = marks.select("s", F.min("s").over(Window.partitionBy("size", "mark1", "mark2")).alias("one"))
+    regions, round_ = freeze(
+        regions.join(one, "s").groupBy(F.col("one").alias("s"), "rep")
+        .agg(F.max("n").alias("n"), F.min("i").alias("i"))
+        .select("s", "rep", "n", "i", reach("n", "i").alias("reach"))
+    ), 0
     while True:
         # members outside the region's largest component are its pivots if they are few, for then
-        # nothing is left to measure; else pivots are drawn at random, the same ones in all regions
+        # nothing is left to measure; else some have the region's shingle first, which the least
+        # changed of near copies do, and some are drawn at random, the same ones in all regions
         mine, turn = Window.partitionBy("s"), F.xxhash64("rep", F.lit(round_))
         pivots = PIVOTS << 2 * round_
+        first = max(1, pivots // 4)
         members = freeze(
-            links.labelled(regions, "rep", "c")
+            _with_partners(links.labelled(regions, "rep", "c"))
             .withColumn("members", F.count("*").over(mine))
             .withColumn("same", F.struct(F.count("*").over(Window.partitionBy("s", "c")).alias("n"), "c"))
             .withColumn("largest", F.max("same").over(mine))
             .withColumn("others", F.col("members") - F.col("largest.n")).where("others > 0")
-            .withColumn("pivot", F.when(F.col("others") <= pivots, F.col("c") != F.col("largest.c"))
-                        .otherwise(F.row_number().over(mine.orderBy(turn)) <= pivots))
-            .select("s", "rep", "n", "c", "members", "pivot")
+            .withColumn("all", F.col("others") <= pivots)
+            .withColumn("pivot", F.when(F.col("all"), F.col("c") != F.col("largest.c")).otherwise(
+                (F.row_number().over(mine.orderBy(F.expr("4 * reach - 5 * n").desc(), turn)) <= first)
+                | (F.row_number().over(mine.orderBy(turn)) <= pivots - first)))
+            .select("s", "rep", "n", "reach", "c", "members", "all", "pivot")
         )
         if members.isEmpty():
             return left
-        few, zero = members.where(F.col("members") <= SMALL), F.lit(0)
-        pairs = _pairs(few.select("s", "rep", "n", zero.alias("cut"), zero.alias("big")))
+        few = members.where(F.col("members") <= SMALL)
+        pairs = _pairs(few, ["n", "reach", "c"], "x.c <> y.c and x.n <= y.reach and y.n <= x.reach")
         left.append(freeze(pairs.select("a", "b").distinct()))
         all_members, members = members, members.where(F.col("members") > SMALL)
         if members.isEmpty():
             return left
         chosen = members.where("pivot").select(
-            "s", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca")
+            "s", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("reach").alias("ra"), F.col("c").alias("ca")
         )
-        # pairs known to be connected need no measure
+        # pairs known to be connected need no measure; nor, where no windows follow, those out of reach
         near = links.measure(
-            members.join(chosen, "s").where("c <> ca and 5 * least(n, na) >= 3 * greatest(n, na)")
+            members.join(chosen, "s")
+            .where("c <> ca and if(all, n <= ra and na <= reach, 5 * least(n, na) >= 3 * greatest(n, na))")
             .select("a", F.col("rep").alias("b")).distinct()
         )
         # the nearest pivot of a member whose window holds no text of another component
@@ -313,7 +354,9 @@ def _join_large(regions: DataFrame, links: _Links) -> list[DataFrame]:
         )
         done = members.where("not pivot").join(home, "rep").join(chosen, ["s", "a"], "left_semi").select("s", "rep")
         before = regions
-        regions = freeze(members.where("not pivot").select("s", "rep", "n").join(done, ["s", "rep"], "left_anti"))
+        regions = freeze(
+            members.where("not pivot").select("s", "rep", "n", "reach").join(done, ["s", "rep"], "left_anti")
+        )
         for table in (before, all_members):
             discard(table)
         round_ += 1
@@ -330,11 +373,14 @@ def join_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.min("rid").alias("rep"), F.max("n").alias("n"), F.max("cut").alias("cut"), F.first("prefix").alias("prefix")
     )
     regions = (
-        prefixes.select("rep", "n", "cut", F.explode("prefix").alias("s"))
+        prefixes.select("rep", "n", "cut", F.posexplode("prefix").alias("i", "s"))
         .withColumn("members", F.count("*").over(Window.partitionBy("s"))).where("members > 1")
     )
-    large = F.col("members") > SMALL
-    regions = freeze(regions.withColumn("big", F.sum(large.cast("int")).over(Window.partitionBy("rep"))))
+    large, mine = F.col("members") > SMALL, Window.partitionBy("rep")
+    regions = freeze(
+        regions.withColumn("big", F.sum(large.cast("int")).over(mine))
+        .withColumn("few", F.count("*").over(mine) - F.col("big"))
+    )
     narrow = freeze(rows.select("doc_id", "n", "d1", "d2"))
     discard(rows)
     small = freeze(_small_pairs(regions.where(~large)))
@@ -344,7 +390,7 @@ def join_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     needed = freeze(wanted.distinct().join(classes.select("rep", "first.doc_id", "d1", "d2"), "rep"))
     sets = _sets(docs, needed)
     links = _Links(docs.sparkSession, sets)
-    for pairs in _join_large(regions.where(large).select("s", "rep", "n"), links):
+    for pairs in _join_large(regions.where(large).select("s", "rep", "n", "i"), links):
         small = small.union(pairs)
     # one partner each first: most other pairs are then connected already
     first = links.apart(small.groupBy("b").agg(F.min("a").alias("a")))

@@ -1,10 +1,12 @@
 import re
 from collections import defaultdict
+from random import Random
 
 import pytest
 
 from clickloom.llm import jaccard
 from clickloom.llm.components import components
+from clickloom.session import freeze
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -71,6 +73,34 @@ def test_large_regions_are_joined_by_pivots(spark, monkeypatch):
     assert found(spark.createDataFrame(rows, "doc_id bigint, text string")) == plain_components(rows)
 
 
+def edited_rows(n):
+    """A text, copies of it with one to six words changed, and some cut short."""
+    random, rows = Random(7), []
+    words = [f"w{i}" for i in range(120)]
+    for k in range(n):
+        copy = list(words)
+        for at in random.sample(range(len(copy)), k and 1 + k % 6):
+            copy[at] = random.choice(["the", "and", "of", "in", f"own{k}"])
+        rows.append((k, " ".join(copy[: -random.randrange(1, 25)] if k % 10 == 9 else copy)))
+    return rows
+
+
+def test_near_copies_measure_few_pairs(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SMALL", 16)
+    monkeypatch.setattr(jaccard, "PIVOTS", 4)
+    measured, measure = [], jaccard._Links.measure
+
+    def counted(links, pairs):
+        pairs = freeze(pairs)
+        measured.append(pairs.count())
+        return measure(links, pairs)
+
+    monkeypatch.setattr(jaccard._Links, "measure", counted)
+    rows = edited_rows(240)
+    assert found(spark.createDataFrame(rows, "doc_id bigint, text string")) == plain_components(rows)
+    assert sum(measured) < 12 * len(rows)
+
+
 def test_one_of_each_component_stays(odd, none, documents):
     kept = jaccard.keep_one(odd)
     assert kept.columns == odd.columns
