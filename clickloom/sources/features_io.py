@@ -4,12 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickloom.session import col
+
 PARAMETER_SCHEMA = "tensor string, row int, values array<float>"
 
 
+def number_text(name: str) -> Column:
+    """A column of doubles as the text that CSV has for it. Zero and one, most of what feature
+    rows hold, are literals, for printing a double costs more than all else of writing it."""
+    x = col(name)
+    zero = (x == 0) & (F.pow(x, F.lit(-1.0)) > 0)  # not -0.0
+    return F.when(zero, "0.0").when(x == 1, "1.0").otherwise(x.cast("string")).alias(name)
+
+
 def write_features(df: DataFrame, path: str, n_files: int | None = None) -> None:
     """Headerless CSV that replaces ``path``.
 
@@ -17,6 +28,8 @@ def write_features(df: DataFrame, path: str, n_files: int | None = None) -> None
     the rows are spread over that many files; one file means one task, as asked for.
     """
     laid = df if n_files is None else df.repartition(n_files)
+    if len({n.lower() for n in df.columns}) == len(df.columns):  # else a name does not tell a column
+        laid = laid.select(*[number_text(n) if t == "double" else col(n) for n, t in df.dtypes])
     laid.write.mode("overwrite").csv(path)
 
 

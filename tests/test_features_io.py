@@ -56,3 +56,14 @@ def test_frozen_tables_lie_in_the_shared_folder(spark):
     folder = urlparse(root).path
     files = df.inputFiles()
     assert files and all(urlparse(f).path.startswith(folder) for f in files)
+
+
+def test_numbers_are_written_as_spark_prints_them(spark, tmp_path):
+    odd = [0.0, -0.0, 1.0, -1.0, None, float("nan"), float("inf"), float("-inf"), 1e-7, 1e22, 5e-324, 0.1]
+    df = spark.createDataFrame([(v, i, 'a,"b') for i, v in enumerate(odd)], "`a.b` double, n int, t string")
+    texts = [r[0] for r in df.select(io.number_text("a.b"), "n").orderBy("n").collect()]
+    assert texts[:5] == ["0.0", "-0.0", "1.0", "-1.0", None]
+    io.write_features(df, f"{tmp_path}/ours")
+    df.write.csv(f"{tmp_path}/plain")
+    ours, plain = (sorted(r.value for r in spark.read.text(f"{tmp_path}/{k}").collect()) for k in ("ours", "plain"))
+    assert ours == plain
