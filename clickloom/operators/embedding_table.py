@@ -2,7 +2,8 @@
 
 The table is written in buckets by (tensor, row). Whatever is joined to it goes to the buckets;
 the table itself is not shuffled, neither to look up the rows that a round touches nor to write
-them back.
+them back. Values and moments of a row are the bytes of one vector: Spark moves them as a whole,
+and only Python looks inside.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.operators.encode import Deep
-from clickloom.operators.network import embedding, embedding_bytes, list_array, matrix
+from clickloom.operators.network import embedding, embedding_bytes, list_array, matrix, packed_array
 from clickloom.session import discard, scratch_dir, ship_package
 
 # Adam's decay rates and divisor guard.
@@ -28,6 +29,12 @@ DRAWN, BUCKET_BYTES = 1024, 64 << 20
 # Values that are moved at once, so that they stay in a processor's cache.
 BLOCK_VALUES = 1 << 15
 TABLE_SCHEMA = "tensor string, row int, values array<float>, m array<float>, v array<float>"
+# As written: rows of the table (``state``: values, m and v) and, apart from them, sums of what else
+# a round sent, with the row count ``n``.
+STORED_SCHEMA = "tensor string, row int, n double, state binary, kind string"
+STATE, SUM = "state", "sum"
+# Neglected share of the steps that are taken without any gradient.
+COAST_ERROR = 1e-9
 
 
 def drawn_rows(seed: int, tensor: str, block: int, dim: int) -> np.ndarray:
@@ -46,8 +53,41 @@ def drawn_embeddings(spec: Sequence[Deep], seed: int) -> dict[str, np.ndarray]:
     return made
 
 
+def stored(tensor: pa.Array, row: pa.Array, state: np.ndarray, n=None, kind: str = STATE) -> pa.RecordBatch:
+    size = len(state)
+    return pa.RecordBatch.from_arrays(
+        [tensor, row, pa.nulls(size, pa.float64()) if n is None else pa.array(n), packed_array(state), pa.array([kind] * size, pa.string())],
+        names=["tensor", "row", "n", "state", "kind"],
+    )
+
+
+def unpacked(df: DataFrame, names: Sequence[str] = ("values", "m", "v")) -> DataFrame:
+    """(tensor, row, names) of rows (tensor, row, state), as arrays; what is not named of values, m
+    and v is left out."""
+    places = [("values", "m", "v").index(n) for n in names]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tensors = batch.column("tensor").to_numpy(zero_copy_only=False)
+            for tensor in sorted(set(tensors)):
+                rows = batch.take(pa.array(np.flatnonzero(tensors == tensor)))
+                thirds = np.split(matrix(rows.column("state")), 3, axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("tensor"), rows.column("row"), *[list_array(thirds[i]) for i in places]],
+                    names=["tensor", "row", *names],
+                )
+
+    fields = ", ".join(["tensor string, row int", *[f"{n} array<float>" for n in names]])
+    return df.select("tensor", "row", "state").mapInArrow(run, fields)
+
+
 def init_embeddings(spark: SparkSession, spec: Sequence[Deep], seed: int = 42) -> DataFrame:
     """(tensor, row, values, m, v): the same first values and zero moments, made where they lie."""
+    return unpacked(drawn_states(spark, spec, seed))
+
+
+def drawn_states(spark: SparkSession, spec: Sequence[Deep], seed: int) -> DataFrame:
+    """The same as rows of ``STORED_SCHEMA``."""
     ship_package(spark)
     sizes = [(embedding(d.name), d.vocab, d.dim) for d in spec]
     starts = np.cumsum([0, *[-(-vocab // DRAWN) for _, vocab, _ in sizes]])
@@ -59,14 +99,12 @@ def init_embeddings(spark: SparkSession, spec: Sequence[Deep], seed: int = 42) -
                 tensor, vocab, dim = sizes[k]
                 first = (at - int(starts[k])) * DRAWN
                 values = drawn_rows(seed, tensor, at - int(starts[k]), dim)[: vocab - first]
-                n, zeros = len(values), list_array(np.zeros_like(values))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([tensor] * n), pa.array(np.arange(first, first + n, dtype=np.int32)),
-                     list_array(values), zeros, zeros],
-                    names=["tensor", "row", "values", "m", "v"],
-                )
+                n = len(values)
+                state = np.zeros((n, 3 * dim), np.float32)
+                state[:, :dim] = values
+                yield stored(pa.array([tensor] * n), pa.array(np.arange(first, first + n, dtype=np.int32)), state)
 
-    return spark.range(int(starts[-1])).mapInArrow(run, TABLE_SCHEMA)
+    return spark.range(int(starts[-1])).mapInArrow(run, STORED_SCHEMA)
 
 
 def adam_move(p, m, v, grad, rate: float, root: float):
@@ -86,27 +124,101 @@ def rate_and_root(lr: float, step: int) -> tuple[float, float]:
     return lr / (1 - BETA1**step), (1 - BETA2**step) ** 0.5
 
 
+class Coasting:
+    """``count`` steps without any gradient, from step ``steps`` on, at once.
+
+    Step j takes a_j * m / (b_j * sqrt(v) + EPSILON) from a value, of the moments before the first.
+    The b_j are alike: their mean b is put in place of them and the sum is a polynomial in
+    b * sqrt(v) / (b * sqrt(v) + EPSILON), which lies between 0 and 1. It has as many terms as leave
+    no more than COAST_ERROR of the sum; where these would be no fewer than steps, the steps
+    themselves are added up.
+    """
+
+    def __init__(self, steps: int, lr: float, count: int):
+        self.decay = BETA1**count, BETA2**count
+        met = [rate_and_root(lr, steps + j) for j in range(1, count + 1)]
+        self.a = [rate * BETA1**j for j, (rate, _) in enumerate(met, 1)]
+        self.b = [BETA2 ** (j / 2) / root for j, (_, root) in enumerate(met, 1)]
+        total = sum(self.a)
+        self.mean = sum(a * b for a, b in zip(self.a, self.b)) / total if total else 1.0
+        off = [b / self.mean - 1 for b in self.b]
+        far, self.terms = max(map(abs, off), default=0.0), None
+        for n in range(1, count - 1):
+            left = sum(a * abs(x) ** n for a, x in zip(self.a, off))
+            if far < 1 and left <= COAST_ERROR * (1 - far) * total:
+                self.terms = [sum(a * (-x) ** k for a, x in zip(self.a, off)) for k in range(n)]
+                break
+
+    def taken(self, m: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """What the steps take from the values."""
+        root = np.sqrt(v)
+        if self.terms is None:
+            share = np.zeros_like(root)
+            for a, b in zip(self.a, self.b):
+                share += a / (b * root + EPSILON)
+            return share * m
+        root *= self.mean
+        below = root + EPSILON
+        root /= below
+        share = np.full_like(root, self.terms[-1])
+        for term in self.terms[-2::-1]:
+            share *= root
+            share += term
+        share *= m
+        share /= below
+        return share
+
+    def move(self, p: np.ndarray, m: np.ndarray, v: np.ndarray) -> None:
+        p -= self.taken(m, v)
+        m *= self.decay[0]
+        v *= self.decay[1]
+
+
 def coasted(
     p: np.ndarray, m: np.ndarray, v: np.ndarray, steps: int, lr: float, counts: Sequence[int]
 ) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Changes of values and moments without any gradient after each of the rising ``counts`` of
     steps: moments go on moving a row that a worker does not meet."""
     out = [tuple(np.zeros_like(x) for x in (p, m, v)) for _ in counts]
+    plans = [Coasting(steps, lr, count) for count in counts]
     # a row without moments stays where it is
     moving = np.flatnonzero(m.any(axis=1) | v.any(axis=1))
     for block in row_blocks(len(moving), p.shape[1]):
-        rows, done = moving[block], 0
-        start = now = p[rows], m[rows], v[rows]
-        for i, count in enumerate(counts):
-            for _ in range(count - done):
-                done += 1
-                change, *moments = adam_move(*now, np.float32(0), *rate_and_root(lr, steps + done))
-                now = now[0] - change, *moments
-            for whole, new, old in zip(out[i], now, start):
-                whole[rows] = new - old
+        rows = moving[block]
+        some = m[rows], v[rows]
+        for plan, (dp, dm, dv) in zip(plans, out):
+            dp[rows] = -plan.taken(*some)
+            dm[rows], dv[rows] = some[0] * (plan.decay[0] - 1), some[1] * (plan.decay[1] - 1)
     return out
 
 
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, sorted by tensor and row, in batches that do not part equal ones."""
+    held = None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        if held is not None:
+            batch = pa.concat_batches([held, batch])
+        row, tensor = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("row", "tensor"))
+        ended = np.flatnonzero((row != row[-1]) | (tensor != tensor[-1]))
+        cut = ended[-1] + 1 if len(ended) else 0
+        if cut:
+            yield batch.slice(0, cut)
+        held = batch.slice(cut)
+    if held is not None:
+        yield held
+
+
+def _added(first: np.ndarray, number: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Sums of ``number`` rows of ``values`` from ``first`` on."""
+    total = np.zeros((len(number), values.shape[1]))
+    for k in range(number.max(initial=0)):
+        at = np.flatnonzero(number > k)
+        total[at] += values[first[at] + k]
+    return total
+
+
 class EmbeddingTable:
     """Rows (tensor, row, values, m, v) in buckets; each round makes a new one."""
 
@@ -114,58 +226,101 @@ class EmbeddingTable:
         self.spark, self.buckets = df.sparkSession, buckets
         self.name, self.path = f"clickloom_{uuid.uuid4().hex}", scratch_dir(df.sparkSession)
         rows = df if dealt else df.repartition(buckets, "tensor", "row")
-        rows.write.bucketBy(buckets, "tensor", "row").option("path", self.path).format("parquet").saveAsTable(self.name)
-        self.rows = self.spark.table(self.name)
-        self.rows.frozen_path = self.path
+        # bytes of floats neither repeat nor shrink
+        plain = {"compression": "none", "parquet.enable.dictionary": "false", "path": self.path}
+        writer = rows.write.partitionBy("kind").bucketBy(buckets, "tensor", "row").options(**plain)
+        writer.format("parquet").saveAsTable(self.name)
+        self.states = self.spark.table(self.name).where(F.col("kind") == STATE).select("tensor", "row", "state")
+        self.states.frozen_path = self.path
+        self.rows = unpacked(self.states)
 
     @classmethod
     def drawn(cls, spark: SparkSession, spec: Sequence[Deep], seed: int) -> EmbeddingTable:
         least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        return cls(init_embeddings(spark, spec, seed), max(least, -(-3 * embedding_bytes(spec) // BUCKET_BYTES)))
+        return cls(drawn_states(spark, spec, seed), max(least, -(-3 * embedding_bytes(spec) // BUCKET_BYTES)))
+
+    def values(self) -> DataFrame:
+        return unpacked(self.states, ["values"])
+
+    def sums(self) -> DataFrame:
+        """(tensor, row, n, values), packed: sums of the parts of ``moved`` that are no rows of the table."""
+        found = self.spark.table(self.name).where(F.col("kind") == SUM)
+        return found.select("tensor", "row", "n", F.col("state").alias("values"))
 
     def drop(self) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
-        discard(self.rows)
+        discard(self.states)
 
     def touched(self, keys: DataFrame) -> DataFrame:
-        """The rows of ``keys`` (tensor, row, ...) with values and moments."""
-        return keys.join(self.rows.hint("merge"), ["tensor", "row"])
+        """The rows of ``keys`` (tensor, row, ...) with ``state``: values and moments, packed."""
+        return keys.join(self.states.hint("merge"), ["tensor", "row"])
 
     def moved(self, sums: DataFrame, steps: int, lr: float, weights: dict[int, float]) -> EmbeddingTable:
         """The table after a round in which workers with ``weights[k]`` rows in all took k steps
         from step ``steps`` on.
 
         ``sums`` holds (tensor, row, values) of the rows met: the changes of values, m and v, times
-        the rows of the worker, summed, then the rows of the workers that met the row, for each k
-        in rising order. Workers that did not meet a row moved it by its moments alone.
+        the rows of the worker, then the rows of the workers that met the row, for each k in rising
+        order; summed, or some parts of the sum. Workers that did not meet a row moved it by its
+        moments alone. What is no row of the table is added up (and ``n``, if there is one) and kept
+        beside it for ``sums``.
         """
         counts = sorted(weights)
         all_rows = np.array([weights[k] for k in counts])
         total = all_rows.sum()
+        plans = [Coasting(steps, lr, k) for k in counts]
+
+        def moved_tensor(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            """Rows of one tensor: a row comes once for each of its parts, or once without any."""
+            row, n = batch.column("row").to_numpy(), batch.column("n").fill_null(0.0).to_numpy()
+            starts = np.flatnonzero(np.diff(row, prepend=row[0] - 1))
+            parts = batch.column("g").is_valid().to_numpy(zero_copy_only=False)
+            number = np.add.reduceat(parts.astype(np.int64), starts)
+            first, values = np.cumsum(number) - number, matrix(batch.column("g").drop_null())
+            once = batch.take(pa.array(starts))
+            ours = once.column("state").is_valid().to_numpy(zero_copy_only=False)
+            if ours.any():
+                at = np.flatnonzero(ours)
+                mine = once.take(pa.array(at))
+                state = moved_rows(matrix(mine.column("state")), first[at], number[at], values)
+                yield stored(mine.column("tensor"), mine.column("row"), state)
+            if not ours.all():
+                at = np.flatnonzero(~ours)
+                other = once.take(pa.array(at))
+                total = _added(first[at], number[at], values)
+                yield stored(other.column("tensor"), other.column("row"), total, np.add.reduceat(n, starts)[at], SUM)
+
+        def moved_rows(state: np.ndarray, first: np.ndarray, number: np.ndarray, values: np.ndarray) -> np.ndarray:
+            dim, new = state.shape[1] // 3, np.empty_like(state)
+            for block in row_blocks(len(state), state.shape[1]):
+                old, change = state[block], np.zeros(state[block].shape)
+                left = np.tile(all_rows, (len(old), 1))
+                if number[block].any():
+                    g = _added(first[block], number[block], values)
+                    change += g[:, : 3 * dim]
+                    left -= g[:, 3 * dim :]
+                # a row without moments stays where it is
+                moving = old[:, dim:].any()
+                for k, plan in enumerate(plans):
+                    alone = np.flatnonzero(left[:, k]) if moving else ()
+                    if len(alone):
+                        some, share = old[alone], left[alone, k : k + 1].astype(np.float32)
+                        m, v = some[:, dim : 2 * dim], some[:, 2 * dim :]
+                        change[alone, :dim] -= plan.taken(m, v) * share
+                        change[alone, dim : 2 * dim] += m * (share * np.float32(plan.decay[0] - 1))
+                        change[alone, 2 * dim :] += v * (share * np.float32(plan.decay[1] - 1))
+                change /= total
+                new[block] = old + change
+            return new
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in _grouped(batches):
                 tensors = batch.column("tensor").to_numpy(zero_copy_only=False)
-                for tensor in sorted(set(tensors)):
-                    rows = batch.take(pa.array(np.flatnonzero(tensors == tensor)))
-                    old = [matrix(rows.column(c)) for c in ("values", "m", "v")]
-                    dim = old[0].shape[1]
-                    change = np.zeros((len(old[0]), 3 * dim))
-                    left = np.tile(all_rows, (len(old[0]), 1))
-                    met = np.flatnonzero(rows.column("g").is_valid().to_numpy(zero_copy_only=False))
-                    if len(met):
-                        g = matrix(rows.column("g").take(pa.array(met))).astype(np.float64)
-                        change[met] = g[:, : 3 * dim]
-                        left[met] -= g[:, 3 * dim :]
-                    for k, alone in enumerate(coasted(*old, steps, lr, counts)):
-                        change += left[:, k : k + 1] * np.concatenate(alone, axis=1)
-                    change /= total
-                    new = [x + change[:, i * dim : (i + 1) * dim].astype(np.float32) for i, x in enumerate(old)]
-                    yield pa.RecordBatch.from_arrays(
-                        [rows.column("tensor"), rows.column("row"), *map(list_array, new)],
-                        names=["tensor", "row", "values", "m", "v"],
-                    )
-
-        changes = sums.select("tensor", "row", F.col("values").alias("g")).hint("merge")
-        joined = self.rows.join(changes, ["tensor", "row"], "left")
-        return EmbeddingTable(joined.mapInArrow(run, TABLE_SCHEMA), self.buckets, dealt=True)
+                starts = np.flatnonzero(tensors[1:] != tensors[:-1]) + 1
+                for start, end in zip([0, *starts], [*starts, len(tensors)]):
+                    yield from moved_tensor(batch.slice(start, end - start))
+
+        sent = self.states.join(sums.hint("merge"), ["tensor", "row"], "full").sortWithinPartitions("tensor", "row")
+        n = F.col("n") if "n" in sums.columns else F.lit(0.0).alias("n")
+        sent = sent.select("tensor", "row", n, "state", F.col("values").alias("g"))
+        return EmbeddingTable(sent.mapInArrow(run, STORED_SCHEMA), self.buckets, dealt=True)

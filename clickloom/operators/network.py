@@ -90,9 +90,27 @@ def list_array(values: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
-def matrix(column: pa.ListArray) -> np.ndarray:
-    """A list column of equal lengths as a matrix."""
-    flat = column.flatten().to_numpy(zero_copy_only=False)
+def packed_array(values: np.ndarray) -> pa.BinaryArray:
+    """The same as a binary column: a row is the bytes of its 32-bit floats, which Spark moves as a
+    whole and not value by value."""
+    n, width = values.shape
+    flat = np.ascontiguousarray(values, dtype=np.float32).reshape(-1)
+    offsets = np.arange(n + 1, dtype=np.int64) * 4 * width
+    if offsets[-1] > np.iinfo(np.int32).max:
+        raise ValueError(f"{offsets[-1]} bytes do not fit one binary column")
+    buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(flat)]
+    return pa.Array.from_buffers(pa.binary(), n, buffers)
+
+
+def matrix(column: pa.ListArray | pa.BinaryArray) -> np.ndarray:
+    """A list column of equal lengths, or a packed one, as a matrix."""
+    if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
+        kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+        _, ends, data = column.buffers()
+        ends = np.frombuffer(ends, kind)[column.offset : column.offset + len(column) + 1] if len(column) else [0, 0]
+        flat = np.frombuffer(data or b"", np.uint8)[ends[0] : ends[-1]].view(np.float32)
+    else:
+        flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
 
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.operators.network import list_array, matrix
+from clickloom.operators.network import list_array, matrix, packed_array
 
 # Values of one tensor that are added up in one group.
 BLOCK_VALUES = 1 << 18
@@ -24,6 +24,7 @@ STRIDE = 16
 # Tasks whose parts one group may read without lanes.
 FEW_TASKS = 16
 PART_SCHEMA = "tensor string, block int, row int, n double, values array<float>"
+PACKED_SCHEMA = "tensor string, block int, row int, n double, values binary"
 
 
 def block_rows(width: int) -> int:
@@ -42,7 +43,8 @@ def rows_of(block: int, inside: np.ndarray, width: int) -> np.ndarray:
     return block // STRIDE * (block_rows(width) * STRIDE) + inside * STRIDE + block % STRIDE
 
 
-def part(tensor: str, index: np.ndarray, n: float, values: np.ndarray) -> pa.RecordBatch:
+def part(tensor: str, index: np.ndarray, n: float, values: np.ndarray, array=list_array) -> pa.RecordBatch:
+    """``array`` is ``list_array`` or ``packed_array``."""
     size = len(index)
     return pa.RecordBatch.from_arrays(
         [
@@ -50,7 +52,7 @@ def part(tensor: str, index: np.ndarray, n: float, values: np.ndarray) -> pa.Rec
             pa.array(place(index, values.shape[1])[0].astype(np.int32)),
             pa.array(index.astype(np.int32)),
             pa.array(np.full(size, float(n))),
-            list_array(values),
+            array(values),
         ],
         names=["tensor", "block", "row", "n", "values"],
     )
@@ -58,13 +60,14 @@ def part(tensor: str, index: np.ndarray, n: float, values: np.ndarray) -> pa.Rec
 
 def _sum_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Add the values of equal rows of one block; holds one block, however many parts come."""
-    tensor, block, size, total, count, seen = None, 0, 0, None, None, None
+    tensor, block, size, total, count, seen, array = None, 0, 0, None, None, None, list_array
     for batch in batches:
         if batch.num_rows == 0:
             continue
         values = matrix(batch.column("values"))
         if total is None:
             tensor, block = batch.column("tensor")[0].as_py(), batch.column("block")[0].as_py()
+            array = list_array if pa.types.is_list(batch.column("values").type) else packed_array
             size = block_rows(values.shape[1])
             total = np.zeros((size, values.shape[1]))
             count, seen = np.zeros(size), np.zeros(size, dtype=bool)
@@ -78,7 +81,7 @@ def _sum_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen[rows] = True
     if total is not None:
         kept = np.flatnonzero(seen)
-        out = part(tensor, rows_of(block, kept, total.shape[1]), 0.0, total[kept])
+        out = part(tensor, rows_of(block, kept, total.shape[1]), 0.0, total[kept], array)
         yield out.set_column(3, "n", pa.array(count[kept]))
 
 
@@ -93,11 +96,17 @@ def task_number(df: DataFrame) -> int:
     return 0 if most is None else most + 1
 
 
+def lane_sums(parts: DataFrame, tasks: int) -> DataFrame:
+    """Parts, sent by about ``tasks`` tasks, added up in lanes: at most ``FEW_TASKS`` or the square
+    root of ``tasks`` are left of each (tensor, row)."""
+    if lanes(tasks) == 1:
+        return parts
+    lane = F.pmod(F.spark_partition_id(), F.lit(lanes(tasks)))
+    return parts.withColumn("lane", lane).groupBy("tensor", "block", "lane").applyInArrow(
+        _sum_block, parts.schema
+    )
+
+
 def sum_parts(parts: DataFrame, tasks: int) -> DataFrame:
     """Sum parts, sent by about ``tasks`` tasks, by (tensor, row)."""
-    if lanes(tasks) > 1:
-        lane = F.pmod(F.spark_partition_id(), F.lit(lanes(tasks)))
-        parts = parts.withColumn("lane", lane).groupBy("tensor", "block", "lane").applyInArrow(
-            _sum_block, PART_SCHEMA
-        )
-    return parts.groupBy("tensor", "block").applyInArrow(_sum_block, PART_SCHEMA)
+    return lane_sums(parts, tasks).groupBy("tensor", "block").applyInArrow(_sum_block, parts.schema)

@@ -11,25 +11,26 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.operators.embedding_table import (
-    EmbeddingTable, adam_move, drawn_embeddings, rate_and_root, row_blocks,
+    Coasting, EmbeddingTable, adam_move, drawn_embeddings, rate_and_root, row_blocks,
 )
 from clickloom.operators.encode import Deep
 from clickloom.operators.evaluate import log_loss
 from clickloom.operators.lookup import HOT_ROWS
 from clickloom.operators.network import (
     BROADCAST_BYTES, CHUNK_ROWS, HIDDEN, Params, collect_parameters, embedding, embedding_bytes,
-    embedding_lookup, gather, init_parameters, layers, matrix, parameter_table, score_table,
+    embedding_lookup, init_parameters, layers, matrix, packed_array, parameter_table, score_table,
     slot_lists, tower,
 )
-from clickloom.operators.parts import PART_SCHEMA, part, sum_parts, task_number
+from clickloom.operators.parts import PACKED_SCHEMA, PART_SCHEMA, lane_sums, part, sum_parts, task_number
 from clickloom.operators.permutation import permuted_number
-from clickloom.session import col, discard, freeze, local_table, scratch_dir
+from clickloom.session import col, freeze, local_table, scratch_dir
 from clickloom.sources.features_io import save_parameters
 
 log = logging.getLogger(__name__)
@@ -38,6 +39,12 @@ log = logging.getLogger(__name__)
 ROUND_BATCHES = 16
 # Bytes of embedding gradients of one tensor that a task adds up before it sends them.
 HELD_BYTES = 32 << 20
+# Rows to a different value from which on sums over them are a product with a 0/1 matrix.
+ONE_HOT = 16
+# Embedding rows whose changes a worker sends at once.
+SENT_ROWS = 4096
+# Losses of batches that the driver holds before it writes them.
+LOSS_ROWS = 1 << 16
 # Parts that are no tensors: the summed loss with the row count, the steps taken, and the same
 # loss of each batch, by worker.
 TOTAL, STEPS, LOSS = "total", "steps", "loss:"
@@ -54,12 +61,41 @@ class Gradient:
     rows: int
 
 
+class _Met:
+    """The different values of an index column, and sums over the rows that have each of them."""
+
+    def __init__(self, column: np.ndarray):
+        self.order = np.argsort(column, kind="stable")
+        ordered = column[self.order]
+        self.starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+        self.index, self.number = ordered[self.starts], np.diff(self.starts, append=len(column))
+        # many rows to a value: worth working with the values
+        self.few = 2 * len(self.index) <= len(column)
+
+    def place(self) -> np.ndarray:
+        """The place in ``index`` of each row's value."""
+        place = np.empty(len(self.order), np.int64)
+        place[self.order] = np.repeat(np.arange(len(self.index)), self.number)
+        return place
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        if len(self.index) * ONE_HOT <= len(self.order):
+            chosen = np.zeros((len(self.index), len(self.order)), values.dtype)
+            chosen[self.place(), np.arange(len(self.order))] = 1
+            return chosen @ values
+        if self.number.max() > ONE_HOT:
+            return np.add.reduceat(values[self.order], self.starts, axis=0)
+        total = values[self.order[self.starts]]
+        for k in range(1, self.number.max()):
+            at = np.flatnonzero(self.number > k)
+            total[at] += values[self.order[self.starts[at] + k]]
+        return total
+
+
 def _add_at(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Values summed by equal index."""
-    order = np.argsort(index, kind="stable")
-    sorted_index = index[order]
-    starts = np.flatnonzero(np.r_[True, sorted_index[1:] != sorted_index[:-1]])
-    return sorted_index[starts], np.add.reduceat(values[order], starts, axis=0)
+    met = _Met(index)
+    return met.index, met.sums(values)
 
 
 def backward(
@@ -67,7 +103,14 @@ def backward(
     label: np.ndarray,
 ) -> tuple[Params, np.ndarray, float]:
     """Dense gradients, the gradient of the embedded input, and the loss, summed over rows."""
-    outs = tower(params, embedded)
+    return _backward(params, tower(params, embedded), 0, rows, slots, scale, label)
+
+
+def _backward(
+    params: Params, outs: Sequence[np.ndarray], below: int, rows: np.ndarray, slots: np.ndarray,
+    scale: float, label: np.ndarray,
+) -> tuple[Params, np.ndarray, float]:
+    """The same down to the activations of layer ``below``, ``outs`` being those from there on."""
     weight = params["out.weight"][0]
     width = len(weight) - outs[-1].shape[1]
     wide = np.bincount(rows, weights=weight[slots] * scale, minlength=len(label))
@@ -82,11 +125,11 @@ def backward(
         "out.weight": grad_out,
         "out.bias": np.array([[delta.sum()]], dtype=params["out.bias"].dtype),
     }
-    back = np.outer(delta, weight[width:]).astype(embedded.dtype)
+    back = np.outer(delta, weight[width:]).astype(outs[0].dtype)
     dense = layers(params)
-    for k in range(len(dense), 0, -1):
-        back = back * (outs[k] > 0)
-        grads[f"dense_{k}.weight"] = back.T @ outs[k - 1]
+    for k in range(len(dense), below, -1):
+        back = back * (outs[k - below] > 0)
+        grads[f"dense_{k}.weight"] = back.T @ outs[k - 1 - below]
         grads[f"dense_{k}.bias"] = back.sum(axis=0, keepdims=True)
         back = back @ dense[k - 1][0]
     return grads, back, loss
@@ -96,15 +139,43 @@ def gradient(
     params: Params, names: Sequence[str], deep: np.ndarray, rows: np.ndarray, slots: np.ndarray,
     scale: float, label: np.ndarray,
 ) -> Gradient:
-    """Gradient sums of one batch over all parameters; embeddings by touched row."""
-    grads, back, loss = backward(
-        params, gather(params, names, deep), rows, slots, scale, label
-    )
-    sparse, start = {}, 0
+    """Gradient sums of one batch over all parameters; embeddings by touched row.
+
+    The first layer is taken column by column, each with the rows of its embedding that the batch
+    meets: what they make of the layer's weights is worked out once for each of them, however many
+    rows of the batch hold them, if these are at least twice as many.
+    """
+    dense = layers(params)
+    if not dense:
+        columns = [params[embedding(n)][deep[:, i]] for i, n in enumerate(names)]
+        grads, back, loss = backward(params, np.concatenate(columns, axis=1), rows, slots, scale, label)
+        ends = np.cumsum([c.shape[1] for c in columns])[:-1]
+        sums = [_add_at(deep[:, i], b) for i, b in enumerate(np.split(back, ends, axis=1))]
+        return Gradient(grads, dict(zip(map(embedding, names), sums)), loss, len(label))
+    weight, bias = dense[0]
+    met, start, first = [], 0, None
     for i, name in enumerate(names):
-        dim = params[embedding(name)].shape[1]
-        sparse[embedding(name)] = _add_at(deep[:, i], back[:, start : start + dim])
-        start += dim
+        table, of = params[embedding(name)], _Met(deep[:, i])
+        inputs = table[of.index if of.few else deep[:, i]]
+        at = slice(start, start := start + table.shape[1])
+        share = inputs @ weight[:, at].T
+        share = share[of.place()] if of.few else share
+        first = share if first is None else np.add(first, share, out=first)
+        met.append((embedding(name), at, of, inputs))
+    first += bias
+    outs = [np.maximum(first, 0, out=first)]
+    for above, shift in dense[1:]:
+        outs.append(np.maximum(outs[-1] @ above.T + shift, 0))
+    grads, back, loss = _backward(params, outs, 1, rows, slots, scale, label)
+    back = back * (outs[0] > 0)
+    grads["dense_1.weight"] = np.empty_like(weight)
+    grads["dense_1.bias"] = back.sum(axis=0, keepdims=True)
+    sparse = {}
+    for t, at, of, inputs in met:
+        sums = of.sums(back) if of.few else back
+        grads["dense_1.weight"][:, at] = sums.T @ inputs
+        below = sums @ weight[:, at]
+        sparse[t] = of.index, below if of.few else of.sums(below)
     return Gradient(grads, sparse, loss, len(label))
 
 
@@ -185,28 +256,49 @@ def batch_gradient(
 class Adam:
     """Dense Adam over tensors; embedding rows that never had a gradient are passed over.
 
-    Such a row has zero moments, so leaving it out changes nothing.
+    Such a row has zero moments, so leaving it out changes nothing. A row that a batch does not meet
+    moves by its moments alone; these steps are taken at once when it is met again (``ready``), or
+    at the end (``finish``).
     """
 
     def __init__(self, params: Params, moments: Params, steps: int, lr: float):
         self.p, self.steps, self.lr = params, steps, lr
         self.m = {t: moments[f"m:{t}"] for t in params}
         self.v = {t: moments[f"v:{t}"] for t in params}
-        self.active = {
-            t: np.flatnonzero(self.v[t].any(axis=1)) for t in params if t.startswith("emb:")
-        }
+        self.active = {t: self.v[t].any(axis=1) for t in params if t.startswith("emb:")}
+        # the step that a row was last taken to
+        self.at = {t: np.full(len(active), steps) for t, active in self.active.items()}
+        self.plans: dict[tuple[int, int], Coasting] = {}
 
     def step(self, g: Gradient) -> None:
+        """One step; the rows that the gradient meets are ``ready``."""
         self.steps += 1
         rate, root = rate_and_root(self.lr, self.steps)
         for t, grad in g.dense.items():
             self._move(t, None, grad / g.rows, rate, root)
         for t, (index, grad) in g.sparse.items():
-            active = np.union1d(self.active[t], index)
-            full = np.zeros((len(active), grad.shape[1]), dtype=grad.dtype)
-            full[np.searchsorted(active, index)] = grad / g.rows
-            self.active[t] = active
-            self._move(t, active, full, rate, root)
+            self._move(t, index, grad / g.rows, rate, root)
+            self.active[t][index], self.at[t][index] = True, self.steps
+
+    def ready(self, t: str, index: np.ndarray) -> None:
+        """Take the rows ``index``, all different, to the present step."""
+        late = index[self.active[t][index] & (self.at[t][index] < self.steps)]
+        since, p, m, v = self.at[t][late], self.p[t], self.m[t], self.v[t]
+        for step in np.unique(since).tolist():
+            rows = late[since == step]
+            if (step, self.steps) not in self.plans:
+                self.plans[step, self.steps] = Coasting(step, self.lr, self.steps - step)
+            plan = self.plans[step, self.steps]
+            for block in row_blocks(len(rows), p.shape[1]):
+                at = rows[block]
+                moved = p[at], m[at], v[at]
+                plan.move(*moved)
+                p[at], m[at], v[at] = moved
+        self.at[t][late] = self.steps
+
+    def finish(self) -> None:
+        for t, active in self.active.items():
+            self.ready(t, np.flatnonzero(active))
 
     def _move(self, t: str, at: np.ndarray | None, grad: np.ndarray, rate: float, root: float) -> None:
         """Move the rows ``at``, or all, in blocks that stay in a processor's cache."""
@@ -251,13 +343,16 @@ def _local_steps(
         if dropout:
             kept = rng.random(len(slots)) >= dropout
             rows, slots = rows[kept], slots[kept]
+        for i, name in enumerate(names):
+            adam.ready(embedding(name), np.unique(deep[:, i]))
         g = gradient(adam.p, names, deep, rows, slots, 1 / (1 - dropout), label)
         adam.step(g)
         told.append((g.loss, g.rows))
+    adam.finish()
     return np.array(told).reshape(-1, 2)
 
 
-def _told(told: np.ndarray, worker: int) -> Iterator[pa.RecordBatch]:
+def _told(told: np.ndarray, worker: int, part=part) -> Iterator[pa.RecordBatch]:
     """Parts of the losses and the steps of a worker."""
     n = told[:, 1].sum()
     yield part(TOTAL, np.array([0]), n, np.array([[told[:, 0].sum()]]))
@@ -265,10 +360,12 @@ def _told(told: np.ndarray, worker: int) -> Iterator[pa.RecordBatch]:
     yield part(f"{LOSS}{worker}", np.arange(len(told)), 0, told)
 
 
-def _changes(adam: Adam, old: Params, old_moments: Params, tensors, n: int) -> Iterator[pa.RecordBatch]:
+def _changes(
+    adam: Adam, old: Params, old_moments: Params, tensors, n: int, part=part
+) -> Iterator[pa.RecordBatch]:
     """Changes times rows, of embeddings only for rows that ever moved."""
     for t in tensors:
-        at = adam.active.get(t, np.arange(len(adam.p[t])))
+        at = np.flatnonzero(adam.active[t]) if t in adam.active else np.arange(len(adam.p[t]))
         for name, new, before in (
             (t, adam.p[t], old[t]),
             (f"m:{t}", adam.m[t], old_moments[f"m:{t}"]),
@@ -299,56 +396,76 @@ def round_sums(
     return sum_parts(df.mapInArrow(run, PART_SCHEMA), workers)
 
 
-def table_round_sums(
+def table_round_parts(
     rows: DataFrame, table: EmbeddingTable, dense: Params, moments: Params, steps: int,
     spec: Sequence[Deep], lr: float, batch_size: int, dropout: float, seed: Sequence[int],
     workers: int, counts: Sequence[int],
 ) -> DataFrame:
-    """The same round with embeddings that stay a table.
+    """The same round with embeddings that stay a table; its parts, which ``EmbeddingTable.moved``
+    adds up.
 
     ``rows`` are staged rows of the round. Each worker gets the embedding rows that its own rows
-    touch, with their moments, and takes the same steps as ``round_sums``. The sums of embedding
+    touch, with their moments, and takes the same steps as ``round_sums``. The parts of embedding
     rows are as ``EmbeddingTable.moved`` takes them; ``counts`` are the numbers of steps met.
     """
-    names, columns = [d.name for d in spec], ["slots", "deep", "label"]
-    tensors = [embedding(n) for n in names]
-    dims = {embedding(d.name): d.dim for d in spec}
+    names, columns = [d.name for d in spec], ["slots", "deep", "label", "turn", "order"]
+    tensors, dims = [embedding(n) for n in names], [d.dim for d in spec]
     tensor = F.array(*map(F.lit, tensors))[F.col("pos")]
     keys = rows.select("worker", F.posexplode("deep").alias("pos", "row")).distinct()
-    fetched = table.touched(keys.select(F.col("worker").alias("by"), tensor.alias("tensor"), "row"))
+    # Empty lists: Arrow's writer goes through a run of NULL ones again for each of them.
+    none = [F.array().cast("array<int>").alias(c) for c in ("slots", "deep")]
+    fetched = table.touched(keys.withColumn("tensor", tensor)).select("worker", "pos", "row", "state", *none)
     order = F.xxhash64("turn", *map(F.lit, seed))
+    mine = rows.withColumn("order", order).select("worker", *columns)
+    both = mine.unionByName(fetched, allowMissingColumns=True).repartitionById(workers, F.col("worker"))
     shared = rows.sparkSession.sparkContext.broadcast((dense, moments))
+    packed = lambda *of: part(*of, array=packed_array)
 
-    def run(mine: pa.Table, found: pa.Table) -> pa.Table:
-        old, old_moments = dict(shared.value[0]), dict(shared.value[1])
-        worker = mine.column("worker")[0].as_py()
-        index, met = {}, found.column("tensor").to_numpy()
-        for t in tensors:
-            at = np.flatnonzero(met == t)
-            at = at[np.argsort(found.column("row").to_numpy()[at], kind="stable")]
-            index[t] = found.column("row").to_numpy()[at]
-            held = found.take(pa.array(at)).combine_chunks()
-            value = lambda c, t=t, held=held: matrix(held.column(c).combine_chunks()).reshape(-1, dims[t])
-            old[t], old_moments[f"m:{t}"], old_moments[f"v:{t}"] = value("values"), value("m"), value("v")
-        copied = {t: v.copy() for t, v in old_moments.items()}
-        adam = Adam({t: v.copy() for t, v in old.items()}, copied, steps, lr)
-        ordered = mine.sort_by([("order", "ascending"), ("turn", "ascending")]).select(columns)
-        at_row = lambda i, at: np.searchsorted(index[tensors[i]], at)
-        told = _local_steps(adam, names, iter(ordered.to_batches()), batch_size, dropout, seed, worker, at_row)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker, ours, index, states = None, [], [[] for _ in tensors], [[] for _ in tensors]
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            worker = batch.column("worker")[0].as_py()
+            pos = batch.column("pos").fill_null(-1).to_numpy(zero_copy_only=False)
+            for i in np.unique(pos).tolist():
+                some = batch.take(pa.array(np.flatnonzero(pos == i)))
+                if i < 0:
+                    ours.append(some.select(columns))
+                else:
+                    index[i].append(some.column("row").to_numpy())
+                    states[i].append(matrix(some.column("state")))
+        if worker is None or not ours:
+            return
+        adam_params, adam_moments = ({t: v.copy() for t, v in some.items()} for some in shared.value)
+        held, order = [], []
+        for i, t in enumerate(tensors):
+            index[i] = np.concatenate([np.zeros(0, np.int32), *index[i]])
+            state = np.concatenate([np.zeros((0, 3 * dims[i]), np.float32), *states[i]])
+            states[i] = None
+            held.append(state)
+            order.append(np.argsort(index[i], kind="stable"))
+            adam_params[t], adam_moments[f"m:{t}"], adam_moments[f"v:{t}"] = np.split(state, 3, axis=1)
+        old = [state.copy() for state in held]
+        adam = Adam(adam_params, adam_moments, steps, lr)
+        ordered = pa.Table.from_batches(ours).sort_by([("order", "ascending"), ("turn", "ascending")])
+        ranked = [at[o] for at, o in zip(index, order)]
+        at_row = lambda i, at: order[i][np.searchsorted(ranked[i], at)]
+        told = _local_steps(
+            adam, names, iter(ordered.select(columns[:3]).to_batches()), batch_size, dropout, seed, worker, at_row
+        )
         n = int(told[:, 1].sum())
-        parts = [*_changes(adam, old, old_moments, [t for t in old if t not in dims], n), *_told(told, worker)]
+        yield from _changes(adam, *shared.value, list(shared.value[0]), n, packed)
+        yield from _told(told, worker, packed)
         k = np.zeros((1, len(counts)), np.float32)
         k[0, list(counts).index(len(told))] = n
-        for t in tensors:
-            changes = [(new[t] - before) * np.float32(n) for new, before in (
-                (adam.p, old[t]), (adam.m, old_moments[f"m:{t}"]), (adam.v, old_moments[f"v:{t}"])
-            )]
-            if len(index[t]):
-                parts.append(part(t, index[t], n, np.concatenate([*changes, np.repeat(k, len(index[t]), 0)], axis=1)))
-        return pa.Table.from_batches(parts)
+        for i, t in enumerate(tensors):
+            for start in range(0, len(index[i]), SENT_ROWS):
+                at = slice(start, start + SENT_ROWS)
+                change = (held[i][at] - old[i][at]) * np.float32(n)
+                yield packed(t, index[i][at], n, np.concatenate([change, np.repeat(k, len(change), 0)], axis=1))
 
-    sent = rows.select("worker", *columns, "turn", order.alias("order")).groupBy("worker")
-    return sum_parts(sent.cogroup(fetched.groupBy("by")).applyInArrow(run, PART_SCHEMA), workers)
+    return lane_sums(both.mapInArrow(run, PACKED_SCHEMA), workers)
 
 
 def train_round(
@@ -362,11 +479,21 @@ def train_round(
     so a worker sends only embedding rows that moved.
     """
     sums = round_sums(df, params, moments, steps, spec, lr, batch_size, dropout, seed, 1)
-    return _averaged(_without_losses(sums).toArrow(), params, moments, steps)
+    return _averaged(_collected(sums)[0], params, moments, steps)
 
 
-def _without_losses(sums: DataFrame) -> DataFrame:
-    return sums.where(~F.col("tensor").startswith(LOSS)).select("tensor", "row", "n", "values")
+def _collected(sums: DataFrame) -> tuple[pa.Table, list[tuple[int, int, int, float]]]:
+    """The sums of a round on the driver; apart from them the losses: (worker, batch, rows, mean
+    loss) of each batch."""
+    table = sums.select("tensor", "row", "n", "values").toArrow()
+    is_loss = pc.starts_with(table.column("tensor"), LOSS)
+    told = table.filter(is_loss).combine_chunks()
+    losses = []
+    if told.num_rows:
+        workers = [int(t[len(LOSS) :]) for t in told.column("tensor").to_pylist()]
+        loss, n = matrix(told.column("values").combine_chunks()).astype(np.float64).T
+        losses = list(zip(workers, told.column("row").to_pylist(), n.astype(int).tolist(), (loss / n).tolist()))
+    return table.filter(pc.invert(is_loss)), losses
 
 
 def _averaged(
@@ -508,18 +635,20 @@ def fit(
     else:
         model = _BroadcastModel(spec, wide_dim, hidden, seed, workers, batch_size)
     table = lambda p: parameter_table(spark, p) if isinstance(p, dict) else p
-    best, lowest, history, losses = None, float("inf"), [], scratch_dir(spark)
+    best, lowest, history, losses, told = None, float("inf"), [], scratch_dir(spark), []
     for epoch in range(epochs):
         rate = learning_rate(lr, epoch)
         order = sorted(range(rounds), key=lambda r: permuted_number(r, rounds, seed, epoch))
         total_loss, total = 0.0, 0
         for r in order:
-            sums, loss, n = model.round(rows.where(F.col("round") == r), rate, dropout, [seed, epoch, r])
-            batch_losses(sums, epoch + 1, r).write.mode("append").parquet(losses)
-            discard(sums)
+            met, loss, n = model.round(rows.where(F.col("round") == r), rate, dropout, [seed, epoch, r])
+            told += [(epoch + 1, r, *batch) for batch in met]
+            if len(told) >= LOSS_ROWS:
+                told = _write_losses(spark, told, losses)
             total_loss, total = total_loss + loss, total + n
         if not total:
             raise ValueError("no training rows")
+        told = _write_losses(spark, told, losses)
         train_loss = total_loss / total
         val_loss = train_loss
         if validation is not None:
@@ -536,15 +665,11 @@ def fit(
     return Fitted(best, mark_best(told), spark.read.schema(LOSS_SCHEMA).parquet(losses))
 
 
-def batch_losses(sums: DataFrame, epoch: int, round_: int) -> DataFrame:
-    """(epoch, round, worker, batch, rows, loss) from the sums of a round: one row per batch, with
-    its mean loss."""
-    value = lambda i: F.col("values")[i].cast("double")
-    return sums.where(F.col("tensor").startswith(LOSS)).select(
-        F.lit(epoch).alias("epoch"), F.lit(round_).alias("round"),
-        F.substring("tensor", len(LOSS) + 1, 20).cast("int").alias("worker"), F.col("row").alias("batch"),
-        value(1).cast("bigint").alias("rows"), (value(0) / value(1)).alias("loss"),
-    )
+def _write_losses(spark, told: list[tuple], path: str) -> list[tuple]:
+    """Append the losses of batches to the table at ``path``; none are left."""
+    if told:
+        local_table(spark, told, LOSS_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    return []
 
 
 class _BroadcastModel:
@@ -557,14 +682,14 @@ class _BroadcastModel:
         self.moments, self.steps = _moments(self.values), 0
 
     def round(self, rows: DataFrame, lr: float, dropout: float, seed: list[int]):
-        sums = freeze(round_sums(
+        sums, told = _collected(round_sums(
             lay_out(rows, self.workers, seed), self.values, self.moments, self.steps, self.spec, lr,
             self.batch_size, dropout, seed, self.workers,
         ))
         self.values, self.moments, self.steps, loss, n = _averaged(
-            _without_losses(sums).toArrow(), self.values, self.moments, self.steps
+            sums, self.values, self.moments, self.steps
         )
-        return sums, loss, n
+        return told, loss, n
 
     def keep(self) -> Params:
         return self.values
@@ -592,20 +717,21 @@ class _TableModel:
         for n in self.sizes.get(seed[-1], []):
             k = -(-n // self.batch_size)
             weights[k] = weights.get(k, 0.0) + n
-        sums = freeze(table_round_sums(
-            rows, self.table, self.dense, self.moments, self.steps, self.spec, lr, self.batch_size,
-            dropout, seed, self.workers, sorted(weights),
-        ))
         if not weights:
-            return sums, 0.0, 0
-        is_embedding, before, steps = F.col("tensor").startswith("emb:"), self.table, self.steps
+            return [], 0.0, 0
+        before = self.table
+        parts = table_round_parts(
+            rows, before, self.dense, self.moments, self.steps, self.spec, lr, self.batch_size,
+            dropout, seed, self.workers, sorted(weights),
+        )
+        self.table = before.moved(parts, self.steps, lr, weights)
+        sums, told = _collected(self.table.sums())
         self.dense, self.moments, self.steps, loss, n = _averaged(
-            _without_losses(sums.where(~is_embedding)).toArrow(), self.dense, self.moments, steps
+            sums, self.dense, self.moments, self.steps
         )
-        self.table = before.moved(sums.where(is_embedding), steps, lr, weights)
         if before is not self.kept:
             before.drop()
-        return sums, loss, n
+        return told, loss, n
 
     def keep(self) -> DataFrame:
         """The parameters, which stay readable until the next call."""
@@ -616,7 +742,7 @@ class _TableModel:
 
     def params(self) -> DataFrame:
         dense = parameter_table(self.spark, self.dense)
-        return self.table.rows.select("tensor", "row", "values").unionByName(dense)
+        return self.table.values().unionByName(dense)
 
 
 def distributed_gradient(

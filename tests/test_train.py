@@ -343,3 +343,69 @@ def test_moves_in_blocks_of_rows_are_those_of_all_rows(monkeypatch):
     change, m1, v1 = et.adam_move(p, m, v, np.float32(0), *et.rate_and_root(1e-3, 4))
     one = et.coasted(p, m, v, 3, 1e-3, [1])[0]
     assert np.allclose(one[0], -change, atol=1e-6) and np.allclose(one[1], m1 - m, atol=1e-6)
+
+
+def test_rows_of_the_table_travel_as_bytes(spark):
+    rows = tr.stage(planted(spark, 60), 2, 1, key="id")
+    model = tr._TableModel(spark, SPEC, WIDE, HIDDEN, 5, 2, 16, rows)
+    assert dict(model.table.states.dtypes) == {"tensor": "string", "row": "int", "state": "binary"}
+    parts = tr.table_round_parts(rows, model.table, model.dense, model.moments, 0, SPEC, 0.01, 16, 0.0, [1, 0, 0], 2, [2])
+    assert dict(parts.dtypes)["values"] == "binary"
+    told, loss, n = model.round(rows, 0.01, 0.0, [1, 0, 0])
+    assert n == sum(b[2] for b in told) == 60 and loss == pytest.approx(sum(b[2] * b[3] for b in told), rel=1e-5)
+
+
+@pytest.mark.parametrize("steps,count", [(0, 1), (0, 16), (3, 7), (40, 16), (5000, 16)])
+def test_steps_without_gradient_are_taken_at_once(steps, count):
+    from clickloom.operators import embedding_table as et
+
+    rng = np.random.default_rng(7)
+    p, m = rng.normal(size=(9, 4)), rng.normal(size=(9, 4)) * 1e-6
+    v = rng.random((9, 4)) * 10.0 ** rng.integers(-18, -8, (9, 4))
+    v[0] = m[0] = 0
+    at_once = p.copy(), m.copy(), v.copy()
+    plan = et.Coasting(steps, 1e-3, count)
+    plan.move(*at_once)
+    assert plan.terms is None or len(plan.terms) < count
+    for t in range(steps + 1, steps + count + 1):
+        change, m, v = et.adam_move(p, m, v, 0.0, *et.rate_and_root(1e-3, t))
+        p = p - change
+    for a, b in zip(at_once, (p, m, v)):
+        assert np.allclose(a, b, rtol=1e-7, atol=1e-12)
+
+
+def test_rows_that_a_batch_does_not_meet_are_moved_when_they_are_met():
+    params = {"emb:a": np.ones((6, 2)), "out.bias": np.zeros((1, 1))}
+    moments = {f"{k}:{t}": np.full_like(v, 1e-3) for k in "mv" for t, v in params.items()}
+    moments["m:emb:a"][5], moments["v:emb:a"][5] = 0, 0
+    adam = tr.Adam({t: v.copy() for t, v in params.items()}, {t: v.copy() for t, v in moments.items()}, 3, 0.01)
+    for _ in range(4):
+        adam.ready("emb:a", np.array([1]))
+        adam.step(tr.Gradient({"out.bias": np.zeros((1, 1))}, {"emb:a": (np.array([1]), np.zeros((1, 2)))}, 0.0, 1))
+    assert (adam.at["emb:a"] == [3, 7, 3, 3, 3, 3]).all() and (adam.p["emb:a"][0] == 1).all()
+    adam.finish()
+    assert np.allclose(adam.p["emb:a"][:5], adam.p["emb:a"][1], atol=1e-9) and (adam.p["emb:a"][5] == 1).all()
+
+
+@pytest.mark.parametrize("values,rows", [(3, 100), (60, 100), (5000, 100)])
+def test_sums_over_equal_rows(values, rows):
+    rng = np.random.default_rng(9)
+    index, x = rng.integers(0, values, rows), rng.integers(0, 9, (rows, 3)).astype(np.float32)
+    index[: rows // 3] = 1
+    for column in (index, np.arange(rows)):
+        met = tr._Met(column)
+        want = [x[column == i].sum(axis=0) for i in met.index]
+        assert (met.sums(x) == want).all() and (met.index[met.place()] == column).all()
+
+
+def test_batches_do_not_part_equal_rows():
+    import pyarrow as pa
+
+    from clickloom.operators import embedding_table as et
+
+    row, tensor = np.array([1, 1, 2, 2, 2, 2, 2, 1], np.int32), ["a"] * 7 + ["b"]
+    whole = pa.RecordBatch.from_arrays([pa.array(tensor), pa.array(row)], names=["tensor", "row"])
+    for size in (1, 2, 3, 8):
+        found = list(et._grouped(iter([whole.slice(i, size) for i in range(0, 8, size)])))
+        keys = [set(zip(b.column("tensor").to_pylist(), b.column("row").to_pylist())) for b in found]
+        assert sum(b.num_rows for b in found) == 8 and sum(map(len, keys)) == 3
