@@ -28,7 +28,6 @@ BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-8
 DRAWN, BUCKET_BYTES = 1024, 64 << 20
 # Values that are moved at once, so that they stay in a processor's cache.
 BLOCK_VALUES = 1 << 15
-TABLE_SCHEMA = "tensor string, row int, values array<float>, m array<float>, v array<float>"
 # As written: rows of the table (``state``: values, m and v) and, apart from them, sums of what else
 # a round sent, with the row count ``n``.
 STORED_SCHEMA = "tensor string, row int, n double, state binary, kind string"
@@ -219,6 +218,26 @@ def _added(first: np.ndarray, number: np.ndarray, values: np.ndarray) -> np.ndar
     return total
 
 
+def averaged_rows(
+    old: np.ndarray, change: np.ndarray, left: np.ndarray, plans: Sequence[Coasting], total: float
+) -> np.ndarray:
+    """States after a round of ``total`` rows: ``change`` is the sum over the workers that met a row,
+    ``left[:, k]`` the rows of the others, which moved it by its moments alone as ``plans[k]`` says."""
+    dim = old.shape[1] // 3
+    # a row without moments stays where it is
+    moving = old[:, dim:].any()
+    for k, plan in enumerate(plans):
+        alone = np.flatnonzero(left[:, k]) if moving else ()
+        if len(alone):
+            some, share = old[alone], left[alone, k : k + 1].astype(np.float32)
+            m, v = some[:, dim : 2 * dim], some[:, 2 * dim :]
+            change[alone, :dim] -= plan.taken(m, v) * share
+            change[alone, dim : 2 * dim] += m * (share * np.float32(plan.decay[0] - 1))
+            change[alone, 2 * dim :] += v * (share * np.float32(plan.decay[1] - 1))
+    change /= total
+    return (old + change).astype(np.float32)
+
+
 class EmbeddingTable:
     """Rows (tensor, row, values, m, v) in buckets; each round makes a new one."""
 
@@ -299,18 +318,7 @@ class EmbeddingTable:
                     g = _added(first[block], number[block], values)
                     change += g[:, : 3 * dim]
                     left -= g[:, 3 * dim :]
-                # a row without moments stays where it is
-                moving = old[:, dim:].any()
-                for k, plan in enumerate(plans):
-                    alone = np.flatnonzero(left[:, k]) if moving else ()
-                    if len(alone):
-                        some, share = old[alone], left[alone, k : k + 1].astype(np.float32)
-                        m, v = some[:, dim : 2 * dim], some[:, 2 * dim :]
-                        change[alone, :dim] -= plan.taken(m, v) * share
-                        change[alone, dim : 2 * dim] += m * (share * np.float32(plan.decay[0] - 1))
-                        change[alone, 2 * dim :] += v * (share * np.float32(plan.decay[1] - 1))
-                change /= total
-                new[block] = old + change
+                new[block] = averaged_rows(old, change, left, plans, total)
             return new
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,6 +6,7 @@ Rows stay on the executors. What travels is parameters, changes of parameters, a
 from __future__ import annotations
 
 import logging
+import os
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -17,6 +18,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickloom.operators.embedding_files import Changes, EmbeddingFiles, new_file
 from clickloom.operators.embedding_table import (
     Coasting, EmbeddingTable, adam_move, drawn_embeddings, rate_and_root, row_blocks,
 )
@@ -30,7 +32,7 @@ from clickloom.operators.network import (
 )
 from clickloom.operators.parts import PACKED_SCHEMA, PART_SCHEMA, lane_sums, part, sum_parts, task_number
 from clickloom.operators.permutation import permuted_number
-from clickloom.session import col, freeze, local_table, scratch_dir
+from clickloom.session import col, delete_folder, freeze, local_table, opened_path, scratch_dir
 from clickloom.sources.features_io import save_parameters
 
 log = logging.getLogger(__name__)
@@ -48,6 +50,8 @@ LOSS_ROWS = 1 << 16
 # Parts that are no tensors: the summed loss with the row count, the steps taken, and the same
 # loss of each batch, by worker.
 TOTAL, STEPS, LOSS = "total", "steps", "loss:"
+# The name of a worker's files, with its rows and steps.
+FILES = "files:"
 LOSS_SCHEMA = "epoch int, round int, worker int, batch int, rows bigint, loss double"
 
 
@@ -452,7 +456,8 @@ def table_round_parts(
         ranked = [at[o] for at, o in zip(index, order)]
         at_row = lambda i, at: order[i][np.searchsorted(ranked[i], at)]
         told = _local_steps(
-            adam, names, iter(ordered.select(columns[:3]).to_batches()), batch_size, dropout, seed, worker, at_row
+            adam, names, iter(ordered.select(columns[:3]).to_batches()), batch_size, dropout, seed, worker,
+            at_row,
         )
         n = int(told[:, 1].sum())
         yield from _changes(adam, *shared.value, list(shared.value[0]), n, packed)
@@ -468,6 +473,48 @@ def table_round_parts(
     return lane_sums(both.mapInArrow(run, PACKED_SCHEMA), workers)
 
 
+def file_round_sums(
+    df: DataFrame, files: EmbeddingFiles, dense: Params, moments: Params, steps: int,
+    spec: Sequence[Deep], lr: float, batch_size: int, dropout: float, seed: Sequence[int],
+    workers: int, folder: str,
+) -> DataFrame:
+    """The same round with embeddings in files: every partition of ``df`` is a worker, as for
+    ``round_sums``. It reads the rows that its own rows touch and writes their changes to
+    ``folder``; its sums tell where."""
+    names, tensors = [d.name for d in spec], [embedding(d.name) for d in spec]
+    shared = df.sparkSession.sparkContext.broadcast((dense, moments))
+    packed = lambda *of: part(*of, array=packed_array)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine = [batch for batch in batches if batch.num_rows]
+        if not mine:
+            return
+        params, held_moments = ({t: v.copy() for t, v in some.items()} for some in shared.value)
+        index, old = [], []
+        deep = np.concatenate([matrix(batch.column("deep")) for batch in mine])
+        for i, t in enumerate(tensors):
+            index.append(np.unique(deep[:, i]))
+            old.append(files.states(t, index[i]))
+            state = old[i].copy()
+            params[t], held_moments[f"m:{t}"], held_moments[f"v:{t}"] = np.split(state, 3, axis=1)
+        adam = Adam(params, held_moments, steps, lr)
+        worker = TaskContext.get().partitionId()
+        at_row = lambda i, at: np.searchsorted(index[i], at)
+        told = _local_steps(adam, names, iter(mine), batch_size, dropout, seed, worker, at_row)
+        n = int(told[:, 1].sum())
+        changes = Changes(new_file(folder), n, len(told))
+        for i, t in enumerate(tensors):
+            change = adam.p[t].base
+            change -= old[i]
+            change *= np.float32(n)
+            changes.write(i, index[i], change)
+        yield packed(f"{FILES}{changes.files}", np.array([0]), n, np.array([[len(told)]]))
+        yield from _changes(adam, *shared.value, list(shared.value[0]), n, packed)
+        yield from _told(told, worker, packed)
+
+    return sum_parts(df.mapInArrow(run, PACKED_SCHEMA), workers)
+
+
 def train_round(
     df: DataFrame, params: Params, moments: Params, steps: int, spec: Sequence[Deep], lr: float,
     batch_size: int, dropout: float, seed: Sequence[int],
@@ -614,7 +661,8 @@ def fit(
     nothing.
 
     Embeddings that with their moments exceed ``max_bytes`` are not sent to the workers: they
-    stay a table, and a worker gets the rows that it touches in the round. The steps are the same.
+    stay files of the shared folder, or a table where tasks cannot open these, and a worker gets the
+    rows that it touches in the round. The steps are the same.
     """
     spark = df.sparkSession
     if workers is None or rounds is None:
@@ -631,7 +679,11 @@ def fit(
             raise ValueError("no validation rows")
     if 3 * embedding_bytes(spec) > max_bytes:
         log.info("embeddings exceed %d bytes: workers get the rows that they touch", max_bytes)
-        model = _TableModel(spark, spec, wide_dim, hidden, seed, workers, batch_size, rows)
+        folder = opened_path(spark, scratch_dir(spark))
+        if folder is None:
+            model = _TableModel(spark, spec, wide_dim, hidden, seed, workers, batch_size, rows)
+        else:
+            model = _FileModel(spark, spec, wide_dim, hidden, seed, workers, batch_size, folder)
     else:
         model = _BroadcastModel(spec, wide_dim, hidden, seed, workers, batch_size)
     table = lambda p: parameter_table(spark, p) if isinstance(p, dict) else p
@@ -698,6 +750,52 @@ class _BroadcastModel:
         return self.values
 
 
+class _FileModel:
+    """Dense tensors on the driver; embeddings with moments as files of ranges below ``folder``."""
+
+    def __init__(self, spark, spec, wide_dim, hidden, seed, workers, batch_size, folder):
+        self.spark, self.spec, self.workers, self.batch_size = spark, spec, workers, batch_size
+        self.folder, self.rounds, self.kept = folder, 0, None
+        self.dense = init_parameters(spec, wide_dim, hidden, seed, embeddings=False)
+        self.moments, self.steps = _moments(self.dense), 0
+        self.files = EmbeddingFiles.drawn(spark, f"{folder}/0", spec, seed)
+
+    def round(self, rows: DataFrame, lr: float, dropout: float, seed: list[int]):
+        self.rounds += 1
+        before, changed = self.files, f"{self.folder}/{self.rounds}-changes"
+        os.makedirs(changed)
+        sums, told = _collected(file_round_sums(
+            lay_out(rows, self.workers, seed), before, self.dense, self.moments, self.steps, self.spec,
+            lr, self.batch_size, dropout, seed, self.workers, changed,
+        ))
+        is_file = pc.starts_with(sums.column("tensor"), FILES)
+        found, sums = sums.filter(is_file).combine_chunks(), sums.filter(pc.invert(is_file))
+        if not found.num_rows:
+            delete_folder(self.spark, changed)
+            return [], 0.0, 0
+        names = [t[len(FILES) :] for t in found.column("tensor").to_pylist()]
+        taken = matrix(found.column("values").combine_chunks())[:, 0]
+        changes = [Changes(f, int(n), int(k)) for f, n, k in sorted(zip(names, found.column("n").to_pylist(), taken))]
+        self.files = before.moved(f"{self.folder}/{self.rounds}", changes, self.steps, lr)
+        self.dense, self.moments, self.steps, loss, n = _averaged(
+            sums, self.dense, self.moments, self.steps
+        )
+        delete_folder(self.spark, changed)
+        if before is not self.kept:
+            before.drop()
+        return told, loss, n
+
+    def keep(self) -> DataFrame:
+        """The parameters, which stay readable until the next call."""
+        if self.kept is not None and self.kept is not self.files:
+            self.kept.drop()
+        self.kept = self.files
+        return self.params()
+
+    def params(self) -> DataFrame:
+        return self.files.values().unionByName(parameter_table(self.spark, self.dense))
+
+
 class _TableModel:
     """Dense tensors on the driver; embeddings with moments as a table in buckets."""
 

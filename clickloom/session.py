@@ -62,11 +62,23 @@ def freeze(df: DataFrame) -> DataFrame:
 
 def discard(frozen: DataFrame) -> None:
     """Delete the files of a table made by ``freeze`` that nothing will read any more."""
-    sc = frozen.sparkSession.sparkContext
-    path = sc._jvm.org.apache.hadoop.fs.Path(frozen.frozen_path)
+    delete_folder(frozen.sparkSession, frozen.frozen_path)
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def opened_path(spark: SparkSession, folder: str) -> str | None:
+    """The path by which Python opens a folder on a mounted file system; None for any other."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    return path.toUri().getPath() if system.getUri().getScheme() == "file" else None
+
+
 _shipped: set[str] = set()
 
 

@@ -409,3 +409,43 @@ def test_batches_do_not_part_equal_rows():
         found = list(et._grouped(iter([whole.slice(i, size) for i in range(0, 8, size)])))
         keys = [set(zip(b.column("tensor").to_pylist(), b.column("row").to_pylist())) for b in found]
         assert sum(b.num_rows for b in found) == 8 and sum(map(len, keys)) == 3
+
+
+def test_files_and_table_take_the_same_steps(spark):
+    """Three workers, two rounds that share only some rows, with and without a file to open."""
+    from clickloom.session import opened_path
+
+    rows = tr.stage(planted(spark, 300), 3, 2, key="id")
+    table = tr._TableModel(spark, SPEC, WIDE, HIDDEN, 5, 3, 16, rows)
+    files = tr._FileModel(spark, SPEC, WIDE, HIDDEN, 5, 3, 16, opened_path(spark, scratch_dir(spark)))
+    for seed in ([1, 0, 0], [1, 0, 1], [1, 1, 0]):
+        of = rows.where(F.col("round") == seed[-1])
+        (told, loss, n), (told2, loss2, n2) = table.round(of, 0.01, 0.3, seed), files.round(of, 0.01, 0.3, seed)
+        assert n == n2 == of.count() and loss == pytest.approx(loss2, rel=1e-6)
+        assert sorted(t[:3] for t in told) == sorted(t[:3] for t in told2)
+        assert (table.steps, len(told)) == (files.steps, len(told2))
+    a, b = nw.collect_parameters(table.params()), nw.collect_parameters(files.params())
+    assert a.keys() == b.keys() and all(np.allclose(a[k], b[k], atol=1e-6) for k in a)
+    assert files.round(rows.limit(0), 0.01, 0.3, [1, 2, 0]) == ([], 0.0, 0)
+    best, kept = files.keep(), files.files.folder
+    files.round(rows, 0.01, 0.0, [1, 3, 0])
+    files.round(rows, 0.01, 0.0, [1, 3, 1])
+    assert best.count() == files.params().count()
+    import os
+
+    assert sorted(os.listdir(files.folder)) == sorted([os.path.basename(kept), str(files.rounds)])
+
+
+def test_ranges_of_files_hold_the_rows_of_the_table(spark, monkeypatch):
+    from clickloom.operators import embedding_files as ef
+    from clickloom.session import opened_path
+
+    monkeypatch.setattr(ef, "RANGE_BYTES", 1)
+    spec = [Deep("a", 2500, 40), Deep("b", 30, 4), Deep("c", 0, 4)]
+    files = ef.EmbeddingFiles.drawn(spark, opened_path(spark, scratch_dir(spark)), spec, 1)
+    assert [(r.first, r.end) for r in files.ranges] == [(0, 1024), (1024, 2048), (2048, 2500), (0, 30)]
+    drawn, found = drawn_embeddings(spec, 1), nw.collect_parameters(files.values())
+    assert all(np.array_equal(found[k], drawn[k]) for k in ("emb:a", "emb:b"))
+    rows = np.array([0, 1023, 1024, 2499])
+    assert np.array_equal(files.states("emb:a", rows)[:, :40], drawn["emb:a"][rows])
+    assert files.states("emb:c", rows[:0]).shape == (0, 12)
